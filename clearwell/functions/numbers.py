@@ -6,35 +6,59 @@ from pyspark.sql import Column, functions as F, types as T
 
 ITEM_DECIMAL = T.DecimalType(38, 18)
 
+NUMBER_TEXT = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
+WHOLE_TEXT = r"^\s*([+-]?\d+)(?:\.0*)?\s*$"
 
-def parse_double(c: Column, is_text: bool = True) -> Column:
+
+def parse_double(c: Column, source: T.DataType = T.StringType()) -> Column:
     """Number in ``c``, NULL where there is none or it is NaN.
 
-    The JVM reads the Java suffixes of ``1d`` and ``1.5f`` as numbers; pandas does not.
+    Text is matched against the form of a number first. A failing cast costs an exception per cell
+    inside the JVM, many times the price of the match, and the cast alone would also accept Java
+    forms such as ``1d``, which pandas does not.
     """
-    number = c.try_cast("double")
-    if is_text:
-        number = F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), number)
-    return F.when(~F.isnan(number), number)
+    if isinstance(source, T.StringType):
+        return F.when(c.rlike(NUMBER_TEXT), c.try_cast("double"))
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
-def long_or_zero(c: Column, is_text: bool = True, strict: bool = True) -> Column:
+def long_or_zero(
+    c: Column, source: T.DataType = T.StringType(), strict: bool = True
+) -> Column:
     """Whole number in ``c``, 0 where there is none.
 
-    Text such as ``2011.0`` only parses as a double, so that is the second attempt; whole numbers
-    beyond 2^53 keep all digits because the direct cast comes first. A fractional number raises,
-    as it does for a nullable integer column in pandas, unless ``strict`` is off: then it truncates.
+    Text is read digit by digit, also in the form ``2011.0``, so numbers beyond 2^53 keep all their
+    digits; only other forms, such as ``2e3``, go through a double. A fractional number or one out
+    of range raises, as it does for a nullable integer column in pandas, unless ``strict`` is off:
+    then it is truncated or becomes 0.
+
+    The branches are few and each is short: generated code beyond 8000 bytes per method stays
+    uncompiled in the JVM, and a table may have many such columns.
     """
-    number = parse_double(c, is_text)
-    direct = c.try_cast("bigint")
-    if not is_text:
-        direct = F.when(F.rint(number) == number, direct)
-    from_double = number.try_cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    if isinstance(source, T.IntegralType):
+        return F.coalesce(c.cast("bigint"), zero)
+    number = parse_double(c, source)
+    if isinstance(source, T.StringType):
+        number = c.try_cast("double")
     if strict:
-        message = F.concat(F.lit("not a whole number: "), c.cast("string"))
-        not_whole = number.isNotNull() & ((F.rint(number) != number) | from_double.isNull())
-        from_double = F.when(not_whole, F.raise_error(message).cast("bigint")).otherwise(from_double)
-    return F.coalesce(direct, from_double, F.lit(0).cast("bigint"))
+        error = F.raise_error(F.concat(F.lit("not a whole number: "), c.cast("string")))
+        rounded = F.when(F.rint(number) == number, number.cast("bigint"))
+        rounded = rounded.otherwise(error.cast("bigint"))
+    else:
+        rounded = F.coalesce(number.try_cast("bigint"), zero)
+    if not isinstance(source, T.StringType):
+        return F.when(number.isNotNull(), rounded).otherwise(zero)
+    digits = F.regexp_extract(c, WHOLE_TEXT, 1)
+    digits = digits.cast("bigint") if strict else F.coalesce(digits.try_cast("bigint"), zero)
+    return F.when(c.rlike(WHOLE_TEXT), digits).when(c.rlike(NUMBER_TEXT), rounded).otherwise(zero)
+
+
+def cast_or_null(c: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Cast, with NULL for a value that does not fit; text that is no number is not even tried."""
+    if isinstance(source, T.StringType) and isinstance(target, T.NumericType):
+        return F.when(c.rlike(NUMBER_TEXT), c.try_cast(target))
+    return c.try_cast(target)
 
 
 def whole_number_or_raise(c: Column) -> Column:
@@ -42,9 +66,9 @@ def whole_number_or_raise(c: Column) -> Column:
     return F.coalesce(c, F.lit(0).cast("string")).cast("bigint")
 
 
-def float_or_zero(c: Column, is_text: bool = True) -> Column:
+def float_or_zero(c: Column, source: T.DataType = T.StringType()) -> Column:
     """Number in ``c`` as a 32-bit float, 0 where there is none."""
-    return F.coalesce(parse_double(c, is_text).cast("float"), F.lit(0).cast("float"))
+    return F.coalesce(parse_double(c, source).cast("float"), F.lit(0).cast("float"))
 
 
 def to_decimal(c: Column, data_type: T.DataType) -> Column:

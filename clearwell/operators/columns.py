@@ -75,38 +75,37 @@ def coerce(
     df: DataFrame, whole: Iterable[str] = (), floats: Iterable[str] = (), strict: bool = True
 ) -> DataFrame:
     """Turn the listed columns, where present, into bigint or 32-bit float with 0 for bad cells."""
-    changed = {}
-    for name in whole:
-        if name in df.columns:
-            changed[name] = numbers.long_or_zero(col(name), _is_text(df, name), strict)
-    for name in floats:
-        if name in df.columns:
-            changed[name] = numbers.float_or_zero(col(name), _is_text(df, name))
+    types = {f.name: f.dataType for f in df.schema}
+    changed = {c: numbers.long_or_zero(col(c), types[c], strict) for c in whole if c in types}
+    changed |= {c: numbers.float_or_zero(col(c), types[c]) for c in floats if c in types}
     return df.withColumns(changed)
 
 
-def _is_text(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.StringType)
-
-
 def non_null_counts(df: DataFrame) -> DataFrame:
     """One row with the number of non-null values of every column."""
     return df.agg(*[F.count(col(c)).alias(c) for c in df.columns])
 
 
-def drop_null_columns(df: DataFrame, probe_rows: int = 1000) -> DataFrame:
-    """Drop the columns that hold no value at all.
+def find_null_columns(df: DataFrame, probe_rows: int = 1000) -> tuple[list[str], int | None]:
+    """Names of the columns that hold no value at all, and the row count if it became known.
 
     The first rows settle nearly every column: one value is enough to keep it. Only the columns
-    still in doubt are counted over the whole input, so the scan is pruned to them, and both jobs
-    return one small row set whatever the input size.
+    still in doubt are counted over the whole input, so the scan is pruned to them. Both jobs return
+    a small result whatever the input size.
     """
     seen = df.select(*[col(c).isNotNull().alias(c) for c in df.columns]).head(probe_rows)
     doubtful = [c for i, c in enumerate(df.columns) if not any(row[i] for row in seen)]
+    if len(seen) < probe_rows:
+        return doubtful, len(seen)
     if not doubtful:
-        return df
-    counts = df.select(*[col(c) for c in doubtful]).transform(non_null_counts).first()
-    return drop_present(df, [c for c, n in zip(doubtful, counts) if n == 0])
+        return [], None
+    counts = df.agg(*[F.count(col(c)) for c in doubtful], F.count(F.lit(1))).first()
+    return [c for c, n in zip(doubtful, counts) if n == 0], counts[-1]
+
+
+def drop_null_columns(df: DataFrame) -> DataFrame:
+    """Drop the columns that hold no value at all."""
+    return drop_present(df, find_null_columns(df)[0])
 
 
 def with_interval_flag(df: DataFrame, low: str, high: str, name: str = "low_le_high") -> DataFrame:
@@ -123,17 +122,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing from the input: {missing}")
-    return df.select(*[_conformed(f) for f in schema])
+    return df.select(*[_conformed(f, df.schema[f.name].dataType) for f in schema])
 
 
-def _conformed(field: T.StructField) -> Column:
+def _conformed(field: T.StructField, source: T.DataType) -> Column:
     if isinstance(field.dataType, T.VarcharType):
         value = col(field.name).cast("string")
         limit = field.dataType.length
         too_long = F.raise_error(F.lit(f"{field.name}: text longer than {limit}"))
         value = F.when(F.length(value) > limit, too_long.cast("string")).otherwise(value)
     else:
-        value = col(field.name).try_cast(field.dataType)
+        value = numbers.cast_or_null(col(field.name), source, field.dataType)
     if not field.nullable:
         absent = F.raise_error(F.lit(f"{field.name} must not be null"))
         value = F.coalesce(value, absent.cast(value_type(field.dataType)))

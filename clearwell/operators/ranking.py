@@ -11,25 +11,35 @@ from clearwell.session import stage
 
 _SLICE, _PLACE = "__slice", "__place"
 
-# A start table of at most this many rows is sent to every executor.
-BROADCAST_ROWS = 200_000
+# An input known to have no more rows than this may have any group sorted by one task.
+WINDOW_ROWS = 2_000_000
+# A table of group starts is sent to every executor if it measures no more than this.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def number_rows(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Number the rows of every group from 1 in the given order.
 
-    A window partitioned by the group would send a whole group to one task. Here the rows are range
-    partitioned by group and order, so a large group spans many tasks. Every row notes its slice and
-    its place in the slice, and is written out: from then on these are data, and a retried task or a
-    lost executor cannot change them. A group starts in a slice at a place found by a small
-    aggregate, and the rows it had in earlier slices come from a window over that aggregate, which
-    holds at most one row per slice and group.
+    A window partitioned by the group sends a whole group to one task, so it is used only for an
+    input whose rows are counted and few: ``at_most`` is a known upper bound of their number.
+
+    Otherwise the rows are range partitioned by group and order, so a large group spans many tasks.
+    Every row notes its slice and its place in the slice, and is written out: from then on these are
+    data, and a retried task or a lost executor cannot change them. A group starts in a slice at a
+    place found by a small aggregate, and the rows it had in earlier slices come from a window over
+    that aggregate, which holds at most one row per slice and group.
 
     ``order`` must be total within a group, up to rows that are equal in all columns.
     """
-    spark = df.sparkSession
+    if at_most is not None and at_most <= WINDOW_ROWS:
+        ranking = Window.partitionBy(*[col(g) for g in group]).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(ranking).cast("bigint"))
     keys = [col(g) for g in group] + list(order)
     place_in_slice = F.monotonically_increasing_id()
     placed = stage(
@@ -57,7 +67,7 @@ def number_rows(
         ),
         "group-starts",
     )
-    if starts.count() <= BROADCAST_ROWS:
+    if _bytes(starts, group) <= BROADCAST_BYTES:
         starts = F.broadcast(starts)
     same_group = [placed[_SLICE] == starts[_SLICE]]
     same_group += [placed[_quoted(g)].eqNullSafe(starts[_quoted(g)]) for g in group]
@@ -67,6 +77,13 @@ def number_rows(
     )
 
 
+def _bytes(starts: DataFrame, group: Sequence[str]) -> int:
+    """Size of the start table: two numbers and the text of the group per row."""
+    texts = [F.coalesce(F.octet_length(col(g).cast("string")), F.lit(0)) + 16 for g in group]
+    per_row = sum(texts, F.lit(32))
+    return starts.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -85,9 +102,10 @@ def rank_by_value(
     value: str = "data_value",
     ties: Sequence[str] | None = None,
     name: str = "row_num",
+    at_most: int | None = None,
 ) -> DataFrame:
     """Row number by descending value within each group; ties follow all other columns by default."""
-    return number_rows(df, [group], _descending(df, group, value, ties), name)
+    return number_rows(df, [group], _descending(df, group, value, ties), name, at_most)
 
 
 def top_k(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from clearwell.operators.columns import col
 
@@ -15,8 +15,15 @@ def exclude_codes(df: DataFrame, column: str, codes: Iterable[str]) -> DataFrame
 
 
 def drop_missing(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Drop rows with NULL or NaN in any of the columns."""
-    return df.dropna(subset=list(columns))
+    """Drop rows with NULL or NaN in any of the columns.
+
+    Plain predicates instead of ``dropna``: a scan skips row groups by them.
+    """
+    for name in columns:
+        df = df.filter(col(name).isNotNull())
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            df = df.filter(~F.isnan(col(name)))
+    return df
 
 
 def require_metric(df: DataFrame, column: str) -> DataFrame:

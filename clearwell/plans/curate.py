@@ -27,7 +27,6 @@ def curate(
     metric: str = "data_value",
     unit: str = "data_value_unit",
     ties: Sequence[str] | None = None,
-    probe_rows: int = 1000,
 ) -> DataFrame:
     """Drop empty columns, rename, filter locations, trim, deduplicate, unify units, drop rows
     without a metric and number the rows of each location by descending metric.
@@ -35,7 +34,8 @@ def curate(
     Copies are removed after trimming. A metric held as text is cast to double before ranking, as
     text order would put '9' above '10'. Without a metric column the rows are not ranked.
     """
-    kept = cols.drop_null_columns(df, probe_rows).transform(cols.snake_names)
+    empty, raw_rows = cols.find_null_columns(df)
+    kept = cols.snake_names(cols.drop_present(df, empty))
     states = rows.exclude_codes(kept, location, EXCLUDED_LOCATIONS)
     clean = states.transform(cols.drop_present, FOOTNOTE_COLUMNS).transform(cols.trim_text)
     clean = rows.dedupe(clean)
@@ -46,4 +46,5 @@ def curate(
     if isinstance(clean.schema[metric].dataType, T.StringType):
         clean = clean.withColumn(metric, numbers.parse_double(cols.col(metric)))
     clean = rows.drop_missing(clean, [metric])
-    return ranking.rank_by_value(clean, location, metric, ties)
+    # No step adds rows, so the raw count, if it became known, bounds every location.
+    return ranking.rank_by_value(clean, location, metric, ties, at_most=raw_rows)

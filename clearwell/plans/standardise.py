@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame
 
 from clearwell.functions import numbers, text
 from clearwell.operators import columns as cols, rows
@@ -56,5 +56,5 @@ def _metric_numbers(df: DataFrame, metric: str) -> DataFrame:
     named = cols.rename_with(df, lambda n: text.snake_name(n.strip()))
     if metric not in named.columns:
         return named
-    is_text = isinstance(named.schema[metric].dataType, T.StringType)
-    return named.select(numbers.parse_double(cols.col(metric), is_text).alias(metric))
+    number = numbers.parse_double(cols.col(metric), named.schema[metric].dataType)
+    return named.select(number.alias(metric))

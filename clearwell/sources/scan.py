@@ -26,14 +26,16 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header line.
 
-    With a schema the cells are typed and the header of every file must match it; without one all
-    columns are text, unless ``infer`` pays for a pass that guesses types. ``multiline`` allows line
-    breaks inside quotes, but then a file is read by one task, so it is off unless needed.
+    With a schema the cells are typed; without one all columns are text, unless ``infer`` pays for a
+    pass that guesses types. The header of every file must match, so that no file with another
+    column order is read into the wrong columns. ``multiline`` allows line breaks inside quotes, but
+    then a file is read by one task, so it is off unless needed.
     """
-    reader = spark.read.options(**CSV_QUOTING, **options).option("multiLine", multiline)
+    reader = spark.read.options(**CSV_QUOTING, enforceSchema=False, **options)
+    reader = reader.option("multiLine", multiline)
     reader = reader.option("mode", "PERMISSIVE" if bad_cells_as_null else "FAILFAST")
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
+        reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", infer)
     return reader.csv(path)
