@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, types as T
 
 from clearwell.functions.text import snake_name
 from clearwell.operators import checks as ck
+from clearwell.operators.columns import with_interval_flag
 
 _TYPES = {
     "int": T.IntegerType(),
@@ -115,6 +116,32 @@ OUTSIDE_INTERVAL = (
 INTERVAL_KNOWN = "(high_confidence_limit != 0 OR low_confidence_limit != 0)"
 
 
+def batch_suite(df: DataFrame, last_year: int = 2024) -> tuple[DataFrame, list[ck.Check]]:
+    """The one suite for any cleaned batch, and the batch with the interval flag it needs.
+
+    Value checks are added for the columns the batch has. The column count includes the flag, so it
+    fails for a batch without confidence limits, as do the checks for the six required columns.
+    """
+    limits = ["low_confidence_limit", "high_confidence_limit"]
+    required = ["year_start", "location_abbr", "data_value", *limits, "stratification_value"]
+    suite: list[ck.Check] = [ck.RowCountBetween(None, 50_000, 200_000)]
+    suite.append(ck.ColumnCount(None, len(df.columns) + 1))
+    suite += [ck.ColumnExists(c) for c in required]
+    by_column = [
+        ck.ValuesBetween("year_start", 2011, last_year),
+        ck.ValuesInSet("location_abbr", LOCATION_CODES),
+        ck.ValuesMatch("location_abbr", "^[A-Z]{2}$"),
+        ck.ValuesBetween("data_value", 0, 86),
+        # The drift comparison reads the null rate from this check.
+        ck.ValuesNotNull("data_value"),
+    ]
+    suite += [c for c in by_column if c.applies_to(df)]
+    if set(limits) <= set(df.columns):
+        df = with_interval_flag(df, *limits)
+        suite.append(ck.TrueFlag("low_le_high"))
+    return df, suite
+
+
 @dataclass(frozen=True)
 class Dataset:
     """What the pipelines and suites need to know about one dataset."""
@@ -137,7 +164,8 @@ class Dataset:
 
     def expectations(self, df: DataFrame, last_year: int = 2024) -> list[ck.Check]:
         """Suite for a table of the zero-filling cleaner, with the interval flag added to ``df``
-        where the dataset has confidence limits."""
+        where the dataset has confidence limits. Unlike ``batch_suite`` it asks only for columns the
+        dataset has, and bounds the metric from above only where it is a percentage."""
         required = [self.year, "location_abbr", "data_value", "stratification_value"]
         if self.has_limits:
             required += ["low_confidence_limit", "high_confidence_limit", "low_le_high"]

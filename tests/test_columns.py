@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+
+from clearwell.operators import columns as cols
+from clearwell.plans.datasets import table_schema
+
+
+def test_renames(spark):
+    df = spark.createDataFrame([(1, 2, 3)], " LocationAbbr int, `Age(years)` int, `a.b` int")
+    assert cols.snake_names(cols.strip_names(df)).columns == ["location_abbr", "age(years)", "a.b"]
+    odd = spark.createDataFrame([(1, 2)], "` Part (Key), x` int, `a=b;c` int")
+    assert cols.storable_names(odd).columns == ["Part_Key_x", "abc"]
+    renamed = cols.rename_present(cols.snake_names(df), {"age(years)": "age_range", "income": "i"})
+    assert "age_range" in renamed.columns and "i" not in renamed.columns
+
+
+def test_rename_refuses_two_columns_with_one_name(spark):
+    df = spark.createDataFrame([(1, 2)], "`Age(` int, `Age)` int")
+    with pytest.raises(ValueError, match="Age"):
+        cols.storable_names(df)
+
+
+def test_drop_by_exact_name(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "Topic int, DataValueUnit int, `x.y` int")
+    assert cols.drop_present(df, ["Topic", "Data_Value_Unit", "x.y"]).columns == ["DataValueUnit"]
+    assert cols.drop_present(df, ["topic"]).columns == df.columns
+
+
+@pytest.mark.parametrize("n", [5, 3000])
+def test_null_columns_are_found_exactly_however_late_a_value_comes(spark, n):
+    df = spark.range(n).selectExpr(
+        "id", "cast(null as string) AS never", f"if(id = {n - 1}, 'x', null) AS late", "id AS `o.k`"
+    )
+    names, known_rows = cols.find_null_columns(df)
+    assert names == ["never"] and known_rows == n
+    assert cols.drop_null_columns(df).columns == ["id", "late", "o.k"]
+
+
+def test_null_columns_of_an_empty_table(spark):
+    assert cols.drop_null_columns(spark.range(0)).columns == []
+
+
+def test_no_counting_pass_when_the_first_rows_settle_all(spark):
+    assert cols.find_null_columns(spark.range(5000)) == ([], None)
+
+
+def test_non_null_counts(spark):
+    df = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
+    assert tuple(cols.non_null_counts(df).first()) == (2, 1)
+
+
+def test_interval_flag_is_false_where_a_limit_is_unknown(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (None, 1.0), (1.0, 1.0)], "low double, high double")
+    assert [r.low_le_high for r in cols.with_interval_flag(df, "low", "high").collect()] == [
+        True, False, False, True,
+    ]
+
+
+def test_conform_orders_casts_and_nulls_bad_cells(spark):
+    df = spark.createDataFrame([("7", "x", 1.5, "k")], "a string, b string, c double, extra string")
+    out = cols.conform(df, table_schema("c:5 a:int b:double"))
+    assert out.columns == ["c", "a", "b"]
+    assert tuple(out.first()) == ("1.5", 7, None)
+    with pytest.raises(ValueError, match="missing"):
+        cols.conform(df, table_schema("zz:int"))
+
+
+def test_conform_enforces_not_null_and_length(spark):
+    df = spark.createDataFrame([(None, "abc")], "n int, t string")
+    with pytest.raises(Exception, match="n must not be null"):
+        cols.conform(df, table_schema("n:int!")).collect()
+    with pytest.raises(Exception, match="t: text longer than 2"):
+        cols.conform(df, table_schema("t:2")).collect()
+
+
+def test_coerce_touches_only_present_columns(spark):
+    df = spark.createDataFrame([("2011.0", "x", Decimal("1.5"))], "y string, f string, d decimal(5,2)")
+    out = cols.coerce(df, whole=["y", "absent"], floats=["f", "d"])
+    assert out.dtypes == [("y", "bigint"), ("f", "float"), ("d", "float")]
+    assert tuple(out.first()) == (2011, 0.0, 1.5)
+
+
+def test_pandas_nulls_apply_to_text_only(spark):
+    df = spark.createDataFrame([("NA", 1), ("x", 2)], "t string, n int")
+    assert [tuple(r) for r in cols.pandas_nulls(df).collect()] == [(None, 1), ("x", 2)]

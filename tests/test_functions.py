@@ -1,0 +1,156 @@
+from __future__ import annotations
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from hypothesis import given, strategies as st
+from pyspark.sql import functions as F, types as T
+
+from clearwell.functions import numbers, runs, text
+
+NAMES = {
+    "Race/Ethnicity": "race/_ethnicity",
+    "Age(years)": "age(years)",
+    "HTTPServer": "http_server",
+    "A1B2": "a1_b2",
+    "Data_Value_Unit": "data_value_unit",
+    "LocationAbbr": "location_abbr",
+    "StratificationCategoryID1": "stratification_category_id1",
+    "  two words-joined ": "two_words_joined",
+    "__x__Y__": "x_y",
+    "": "",
+}
+
+
+def one(spark, value, expression, data_type="string"):
+    df = spark.createDataFrame([(value,)], f"v {data_type}")
+    return df.select(expression(F.col("v"))).first()[0]
+
+
+@pytest.mark.parametrize("raw, snake", NAMES.items())
+def test_snake_names_and_values_follow_the_same_rule(spark, raw, snake):
+    assert text.snake_name(raw) == snake
+    assert one(spark, raw, text.snake_text) == snake
+
+
+@given(st.text(alphabet="aBcD1_- /(", max_size=12))
+def test_snake_names_are_lower_case_without_blanks_at_their_ends(raw):
+    snake = text.snake_name(raw)
+    assert snake == snake.lower() and " " not in snake and "-" not in snake and "__" not in snake
+    assert snake == snake.strip("_")
+
+
+def test_trim_takes_blanks_only_and_strip_all_white_space(spark):
+    padded = " \t\n x y  \r "
+    assert one(spark, padded, text.trim_blanks) == "\t\n x y  \r"
+    assert one(spark, padded, text.strip_whitespace) == padded.strip() == "x y"
+    assert one(spark, None, text.strip_whitespace) is None
+    assert one(spark, " \t", text.strip_whitespace) == ""
+
+
+def test_case_functions(spark):
+    assert one(spark, " az\t", text.upper_code) == "AZ"
+    assert one(spark, " new YORK ", text.capitalize) == "New york"
+    assert one(spark, "", text.capitalize) == ""
+    assert one(spark, None, text.capitalize) is None
+
+
+def test_null_tokens(spark):
+    values = ["", "NA", "n/a", "NaN", "None", "na", " NA", "x", None]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    kept = [r[0] for r in df.select(text.null_if_token(F.col("v"))).collect()]
+    assert kept == [None, None, None, None, None, "na", " NA", "x", None]
+
+
+@pytest.mark.parametrize(
+    "raw, whole",
+    [
+        ("2011", 2011),
+        ("2011.0", 2011),
+        (" 2011. ", 2011),
+        ("-3", -3),
+        ("2e3", 2000),
+        ("9007199254740993", 9007199254740993),
+        ("9007199254740993.0", 9007199254740993),
+        ("x", 0),
+        ("", 0),
+        ("NaN", 0),
+        ("n/a", 0),
+        ("1d", 0),
+        (None, 0),
+    ],
+)
+def test_text_to_whole_number(spark, raw, whole):
+    assert one(spark, raw, numbers.long_or_zero) == whole
+
+
+@pytest.mark.parametrize("raw", ["12.5", "1e40", "99999999999999999999", "inf"])
+def test_fractional_or_huge_number_raises_when_strict(spark, raw):
+    with pytest.raises(Exception):
+        one(spark, raw, numbers.long_or_zero)
+
+
+def test_lax_whole_numbers_truncate_or_become_zero(spark):
+    lax = lambda c: numbers.long_or_zero(c, strict=False)
+    assert one(spark, "12.9", lax) == 12
+    assert one(spark, "1e40", lax) == 0
+    assert one(spark, "99999999999999999999", lax) == 0
+
+
+def test_typed_numbers_to_whole_number(spark):
+    as_double = lambda c: numbers.long_or_zero(c, T.DoubleType())
+    assert one(spark, 23.0, as_double, "double") == 23
+    assert one(spark, float("nan"), as_double, "double") == 0
+    assert one(spark, None, as_double, "double") == 0
+    assert one(spark, 7, lambda c: numbers.long_or_zero(c, T.IntegerType()), "int") == 7
+    assert one(spark, None, lambda c: numbers.long_or_zero(c, T.IntegerType()), "int") == 0
+    with pytest.raises(Exception, match="not a whole number: 2.5"):
+        one(spark, 2.5, as_double, "double")
+
+
+def test_fill_then_cast_raises_on_garbage(spark):
+    assert one(spark, None, numbers.whole_number_or_raise) == 0
+    assert one(spark, "2011", numbers.whole_number_or_raise) == 2011
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        one(spark, "x", numbers.whole_number_or_raise)
+
+
+@pytest.mark.parametrize(
+    "raw, number",
+    [("34.8", 34.79999923706055), ("x", 0.0), ("", 0.0), ("NaN", 0.0), (None, 0.0), ("1.5f", 0.0),
+     (".5", 0.5), ("1e2", 100.0), ("inf", float("inf")), ("-Infinity", float("-inf"))],
+)
+def test_text_to_float(spark, raw, number):
+    assert one(spark, raw, lambda c: numbers.float_or_zero(c).cast("double")) == number
+
+
+def test_cast_or_null(spark):
+    to_int = lambda c: numbers.cast_or_null(c, T.StringType(), T.IntegerType())
+    assert one(spark, "12", to_int) == 12
+    assert one(spark, "twelve", to_int) is None
+    assert one(spark, "12.5", to_int) is None
+
+
+def test_floats_become_the_decimal_of_their_text_at_any_depth(spark):
+    schema = "v struct<a: double, b: array<double>, c: map<string, float>, d: string>"
+    df = spark.createDataFrame([((0.1, [2.5, None], {"k": 1.25}, "t"),), (None,)], schema)
+    converted = df.select(numbers.to_decimal(F.col("v"), df.schema["v"].dataType).alias("v"))
+    first, second = [r.v for r in converted.collect()]
+    assert first.a == Decimal("0.1")
+    assert first.b == [Decimal("2.5"), None]
+    assert first.c == {"k": Decimal("1.25")}
+    assert first.d == "t" and second is None
+
+
+def test_change_ratios(spark):
+    df = spark.createDataFrame([(100, 91), (100, 0), (0, 5), (100, 120), (None, 5)], "p long, c long")
+    ratios = [r[0] for r in df.select(numbers.drop_ratio(F.col("p"), F.col("c"))).collect()]
+    assert ratios == [0.09, 1.0, None, -0.2, None]
+
+
+def test_run_and_batch_labels(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 31, 23, 59, 58),)], "t timestamp")
+    assert df.select(runs.run_label(F.col("t"))).first()[0] == "20240131_235958"
+    assert one(spark, "s3://bucket.x/some/folder.d/heart_cleaned.v1.csv", runs.batch_name) == "heart_cleaned"
+    assert one(spark, "plain", runs.batch_name) == "plain"

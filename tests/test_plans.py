@@ -1,0 +1,227 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from clearwell.operators import columns as cols, suites
+from clearwell.plans import datasets as ds
+from clearwell.plans.curate import EXCLUDED_LOCATIONS, curate
+from clearwell.plans.layers import Layers, run_datasets
+from clearwell.plans.standardise import standardise
+from clearwell.sources import scan, sinks, tables
+
+
+def records(spark, schema, *rows):
+    """Rows from dicts; columns that are not named are NULL."""
+    return spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in rows], schema)
+
+
+CHRONIC_ROW = {
+    "YearStart": 2019, "YearEnd": 2020, "LocationAbbr": "AL", "LocationDesc": " Alabama ",
+    "Topic": "Sleep", "Question": "Short sleep", "DataValueUnit": "per 100,000", "DataValue": 12.5,
+    "LowConfidenceLimit": 11.0, "HighConfidenceLimit": 14.0, "Stratification1": " Overall",
+    "TopicID": "SLEP", "QuestionID": "SLP03", "DataValueFootnote": "note", "LocationID": 1,
+}
+
+
+def chronic(spark, *changes):
+    return records(spark, ds.RAW_CHRONIC, *[{**CHRONIC_ROW, **c} for c in changes])
+
+
+def test_raw_schemas_have_the_expected_widths():
+    assert [len(d.raw) for d in ds.DATASETS.values()] == [34, 21, 33]
+    assert len(ds.WAREHOUSE_CHRONIC) == 23 and len(ds.WAREHOUSE_HEART) == 20
+    assert len(ds.LOCATION_CODES) == len(set(ds.LOCATION_CODES)) == 57
+
+
+def test_standardise_gives_the_target_columns(spark):
+    chronic_clean = standardise(chronic(spark, {}))
+    assert len(chronic_clean.columns) == 32
+    assert "topic" not in chronic_clean.columns and "stratification_value" in chronic_clean.columns
+    assert "data_value_unit" in chronic_clean.columns
+    heart = standardise(records(spark, ds.RAW_HEART, {"Year": 2020, "Data_Value": 1.0}))
+    assert len(heart.columns) == 16
+    nutri = standardise(records(spark, ds.RAW_NUTRI, {"YearStart": 2011, "Data_Value": 1.0}))
+    assert len(nutri.columns) == 24
+    assert {"age_range", "income_range", "race_ethnicity", "stratification_value"} <= set(nutri.columns)
+
+
+def test_standardise_fills_strips_and_keeps_rows(spark):
+    raw = chronic(spark, {}, {}, {"LocationDesc": "Alabama"}, {"DataValue": None, "LocationAbbr": "PR"})
+    rows = standardise(raw).collect()
+    # The exact copy goes; the row that differs in blanks only stays, as does the territory.
+    assert len(rows) == 3
+    assert {r.location_desc for r in rows} == {"Alabama"}
+    assert {r.data_value for r in rows} == {12.5, 0.0}
+    types = dict(standardise(raw).dtypes)
+    assert types["data_value"] == "float" and types["year_start"] == "bigint"
+
+
+def test_standardise_reads_text_numbers(spark):
+    raw = spark.createDataFrame(
+        [("Asthma", "34.8", " AL", "2011.0", "x"), ("Asthma", "34.8", " AL", "2011.0", "x"),
+         ("Asthma", "n/a", "AK", "", "2012")],
+        "Topic string, Data_Value string, Location_Abbr string, YearStart string, YearEnd string",
+    )
+    rows = {r.location_abbr: r for r in standardise(raw).collect()}
+    assert set(rows) == {"AL", "AK"}
+    assert (rows["AL"].year_start, rows["AL"].year_end) == (2011, 0)
+    assert rows["AL"].data_value == pytest.approx(34.8, abs=1e-5) and rows["AK"].data_value == 0.0
+
+
+def test_standardise_can_normalise_case(spark):
+    raw = spark.createDataFrame([("al ", " new YORK", "1")], "Location_Abbr string, Location_Description string, Data_Value string")
+    clean = standardise(raw, upper=["Location_Abbr", "absent"], capitalized=["Location_Description"]).first()
+    assert (clean.location_abbr, clean.location_description) == ("AL", "New york")
+
+
+def test_standardise_needs_a_metric(spark):
+    with pytest.raises(ValueError, match="data_value"):
+        standardise(spark.createDataFrame([("a",)], "Topic string"))
+    with pytest.raises(ValueError, match="data_value"):
+        standardise(spark.createDataFrame([("x",), ("NaN",)], "Data_Value string"))
+
+
+def test_standardising_again_keeps_the_rows(spark):
+    once = standardise(chronic(spark, {}, {"DataValue": 3.0, "LocationAbbr": "AK"}))
+    assert standardise(once).count() == once.count() == 2
+
+
+def test_curate_drops_filters_merges_and_ranks(spark):
+    raw = chronic(
+        spark,
+        {},
+        {"LocationDesc": "Alabama"},  # a copy once trimmed
+        {"DataValue": 99.0, "DataValueUnit": "%"},
+        {"DataValue": None},
+        *[{"LocationAbbr": code} for code in EXCLUDED_LOCATIONS],
+        {"LocationAbbr": None},
+        {"LocationAbbr": "AK", "DataValue": 1.0, "DataValueUnit": "  cases per 100,000"},
+    )
+    out = curate(raw)
+    assert "response" not in out.columns and "data_value_footnote" not in out.columns
+    got = sorted((r.location_abbr, r.data_value, r.data_value_unit, r.row_num) for r in out.collect())
+    assert got == [
+        ("AK", 1.0, "cases per 100,000", 1),
+        ("AL", 12.5, "cases per 100,000", 2),
+        ("AL", 99.0, "%", 1),
+    ]
+
+
+def test_curate_ranks_text_metrics_as_numbers(spark):
+    raw = spark.createDataFrame([("AL", "9"), ("AL", "10"), ("AL", "x")], "LocationAbbr string, DataValue string")
+    assert sorted((r.data_value, r.row_num) for r in curate(raw).collect()) == [(9.0, 2), (10.0, 1)]
+
+
+def test_curate_without_a_metric_does_not_rank(spark):
+    raw = spark.createDataFrame([("AL", "x"), ("AL", "x ")], "LocationAbbr string, Topic string")
+    assert curate(raw).columns == ["location_abbr", "topic"] and curate(raw).count() == 1
+
+
+def test_curating_again_keeps_the_rows(spark):
+    once = curate(chronic(spark, {}, {"DataValue": 3.0})).drop("row_num")
+    assert curate(once).drop("row_num").exceptAll(once).count() == 0
+
+
+def test_curated_rows_fit_the_warehouse_table(spark, tmp_path):
+    some = {"string": "t", "int": 1, "double": 1.0}
+    full = {f.name: CHRONIC_ROW.get(f.name, some[f.dataType.simpleString()]) for f in ds.RAW_CHRONIC}
+    for empty in [n for n in full if n[-1] in "23" or n.startswith("Response")]:
+        full[empty] = None
+    curated = curate(records(spark, ds.RAW_CHRONIC, full, {**full, "DataValue": 7.0}))
+    loaded = tables.truncate_and_load(curated, "warehouse_chronic_test", str(tmp_path / "w"), ds.WAREHOUSE_CHRONIC)
+    assert loaded.count() == 2 and loaded.columns == ds.WAREHOUSE_CHRONIC.names
+    external = ds.external_schema(ds.WAREHOUSE_CHRONIC)
+    assert {f.dataType.simpleString() for f in external} == {"int", "double", "string"}
+
+
+def test_suites_of_a_cleaned_table(spark):
+    clean = standardise(chronic(spark, {}, {"LocationAbbr": "ZZ", "YearStart": 1999, "DataValue": 90.0,
+                                           "LowConfidenceLimit": 95.0, "HighConfidenceLimit": 91.0}))
+    flagged = cols.with_interval_flag(clean, "low_confidence_limit", "high_confidence_limit")
+    checks = ds.CHRONIC.expectations(flagged)
+    failed = {(r.expectation, r.column) for r in suites.run_suite(flagged, checks, "chronic").collect() if not r.success}
+    assert failed == {
+        ("expect_table_row_count_to_be_between", None),
+        ("expect_column_values_to_be_between", "year_start"),
+        ("expect_column_values_to_be_in_set", "location_abbr"),
+        ("expect_column_values_to_be_in_set", "low_le_high"),
+    }
+    batch, checks = ds.batch_suite(clean)
+    failed_batch = {(r.expectation, r.column) for r in suites.run_suite(batch, checks, "c").collect() if not r.success}
+    assert failed_batch == failed | {("expect_column_values_to_be_between", "data_value")}
+
+
+def test_batch_suite_of_a_table_without_limits_fails_on_its_columns(spark):
+    heart = standardise(records(spark, ds.RAW_HEART, {"Year": 2020, "LocationAbbr": "AL", "Data_Value": 1.0}))
+    batch, checks = ds.batch_suite(heart)
+    failed = {(r.expectation, r.column) for r in suites.run_suite(batch, checks, "h").collect() if not r.success}
+    assert ("expect_table_column_count_to_equal", None) in failed
+    assert ("expect_column_to_exist", "year_start") in failed
+
+
+def test_rules_exempt_the_filled_interval_for_chronic_only(spark):
+    filled = standardise(chronic(spark, {"LowConfidenceLimit": None, "HighConfidenceLimit": None}))
+    outcome = {(r.expectation, r.column): r.success for r in suites.run_suite(filled, ds.CHRONIC.rules(), "c").collect()}
+    assert outcome[("failed_rows", "confidence_interval_logic")]
+    raw = records(spark, ds.RAW_NUTRI, {"YearStart": 2011, "LocationAbbr": "AL", "Data_Value": 120.0, "Class": "c"})
+    outcome = {(r.expectation, r.column): r.success for r in suites.run_suite(standardise(raw), ds.NUTRI.rules(), "n").collect()}
+    assert not outcome[("failed_rows", "confidence_interval_logic")]
+    assert not outcome[("invalid_count", "data_value")]
+    assert outcome[("missing_count", "class")]
+
+
+def test_curated_checks_report_absent_columns(spark):
+    curated = curate(chronic(spark, {}, {"DataValue": 5.0}))
+    checks = ds.CHRONIC.curated_checks(curated, baseline=curated)
+    results = {(r.expectation, r.column): r for r in suites.run_suite(curated, checks, "c").collect()}
+    assert not results[("expect_column_to_exist", "response")].success
+    assert results[("expect_column_values_to_be_unique", "question_id")].unexpected_count == 2
+    assert results[("expect_column_values_to_be_between", "data_value")].success
+    assert results[("expect_table_column_count_to_equal", None)].success
+
+
+def test_layers_keep_each_step_on_its_own_path(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    published = layers.run({"chronic": chronic(spark, {}, {"DataValue": 5.0})})
+    assert layers.read("bronze", "chronic").columns[0] == "YearStart"
+    assert published["chronic"].count() == layers.read("silver", "chronic").count() == 2
+    assert spark.table("silver_chronic").count() == 2
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["bronze", "gold", "silver"]
+
+
+def test_runner_reads_cleans_and_writes_every_dataset(spark, tmp_path):
+    source = sinks.write_csv(chronic(spark, {}, {"DataValue": 5.0}), str(tmp_path / "in"))
+    written = run_datasets(
+        spark,
+        {source: str(tmp_path / "out"), str(tmp_path / "none"): str(tmp_path / "skipped")},
+        curate,
+        sinks.write_parquet,
+        lambda spark, path: scan.read_csv(spark, path, ds.RAW_CHRONIC),
+        required=False,
+    )
+    assert written == [str(tmp_path / "out")]
+    assert spark.read.parquet(written[0]).count() == 2
+
+
+@pytest.mark.parametrize(
+    "name, rows, columns, units, largest",
+    [
+        ("chronic", 89, 23, {"Number": 32, "%": 38, "cases per 100,000": 19}, ("CT", 10, 1252.0)),
+        ("heart", 60, 20, {"cases per 100,000": 60}, ("FL", 8, 354.2)),
+    ],
+)
+def test_public_samples(spark, name, rows, columns, units, largest):
+    """Known results on the public 100-row samples, where the environment names such a file."""
+    path = os.environ.get(f"SAMPLE_{name.upper()}")
+    if not path:
+        pytest.skip(f"SAMPLE_{name.upper()} names no file")
+    raw = scan.read_csv(spark, path, ds.DATASETS[name].raw)
+    curated = curate(raw)
+    assert (curated.count(), len(curated.columns)) == (rows, columns)
+    assert {r.data_value_unit: r["count"] for r in curated.groupBy("data_value_unit").count().collect()} == units
+    per_location = curated.groupBy("location_abbr").agg(F.count("*").alias("n"), F.max("data_value").alias("top"))
+    assert tuple(per_location.orderBy(F.desc("n"), F.desc("top")).first()) == largest
+    assert standardise(raw).count() == 100
