@@ -11,6 +11,7 @@ from clearwell.operators.columns import conform
 from clearwell.plans.datasets import table_schema
 from clearwell.session import new_folder
 from clearwell.sources import scan, sinks, tables
+from clearwell.streaming.landing import land_new_files
 
 
 def part_csv(spark, folder, spoil: bool = False) -> tuple[str, object]:
@@ -130,6 +131,17 @@ def bronze_ingest(spark, folder):
     return per_file.groupBy("dataset").agg(F.sum("n_rows").alias("n_rows"))
 
 
+@query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def bronze_ingest_incremental(spark, folder):
+    supplier = table(spark, folder, "supplier")
+    landing, bronze, progress = (new_folder(spark, f"supplier-{n}") for n in ("landing", "bronze", "progress"))
+    for part in ("s_nationkey < 12", "s_nationkey >= 12"):
+        arrived = supplier.filter(part)
+        arrived.write.mode("append").options(**scan.CSV_QUOTING).csv(landing)
+        land_new_files(spark, landing, supplier.schema, bronze, progress)
+    return scan.read_parquet(spark, bronze).drop("source_file")
+
+
 @query("""
 SELECT c_mktsegment, CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal,
   CAST(c_nationkey AS VARCHAR) AS c_nationkey

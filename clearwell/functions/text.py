@@ -64,3 +64,15 @@ def capitalize(c: Column) -> Column:
 
 def null_if_token(c: Column, tokens: tuple[str, ...] = PANDAS_NULL_TOKENS) -> Column:
     return F.when(~c.isin(*tokens), c)
+
+
+def equality_key(c: Column) -> Column:
+    """A text that is equal for equal texts and different for different ones, but never long.
+
+    Texts over 64 bytes are represented by their SHA-256 digest and length, which is longer than
+    that, so the two forms cannot meet. Shuffling keys of this kind costs the same for codes and for
+    documents.
+    """
+    size = F.octet_length(c)
+    digest = F.concat(F.sha2(c, 256), F.lit(":"), size.cast("string"))
+    return F.when(size > 64, digest).otherwise(c)

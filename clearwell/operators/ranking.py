@@ -92,7 +92,10 @@ def _descending(df: DataFrame, group: str, value: str, ties: Sequence[str] | Non
     if not isinstance(df.schema[value].dataType, T.NumericType):
         raise TypeError(f"{value} must be numeric: as text, '9' would rank above '10'")
     if ties is None:
-        ties = [c for c in df.columns if c not in (group, value)]
+        # Hashes of the other columns keep the sort keys short, also those that are sampled for the
+        # bounds of the slices; 96 bits leave no ties between different rows in practice.
+        others = [col(c) for c in df.columns if c not in (group, value)] or [F.lit(0)]
+        return [col(value).desc_nulls_last(), F.xxhash64(*others).asc(), F.hash(*others).asc()]
     return [col(value).desc_nulls_last()] + [col(t).asc_nulls_last() for t in ties]
 
 
@@ -104,7 +107,11 @@ def rank_by_value(
     name: str = "row_num",
     at_most: int | None = None,
 ) -> DataFrame:
-    """Row number by descending value within each group; ties follow all other columns by default."""
+    """Row number by descending value within each group.
+
+    Ties follow the columns in ``ties``, which should be short; by default a hash of all other
+    columns, so the order of ties is arbitrary but the same in every run.
+    """
     return number_rows(df, [group], _descending(df, group, value, ties), name, at_most)
 
 

@@ -6,7 +6,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from clearwell.operators.columns import col
+from clearwell.functions.text import equality_key
+from clearwell.operators.columns import col, on_text_columns
 
 
 def exclude_codes(df: DataFrame, column: str, codes: Iterable[str]) -> DataFrame:
@@ -46,8 +47,12 @@ def dedupe(df: DataFrame) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """One row: all rows, distinct rows and their difference, in one pass."""
-    copies = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
+    """One row: all rows, distinct rows and their difference, in one pass.
+
+    Only keys are shuffled, so long texts travel as digests.
+    """
+    keys = on_text_columns(df, equality_key)
+    copies = keys.groupBy(*[col(c) for c in keys.columns]).agg(F.count(F.lit(1)).alias("__copies"))
     total = F.coalesce(F.sum("__copies"), F.lit(0))
     distinct = F.count(F.lit(1))
     return copies.agg(

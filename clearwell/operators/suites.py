@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from clearwell.functions.runs import RUN_LAYOUT
+from clearwell.functions.text import equality_key
 from clearwell.operators.checks import Check, ValuesUnique
-from clearwell.operators.columns import col
+from clearwell.operators.columns import col, on_text_columns
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -25,6 +26,9 @@ RESULT_SCHEMA = T.StructType(
     ]
 )
 
+# The default layout keeps milliseconds only, so a run would not find its own reports.
+_REPORT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def run_suite(
     df: DataFrame,
@@ -92,21 +96,28 @@ def _line(df: DataFrame, check: Check, i: int) -> Column:
 def repeated_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column, the number of non-null rows whose value occurs more than once.
 
-    All columns share one shuffle, and equal values are counted inside each task first, so a value
-    held by a third of all rows is no hot key.
+    One scan and one shuffle serve all columns, as grouping sets of one column each. Equal values
+    are counted inside each task first, so a value held by a third of all rows is no hot key, and
+    long texts travel as digests.
     """
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns]
-    )
-    occurrences = (
-        df.select(F.explode(cells).alias("cell"))
-        .select("cell.*")
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("times"))
+    keys = on_text_columns(df.select(*[col(c) for c in columns]), equality_key)
+    names = [col(c) for c in columns]
+    occurrences = keys.groupingSets([[n] for n in names], *names).agg(
+        F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("__times")
     )
-    repeated = F.sum(F.when(F.col("times") > 1, F.col("times")).otherwise(0))
-    return occurrences.groupBy("column").agg(repeated.alias("repeated"))
+    # The bit of a column, the first being the highest, is 0 in its own set and 1 in the others.
+    every = 2 ** len(columns) - 1
+    sets = [every - 2 ** (len(columns) - 1 - i) for i in range(len(columns))]
+    repeated = [
+        F.sum(F.when((col("__set") == s) & n.isNotNull() & (col("__times") > 1), col("__times")))
+        for s, n in zip(sets, names)
+    ]
+    counted = occurrences.agg(*[r.alias(f"r{i}") for i, r in enumerate(repeated)])
+    lines = [
+        F.struct(F.lit(c).alias("column"), F.coalesce(col(f"r{i}"), F.lit(0)).alias("repeated"))
+        for i, c in enumerate(columns)
+    ]
+    return counted.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
 
 
 def _with_unique_counts(results: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -165,11 +176,28 @@ def enforce(results: DataFrame) -> DataFrame:
 
 def write_reports(results: DataFrame, folder: str) -> None:
     """Append to the run history, one folder per dataset."""
-    results.write.mode("append").partitionBy("dataset").json(folder)
+    writer = results.write.mode("append").partitionBy("dataset")
+    writer.option("timestampFormat", _REPORT_TIME).json(folder)
 
 
 def read_reports(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(RESULT_SCHEMA).json(folder).select(*RESULT_SCHEMA.names)
+    reader = spark.read.schema(RESULT_SCHEMA).option("timestampFormat", _REPORT_TIME)
+    return reader.json(folder).select(*RESULT_SCHEMA.names)
+
+
+def validate(
+    spark: SparkSession,
+    batches: Mapping[str, tuple[DataFrame, Sequence[Check]]],
+    folder: str,
+    run_ts: datetime | None = None,
+) -> DataFrame:
+    """Run all suites, keep their reports, and return those of this run from the kept files.
+
+    The tables are read once, however often the returned results are used.
+    """
+    moment = run_ts or datetime.now()
+    write_reports(run_suites(batches, moment), folder)
+    return read_reports(spark, folder).filter(F.col("run_ts") == F.lit(moment))
 
 
 def read_nested_reports(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:

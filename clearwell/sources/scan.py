@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from clearwell.operators.columns import pandas_nulls, storable_names
+from clearwell.operators.columns import conform, pandas_nulls, storable_names
 from clearwell.sources.tables import read_table, write_table
 
 # Quotes inside a quoted cell are doubled, in the files that are read and in those written.
@@ -41,9 +41,13 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_csv_like_pandas(spark: SparkSession, path: str, **options) -> DataFrame:
-    """All-text CSV in which the texts that pandas treats as missing are NULL."""
-    return pandas_nulls(read_csv(spark, path, **options))
+def read_csv_like_pandas(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, **options
+) -> DataFrame:
+    """CSV in which the texts that pandas treats as missing are NULL; all text, or typed by a schema
+    whose columns are picked by name."""
+    as_text = pandas_nulls(read_csv(spark, path, **options))
+    return as_text if schema is None else conform(as_text, schema)
 
 
 def read_parts(

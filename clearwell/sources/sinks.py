@@ -18,8 +18,12 @@ INSERT_ROWS = 5000
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Replace the CSV folder; one file per task, never funnelled into one."""
-    df.write.mode("overwrite").options(**CSV_QUOTING).csv(path)
+    """Replace the CSV folder; one file per task, never funnelled into one.
+
+    Blanks around a value are written as they are; left alone, the writer would trim them.
+    """
+    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**CSV_QUOTING, **keep_blanks).csv(path)
     return path
 
 

@@ -8,14 +8,21 @@ from clearwell.sources.scan import CSV_QUOTING
 
 
 def land_new_files(
-    spark: SparkSession, landing: str, schema: T.StructType, bronze: str, progress: str
+    spark: SparkSession,
+    landing: str,
+    schema: T.StructType,
+    bronze: str,
+    progress: str,
+    files_per_batch: int = 10_000,
 ) -> None:
     """Append the files that ``progress`` does not know yet to the bronze table, then stop.
 
+    A large backlog is worked off in batches, so an interrupted run goes on from the last of them.
     ``progress`` is the checkpoint folder of the stream; with it every file lands exactly once even
     if the job is interrupted. It belongs on storage that all executors share.
     """
-    arrivals = spark.readStream.options(**CSV_QUOTING).schema(schema).csv(landing)
+    reader = spark.readStream.options(**CSV_QUOTING, enforceSchema=False, maxFilesPerTrigger=files_per_batch)
+    arrivals = reader.schema(schema).csv(landing)
     query = (
         arrivals.select("*", F.col("_metadata.file_name").alias("source_file"))
         .writeStream.format("parquet")

@@ -143,6 +143,20 @@ def test_reports_round_trip(df, spark, tmp_path):
     }
 
 
+def test_validate_keeps_reports_and_reads_the_tables_once(df, spark, tmp_path, plan_of):
+    folder = str(tmp_path / "kept")
+    batches = {"d": (df, [ck.ValuesNotNull("v"), ck.ValuesUnique("k")])}
+    for hour in (1, 2):
+        results = suites.validate(spark, batches, folder, datetime(2024, 1, 1, hour))
+        assert {(r.run_ts, r.success) for r in results.collect()} == {(datetime(2024, 1, 1, hour), False)}
+    assert suites.read_reports(spark, folder).count() == 4
+    assert suites.validate(spark, batches, folder).count() == 2
+    plan = plan_of(suites.summarise(results))
+    assert "json" in plan and "LocalTableScan" not in plan
+    with pytest.raises(suites.ChecksFailed):
+        suites.enforce(results)
+
+
 YAML = """
 checks for orders:
   - row_count between 2 and 9

@@ -154,3 +154,11 @@ def test_run_and_batch_labels(spark):
     assert df.select(runs.run_label(F.col("t"))).first()[0] == "20240131_235958"
     assert one(spark, "s3://bucket.x/some/folder.d/heart_cleaned.v1.csv", runs.batch_name) == "heart_cleaned"
     assert one(spark, "plain", runs.batch_name) == "plain"
+
+
+def test_equality_keys_are_short_and_distinguish_texts(spark):
+    texts = ["", "a", "x" * 64, "x" * 65, "x" * 100000, "x" * 99999 + "y", "é" * 33, None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    keys = [r[0] for r in df.select(text.equality_key(F.col("v"))).collect()]
+    assert keys[:3] == texts[:3] and keys[-1] is None
+    assert len(set(keys)) == len(texts) and max(len(k) for k in keys if k) < 80

@@ -75,11 +75,16 @@ def test_few_known_rows_use_a_plain_window(spark, skewed, plan_of):
     assert {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()}
 
 
-def test_ties_follow_all_other_columns_by_default(spark):
-    data = [("a", 1.0, "y", 2), ("a", 1.0, "x", 9), ("a", 1.0, "y", 1)]
-    df = spark.createDataFrame(data, "location_abbr string, data_value double, s string, n int")
-    ranked = ranking.rank_by_value(df)
-    assert [(r.s, r.n) for r in ranked.orderBy("row_num").collect()] == [("x", 9), ("y", 1), ("y", 2)]
+def test_ties_are_numbered_alike_in_every_run_and_on_both_paths(spark):
+    data = [("a", 1.0, f"s{i}", i % 7) for i in range(300)]
+    schema = "location_abbr string, data_value double, s string, n int"
+    runs = [
+        ranking.rank_by_value(spark.createDataFrame(rows, schema).repartition(parts), at_most=bound)
+        for rows, parts, bound in ((data, 3, None), (data[::-1], 5, None), (data, 2, len(data)))
+    ]
+    first, *others = [sorted(map(tuple, r.collect())) for r in runs]
+    assert sorted(r[-1] for r in first) == list(range(1, 301))
+    assert all(o == first for o in others)
 
 
 def test_text_metric_is_refused(spark):

@@ -37,6 +37,8 @@ def test_text_inferred_and_pandas_like_csv(spark, csv):
     inferred = scan.read_csv(spark, csv, infer=True)
     assert dict(inferred.dtypes)["Code"] == "string"
     assert [r.Note for r in scan.read_csv_like_pandas(spark, csv).collect()] == ['said "hi", left', None, None]
+    typed = scan.read_csv_like_pandas(spark, csv, table_schema("Note:string Size:int"))
+    assert [tuple(r) for r in typed.collect()] == [('said "hi", left', 1), (None, None), (None, None)]
 
 
 def test_a_code_that_looks_like_a_time_stays_text(spark, tmp_path):
@@ -105,7 +107,7 @@ def test_write_and_verify(spark, tmp_path, fmt):
 
 
 def test_csv_round_trip_keeps_quotes_separators_and_nulls(spark, tmp_path, rows):
-    df = spark.createDataFrame([('a "q", b', 1), (None, 2), ("back\\slash", 3)], "t string, n int")
+    df = spark.createDataFrame([('a "q", b', 1), (None, 2), ("back\\slash", 3), ("  blanks\t ", 4)], "t string, n int")
     path = sinks.write_csv(df, str(tmp_path / "c"))
     assert rows(scan.read_csv(spark, path, df.schema)) == rows(df)
 
