@@ -6,7 +6,9 @@ from pyspark.sql import Column, functions as F, types as T
 
 ITEM_DECIMAL = T.DecimalType(38, 18)
 
-NUMBER_TEXT = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
+_DIGITS = r"(?:\d+\.?\d*|\.\d+)"
+NUMBER_TEXT = rf"^\s*[+-]?(?:{_DIGITS}(?:[eE][+-]?\d{{1,2}})?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
+LONG_EXPONENT_TEXT = rf"^\s*[+-]?{_DIGITS}[eE][+-]?\d{{3,}}\s*$"
 WHOLE_TEXT = r"^\s*([+-]?\d+)(?:\.0*)?\s*$"
 
 
@@ -15,11 +17,13 @@ def parse_double(c: Column, source: T.DataType = T.StringType()) -> Column:
 
     Text is matched against the form of a number first. A failing cast costs an exception per cell
     inside the JVM, many times the price of the match, and the cast alone would also accept Java
-    forms such as ``1d``, which pandas does not.
+    forms such as ``1d``, which pandas does not. Digits too large for a double are no number.
     """
+    number = c.try_cast("double")
     if isinstance(source, T.StringType):
-        return F.when(c.rlike(NUMBER_TEXT), c.try_cast("double"))
-    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
+        finite = F.when(F.abs(number) < float("inf"), number)
+        return F.when(c.rlike(NUMBER_TEXT), number).when(c.rlike(LONG_EXPONENT_TEXT), finite)
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def long_or_zero(
