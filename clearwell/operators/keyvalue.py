@@ -43,6 +43,9 @@ def items(
 def batch_numbers(
     df: DataFrame, order: Sequence[str], size: int = BATCH_ITEMS, name: str = "batch_no"
 ) -> DataFrame:
-    """Number consecutive batches of ``size`` rows from 0, without one task seeing all rows."""
+    """Number consecutive batches of ``size`` rows from 0, without one task seeing all rows.
+
+    For reports on batches of a stated order; the writer cuts its own batches and needs no numbers.
+    """
     numbered = number_rows(df, [], [col(c).asc_nulls_last() for c in order], name)
     return numbered.withColumn(name, F.floor((col(name) - 1) / size))

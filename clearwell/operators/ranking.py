@@ -12,7 +12,7 @@ from clearwell.session import stage
 _SLICE, _PLACE = "__slice", "__place"
 
 # An input known to have no more rows than this may have any group sorted by one task.
-WINDOW_ROWS = 2_000_000
+WINDOW_ROWS = 500_000
 # A table of group starts is sent to every executor if it measures no more than this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 

@@ -185,6 +185,25 @@ def read_reports(spark: SparkSession, folder: str) -> DataFrame:
     return reader.json(folder).select(*RESULT_SCHEMA.names)
 
 
+def as_documents(results: DataFrame) -> DataFrame:
+    """One nested JSON document per dataset and run; a document is as long as its suite."""
+    entry = F.struct(
+        F.col("success"),
+        F.struct(
+            F.col("expectation").alias("type"), F.struct(F.col("column")).alias("kwargs")
+        ).alias("expectation_config"),
+        F.struct(
+            F.col("observed").alias("observed_value"),
+            F.col("unexpected_count"),
+            F.col("unexpected_pct").alias("unexpected_percent"),
+        ).alias("result"),
+    )
+    grouped = results.groupBy("dataset", "run_ts").agg(
+        F.bool_and("success").alias("success"), F.collect_list(entry).alias("results")
+    )
+    return grouped.select("dataset", "run_ts", F.to_json(F.struct("success", "results")).alias("document"))
+
+
 def validate(
     spark: SparkSession,
     batches: Mapping[str, tuple[DataFrame, Sequence[Check]]],

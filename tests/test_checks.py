@@ -143,6 +143,15 @@ def test_reports_round_trip(df, spark, tmp_path):
     }
 
 
+def test_nested_documents_read_back_as_the_same_results(df, spark, tmp_path):
+    checks = [ck.ValuesNotNull("v"), ck.RowCountBetween(None, 1, 9), ck.ValuesUnique("k")]
+    results = suites.run_suite(df, checks, "d", datetime(2024, 1, 31, 8))
+    (document,) = suites.as_documents(results).collect()
+    (tmp_path / "gx_d_20240131_080000.json").write_text(document.document)
+    back = suites.read_nested_reports(spark, str(tmp_path))
+    assert back.exceptAll(results).count() == 0 and results.exceptAll(back).count() == 0
+
+
 def test_validate_keeps_reports_and_reads_the_tables_once(df, spark, tmp_path, plan_of):
     folder = str(tmp_path / "kept")
     batches = {"d": (df, [ck.ValuesNotNull("v"), ck.ValuesUnique("k")])}
