@@ -10,7 +10,8 @@ from clearwell.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("tests", cores="4", partitions=4)
+    # Four cores, and up to three attempts per task.
+    return local_session("tests", cores="4,3", partitions=4)
 
 
 @pytest.fixture
