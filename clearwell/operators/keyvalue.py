@@ -45,7 +45,9 @@ def batch_numbers(
 ) -> DataFrame:
     """Number consecutive batches of ``size`` rows from 0, without one task seeing all rows.
 
+    ``order`` names the key of the items, so no item repeats.
     For reports on batches of a stated order; the writer cuts its own batches and needs no numbers.
     """
-    numbered = number_rows(df, [], [col(c).asc_nulls_last() for c in order], name)
+    in_order = [col(c).asc_nulls_last() for c in order]
+    numbered = number_rows(df, [], in_order, name, distinct=True)
     return numbered.withColumn(name, F.floor((col(name) - 1) / size))

@@ -9,10 +9,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from clearwell.operators.columns import col
 from clearwell.session import stage
 
-_SLICE, _PLACE = "__slice", "__place"
+_SLICE, _PLACE, _COPY = "__slice", "__place", "__copy"
 
 # An input known to have no more rows than this may have any group sorted by one task.
 WINDOW_ROWS = 500_000
+# A row with more copies than this is too frequent for one task; copies are spread in portions.
+COPIES_PER_TASK = 1_000_000
+PORTION_ROWS = 10_000
 # A table of group starts is sent to every executor if it measures no more than this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -23,6 +26,7 @@ def number_rows(
     order: Sequence[Column],
     name: str,
     at_most: int | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Number the rows of every group from 1 in the given order.
 
@@ -35,15 +39,21 @@ def number_rows(
     place found by a small aggregate, and the rows it had in earlier slices come from a window over
     that aggregate, which holds at most one row per slice and group.
 
-    ``order`` must be total within a group, up to rows that are equal in all columns.
+    ``order`` must be total within a group, up to rows that are equal in all columns. Such copies
+    cannot be told apart by a range, so if a row is found to have very many, copies are numbered
+    first. ``distinct`` spares the search where no row can have many copies.
     """
     if at_most is not None and at_most <= WINDOW_ROWS:
         ranking = Window.partitionBy(*[col(g) for g in group]).orderBy(*order)
         return df.withColumn(name, F.row_number().over(ranking).cast("bigint"))
     keys = [col(g) for g in group] + list(order)
+    rows = df
+    if not distinct and has_frequent_row(df):
+        rows = number_copies(df, _COPY)
+        keys.append(col(_COPY))
     place_in_slice = F.monotonically_increasing_id()
     placed = stage(
-        df.repartitionByRange(*keys)
+        rows.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn(_PLACE, place_in_slice)
         .withColumn(_SLICE, F.shiftright(col(_PLACE), 33)),
@@ -77,6 +87,37 @@ def number_rows(
     )
 
 
+def has_frequent_row(df: DataFrame) -> bool:
+    """Whether some row has more copies than one task should hold.
+
+    Rows are counted by hash, merged inside each task first, so 16 bytes per distinct row are
+    shuffled. Two rows with one hash can only make the answer a needless yes.
+    """
+    hashes = df.select(F.xxhash64(*[col(c) for c in df.columns]).alias("h"))
+    counts = hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    return not counts.filter(F.col("n") > COPIES_PER_TASK).isEmpty()
+
+
+def number_copies(df: DataFrame, name: str) -> DataFrame:
+    """Number the copies of every row from 1, with no task holding all copies of a frequent row.
+
+    Copies are counted, merged inside each task first, and written out again from the count, in
+    portions that are spread over a fixed number of tasks. The number is stated because adaptive
+    execution would merge these tasks by the size of their input, which is small before the copies.
+    """
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = [col(c) for c in df.columns]
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
+    portions = F.sequence(F.lit(0).cast("bigint"), F.floor((col("__copies") - 1) / PORTION_ROWS))
+    portioned = counted.withColumn("__portion", F.explode(portions)).repartition(
+        tasks, "__portion", *columns
+    )
+    first = col("__portion") * PORTION_ROWS + 1
+    last = F.least((col("__portion") + 1) * PORTION_ROWS, col("__copies"))
+    return portioned.select(*columns, F.explode(F.sequence(first, last)).alias(name))
+
+
 def _bytes(starts: DataFrame, group: Sequence[str]) -> int:
     """Size of the start table: two numbers and the text of the group per row."""
     texts = [F.coalesce(F.octet_length(col(g).cast("string")), F.lit(0)) + 16 for g in group]
@@ -106,13 +147,15 @@ def rank_by_value(
     ties: Sequence[str] | None = None,
     name: str = "row_num",
     at_most: int | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Row number by descending value within each group.
 
     Ties follow the columns in ``ties``, which should be short; by default a hash of all other
     columns, so the order of ties is arbitrary but the same in every run.
     """
-    return number_rows(df, [group], _descending(df, group, value, ties), name, at_most)
+    order = _descending(df, group, value, ties)
+    return number_rows(df, [group], order, name, at_most, distinct)
 
 
 def top_k(

@@ -46,5 +46,6 @@ def curate(
     if isinstance(clean.schema[metric].dataType, T.StringType):
         clean = clean.withColumn(metric, numbers.parse_double(cols.col(metric)))
     clean = rows.drop_missing(clean, [metric])
-    # No step adds rows, so the raw count, if it became known, bounds every location.
-    return ranking.rank_by_value(clean, location, metric, ties, at_most=raw_rows)
+    # No step adds rows, so the raw count, if it became known, bounds every location. Rows are
+    # distinct but for those that differed only in the spelling of the unit.
+    return ranking.rank_by_value(clean, location, metric, ties, at_most=raw_rows, distinct=True)

@@ -115,3 +115,29 @@ def test_numbering_without_a_group(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "location_abbr string, data_value double")
     assert ranking.rank_by_value(df).collect() == []
+
+
+def test_copies_of_a_frequent_row_are_numbered_and_spread(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "COPIES_PER_TASK", 100)
+    monkeypatch.setattr(ranking, "PORTION_ROWS", 50)
+    data = [("a", 1.0, "x")] * 1037 + [("a", 1.0, "y")] * 100 + [("a", 2.0, "x")] * 3 + [(None, None, None)] * 2
+    df = spark.createDataFrame(data, "location_abbr string, data_value double, s string").repartition(5)
+    assert ranking.has_frequent_row(df)
+    copies = ranking.number_copies(df, "n")
+    numbers = {}
+    for row in copies.collect():
+        numbers.setdefault((row.location_abbr, row.data_value, row.s), []).append(row.n)
+    assert {k: sorted(v) for k, v in numbers.items()} == {k: list(range(1, data.count(k) + 1)) for k in set(data)}
+    tasks = copies.select("data_value", "s", F.spark_partition_id().alias("task"))
+    assert len({r.task for r in tasks.collect() if (r.data_value, r.s) == (1.0, "x")}) > 1
+    ranked = ranking.rank_by_value(df, ties=["s"]).collect()
+    got = {}
+    for row in ranked:
+        got.setdefault((row.data_value, row.s), []).append(row.row_num)
+    assert sorted(got[(2.0, "x")]) == [1, 2, 3]
+    assert sorted(got[(1.0, "x")]) == list(range(4, 1041)) and sorted(got[(1.0, "y")]) == list(range(1041, 1141))
+    assert sorted(got[(None, None)]) == [1, 2]
+
+
+def test_without_frequent_rows_copies_are_not_counted_out(spark, skewed):
+    assert not ranking.has_frequent_row(spark.createDataFrame(skewed, "g string, v double, i int"))
