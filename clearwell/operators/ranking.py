@@ -39,10 +39,12 @@ def number_rows(
     place found by a small aggregate, and the rows it had in earlier slices come from a window over
     that aggregate, which holds at most one row per slice and group.
 
-    ``order`` must be total within a group, up to rows that are equal in all columns. Such copies
-    cannot be told apart by a range, so if a row is found to have very many, copies are numbered
-    first. ``distinct`` spares the search where no row can have many copies.
+    Rows that ``order`` leaves tied follow a hash of the row, so they too are numbered alike in every
+    run and can be spread. Only copies of a whole row cannot be told apart by a range: if a row is
+    found to have very many, copies are numbered first. ``distinct`` spares the search where no row
+    can have many copies.
     """
+    order = [*order, *_row_hashes(df)]
     if at_most is not None and at_most <= WINDOW_ROWS:
         ranking = Window.partitionBy(*[col(g) for g in group]).orderBy(*order)
         return df.withColumn(name, F.row_number().over(ranking).cast("bigint"))
@@ -129,33 +131,33 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _descending(df: DataFrame, group: str, value: str, ties: Sequence[str] | None) -> list[Column]:
+def _descending(df: DataFrame, value: str, ties: Sequence[str]) -> list[Column]:
     if not isinstance(df.schema[value].dataType, T.NumericType):
         raise TypeError(f"{value} must be numeric: as text, '9' would rank above '10'")
-    if ties is None:
-        # Hashes of the other columns keep the sort keys short, also those that are sampled for the
-        # bounds of the slices; 96 bits leave no ties between different rows in practice.
-        others = [col(c) for c in df.columns if c not in (group, value)] or [F.lit(0)]
-        return [col(value).desc_nulls_last(), F.xxhash64(*others).asc(), F.hash(*others).asc()]
     return [col(value).desc_nulls_last()] + [col(t).asc_nulls_last() for t in ties]
 
 
+def _row_hashes(df: DataFrame) -> list[Column]:
+    """96 bits that tell different rows apart, short enough to be sampled for the slice bounds."""
+    row = [col(c) for c in df.columns]
+    return [F.xxhash64(*row).asc(), F.hash(*row).asc()]
+
+
 def rank_by_value(
     df: DataFrame,
     group: str = "location_abbr",
     value: str = "data_value",
-    ties: Sequence[str] | None = None,
+    ties: Sequence[str] = (),
     name: str = "row_num",
     at_most: int | None = None,
     distinct: bool = False,
 ) -> DataFrame:
     """Row number by descending value within each group.
 
-    Ties follow the columns in ``ties``, which should be short; by default a hash of all other
-    columns, so the order of ties is arbitrary but the same in every run.
+    Ties follow the columns in ``ties``, which should be short, and then a hash of the row, so the
+    order of what is still tied is arbitrary but the same in every run.
     """
-    order = _descending(df, group, value, ties)
-    return number_rows(df, [group], order, name, at_most, distinct)
+    return number_rows(df, [group], _descending(df, value, ties), name, at_most, distinct)
 
 
 def top_k(
@@ -163,7 +165,7 @@ def top_k(
     k: int,
     group: str = "location_abbr",
     value: str = "data_value",
-    ties: Sequence[str] | None = None,
+    ties: Sequence[str] = (),
     name: str = "row_num",
 ) -> DataFrame:
     """The k highest values of each group.
@@ -171,5 +173,6 @@ def top_k(
     The filter on the row number lets every task keep k rows per group before the shuffle, so the
     plain window is safe for groups of any size.
     """
-    ranking = Window.partitionBy(col(group)).orderBy(*_descending(df, group, value, ties))
+    order = [*_descending(df, value, ties), *_row_hashes(df)]
+    ranking = Window.partitionBy(col(group)).orderBy(*order)
     return df.withColumn(name, F.row_number().over(ranking).cast("bigint")).filter(col(name) <= k)

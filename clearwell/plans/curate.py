@@ -26,7 +26,7 @@ def curate(
     location: str = "location_abbr",
     metric: str = "data_value",
     unit: str = "data_value_unit",
-    ties: Sequence[str] | None = None,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Drop empty columns, rename, filter locations, trim, deduplicate, unify units, drop rows
     without a metric and number the rows of each location by descending metric.

@@ -75,11 +75,12 @@ def test_few_known_rows_use_a_plain_window(spark, skewed, plan_of):
     assert {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()}
 
 
-def test_ties_are_numbered_alike_in_every_run_and_on_both_paths(spark):
+@pytest.mark.parametrize("ties", [(), ("n",)])
+def test_ties_are_numbered_alike_in_every_run_and_on_both_paths(spark, ties):
     data = [("a", 1.0, f"s{i}", i % 7) for i in range(300)]
     schema = "location_abbr string, data_value double, s string, n int"
     runs = [
-        ranking.rank_by_value(spark.createDataFrame(rows, schema).repartition(parts), at_most=bound)
+        ranking.rank_by_value(spark.createDataFrame(rows, schema).repartition(parts), ties=ties, at_most=bound)
         for rows, parts, bound in ((data, 3, None), (data[::-1], 5, None), (data, 2, len(data)))
     ]
     first, *others = [sorted(map(tuple, r.collect())) for r in runs]
@@ -131,6 +132,7 @@ def test_copies_of_a_frequent_row_are_numbered_and_spread(spark, monkeypatch):
     tasks = copies.select("data_value", "s", F.spark_partition_id().alias("task"))
     assert len({r.task for r in tasks.collect() if (r.data_value, r.s) == (1.0, "x")}) > 1
     ranked = ranking.rank_by_value(df, ties=["s"]).collect()
+    assert len(ranked) == len(data)
     got = {}
     for row in ranked:
         got.setdefault((row.data_value, row.s), []).append(row.row_num)
