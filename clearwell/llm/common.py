@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than blank, tab, line feed, vertical tab, form feed and
@@ -24,3 +27,15 @@ def has(df: DataFrame, **names: str) -> None:
     """Raise if a named column is absent."""
     if absent := [f"{use}={name!r}" for use, name in names.items() if name not in df.columns]:
         raise ValueError(f"no such column: {', '.join(absent)}; there are {df.columns}")
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Put the folder of this library on the import path of Python workers that can reach it.
+
+    On a cluster that does not share the folder the library is submitted with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm import mixing
+from clearwell.llm import language, mixing, near_duplicates, token_counts
+from clearwell.llm.common import fold, let_workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,7 @@ def query(oracle: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -69,3 +71,24 @@ def op1_mix(spark, folder):
     return mixed.select(
         F.col("key").alias("doc_id"), "size", F.col("total").alias("source_size"), "target", "taken"
     )
+
+
+@query()
+def op3_language(spark, folder):
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(True))
+    model = language.fit(documents.where(~held_out))
+    found = documents.select(
+        "doc_id", held_out.alias("held_out"), language.predict(spark, model, F.col("text")).alias("found")
+    )
+    return found.select("doc_id", "held_out", "found.*")
+
+
+@query()
+def op5_token_counts(spark, folder):
+    return token_counts.token_counts(table(spark, folder, "documents"), file="byte_bpe_50k.json", limit=512)
+
+
+@query()
+def op10_near_duplicates(spark, folder):
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
