@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm import language, mixing, near_duplicates, token_counts
+from clearwell.llm import decontamination, language, mixing, near_duplicates, token_counts, training_order
 from clearwell.llm.common import fold, let_workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,14 @@ def op5_token_counts(spark, folder):
 @query()
 def op10_near_duplicates(spark, folder):
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
+
+
+@query()
+def op2_training_order(spark, folder):
+    return training_order.training_order(table(spark, folder, "documents"), seed=42, length=512)
+
+
+@query()
+def op4_decontaminate(spark, folder):
+    documents, benchmark = (table(spark, folder, name) for name in ("documents", "benchmark"))
+    return decontamination.contaminated(documents, benchmark, similarity=0.8, recall=0.95).drop("text")

@@ -6,75 +6,17 @@ this tokenizer are encoded once each and appended to it; every document then fin
 
 from __future__ import annotations
 
-import base64
-import hashlib
-import json
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import pandas as pd
-import public_tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearwell.llm.common import has
+from clearwell.llm.tokenizing import encoder, tokenizer_version
 from clearwell.session import new_folder
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_bytes long, n_tokens long"
-#: Below this code point the character classes that split text are the same in both libraries.
-SAME_CLASSES = "ɐ"
-
-
-@lru_cache(maxsize=4)
-def _exact_counter(file: str) -> Callable[[str], int]:
-    path = public_tokenizers.path(file)
-    if file.endswith(".model"):
-        import sentencepiece
-
-        pieces = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda text: len(pieces.encode(text, num_threads=1))
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
-
-
-@lru_cache(maxsize=4)
-def counter(file: str) -> Callable[[str], int]:
-    """A function that gives the number of tokens of a text as the file's own library does.
-
-    The byte-level vocabulary also exists as ranks, whose encoder is some four times as fast and gives the same
-    tokens. It takes the texts of Latin characters; all others go to the file's own library.
-    """
-    exact = _exact_counter(file)
-    if file != "byte_bpe_50k.json":
-        return exact
-    import tiktoken
-
-    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    with open(public_tokenizers.path(file)) as source:
-        special = {t["content"]: t["id"] for t in json.load(source)["added_tokens"] if t["special"]}
-    fast = tiktoken.Encoding(
-        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
-    )
-
-    def count(text: str) -> int:
-        if not text.isascii() and max(text) >= SAME_CLASSES:
-            return exact(text)
-        if any(s in text for s in special):
-            return len(fast.encode(text, allowed_special="all"))
-        return len(fast.encode_ordinary(text))
-
-    return count
-
-
-@lru_cache(maxsize=4)
-def tokenizer_version(file: str) -> str:
-    with open(public_tokenizers.path(file), "rb") as source:
-        return hashlib.file_digest(source, "sha256").hexdigest()
 
 
 def content_digest(text: Column) -> Column:
@@ -90,11 +32,11 @@ def read_cache(spark, path: str) -> DataFrame:
 
 def _encode(texts: DataFrame, file: str) -> DataFrame:
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = counter(file)
+        encode = encoder(file)
         for batch in batches:
             yield pd.DataFrame({
                 "content": batch["content"], "n_bytes": batch["n_bytes"],
-                "n_tokens": [count(t) for t in batch["text"]],
+                "n_tokens": [len(encode(t)) for t in batch["text"]],
             })
 
     return texts.mapInPandas(counted, "content binary, n_bytes long, n_tokens long")
