@@ -245,7 +245,10 @@ class Finder:
             # Within ``most`` edits all but ``most`` of the item's words are in the window.
             inside = np.concatenate([[0], np.cumsum(self.members[item][numbers])])
             ends = np.minimum(starts + m + most, len(numbers))
-            for start in starts[inside[ends] - inside[starts] >= m - most].tolist():
+            starts = starts[inside[ends] - inside[starts] >= m - most]
+            # The start of an unedited passage has most of the item's words in a window of its size.
+            alike = inside[np.minimum(starts + m, len(numbers))] - inside[starts]
+            for start in starts[np.argsort(-alike, kind="stable")].tolist():
                 owner = int(document[start])
                 known = best.get((owner, int(item)), (most + 1, 0, 0))
                 if not known[0]:
