@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm import decontamination, language, mixing, near_duplicates, token_counts, training_order
+from clearwell.llm import decontamination, language, mixing, near_duplicates, token_counts, toxicity, training_order
 from clearwell.llm.common import fold, let_workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,14 @@ def op2_training_order(spark, folder):
 def op4_decontaminate(spark, folder):
     documents, benchmark = (table(spark, folder, name) for name in ("documents", "benchmark"))
     return decontamination.contaminated(documents, benchmark, similarity=0.8, recall=0.95).drop("text")
+
+
+@query()
+def op6_toxicity(spark, folder):
+    documents, labels = (table(spark, folder, name) for name in ("documents", "labels"))
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(True))
+    model = toxicity.fit(documents.where(~held_out), labels.where(~held_out))
+    scored = documents.select(
+        "doc_id", held_out.alias("held_out"), toxicity.score(spark, model, F.col("text")).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
