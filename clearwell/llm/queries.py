@@ -7,9 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearwell.llm import decontamination, language, mixing, near_duplicates, token_counts, toxicity, training_order
+from clearwell.llm import (
+    decontamination,
+    language,
+    licences,
+    mixing,
+    near_duplicates,
+    pages,
+    token_counts,
+    topk,
+    toxicity,
+    training_order,
+)
 from clearwell.llm.common import fold, let_workers_import
 
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -114,3 +126,62 @@ def op6_toxicity(spark, folder):
         "doc_id", held_out.alias("held_out"), toxicity.score(spark, model, F.col("text")).alias("score")
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def _canonical_sql(text: str) -> str:
+    """The canonical form of a licence text in SQL."""
+    out = f"regexp_replace(lower(coalesce({text}, '')), '{licences.COPYRIGHT_LINE}', '\\1', 'g')"
+    out = f"' ' || replace(trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ', '  ') || ' '"
+    for pair in licences.SPELLINGS:
+        other, one = (f" {s.replace(' ', '  ')} " for s in pair)
+        out = f"replace({out}, '{other}', '{one}')"
+    return f"trim(replace({out}, '  ', ' '))"
+
+
+_KNOWN_SQL = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in licences.KNOWN)
+
+
+@query(f"""
+WITH known AS (
+  SELECT sha256({_canonical_sql("body")}) AS digest, min(name) AS licence
+  FROM (VALUES {_KNOWN_SQL}) AS t(name, body) GROUP BY 1),
+whole AS (SELECT doc_id, {_canonical_sql("text")} AS form FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+hits AS (
+  SELECT DISTINCT doc_id, digest, licence
+  FROM (SELECT doc_id, sha256({_canonical_sql("line")}) AS digest FROM lines
+        WHERE regexp_matches(line, '[a-zA-Z]{{2}}')) JOIN known USING (digest)),
+found AS (
+  SELECT doc_id, count(*) AS n, array_to_string(list_sort(list(DISTINCT licence)), ',') AS notices
+  FROM hits GROUP BY doc_id)
+SELECT w.doc_id, CASE WHEN form <> '' THEN sha256(form) END AS digest, k.licence,
+  coalesce(n, 0) AS n_notices, coalesce(notices, '') AS notices
+FROM whole w LEFT JOIN known k ON k.digest = CASE WHEN form <> '' THEN sha256(form) END
+LEFT JOIN found f ON w.doc_id IS NOT DISTINCT FROM f.doc_id
+""")
+def op7_licences(spark, folder):
+    return licences.licences(table(spark, folder, "documents"))
+
+
+@query("""
+WITH usable AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+    vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
+""")
+def op8_top_k(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return topk.top_k(vectors, is_query=F.col("vec_id") % 50 == 0, k=5)
+
+
+@query()
+def op9_main_text(spark, folder):
+    return pages.extract(table(spark, folder, "pages"))
