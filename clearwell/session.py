@@ -1,18 +1,22 @@
-"""Sessions for tests and benches, and the shared folder used between jobs."""
+"""Sessions for tests and benches, and staged data in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folders: dict[str, str] = {}
+#: Folders that this process has staged and not yet removed.
+_staged: list[str] = []
 
 
-def local_session(name: str = "clearwell", cores: str = "8", partitions: int = 8) -> SparkSession:
+def local_session(
+    name: str = "clearwell", cores: str = "8", partitions: int = 8, folder: str | None = None
+) -> SparkSession:
     """A session for tests and benches; on a cluster the submitted session is used as it is."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
@@ -20,26 +24,20 @@ def local_session(name: str = "clearwell", cores: str = "8", partitions: int = 8
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
-
-    A folder of this machine is used only by a local session that names none.
-    """
+    """The folder that every executor can reach: ``spark.checkpoint.dir``, or else one in the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.conf.get("spark.app.id")
-    if app not in _own_folders:
-        _own_folders[app] = tempfile.mkdtemp(prefix="clearwell-")
-    return _own_folders[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.staging"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -52,8 +50,35 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     The result no longer depends on the plan that made it, so a lost executor
     costs a re-read instead of a recomputation, and values that depend on where
-    a row was processed are fixed once the write has been committed.
+    a row was processed are fixed once the write has been committed. The data
+    stay until :func:`discard`, the end of :func:`staging`, or the retention of
+    the shared folder.
     """
     path = new_folder(df.sparkSession, label)
+    _staged.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _staged.remove(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the data of a staged DataFrame that no later plan reads."""
+    _remove(df.sparkSession, df.staged_path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was staged inside; results must have been written or collected by then."""
+    before = set(_staged)
+    try:
+        yield
+    finally:
+        for path in [p for p in _staged if p not in before]:
+            _remove(spark, path)

@@ -9,9 +9,10 @@ from clearwell.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     # Four cores, and up to three attempts per task.
-    return local_session("tests", cores="4,3", partitions=4)
+    folder = str(tmp_path_factory.mktemp("shared"))
+    return local_session("tests", cores="4,3", partitions=4, folder=folder)
 
 
 @pytest.fixture
