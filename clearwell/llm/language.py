@@ -155,7 +155,7 @@ def fit(
         counted = [gram_counts(t) for t in group.sort_values("digest")["text"]]
         counted = [(c, letters) for c, letters in counted if letters]
         if not counted:
-            return pd.DataFrame({"label": [], "centroid": [], "length": [], "cosine": []})
+            return pd.DataFrame({"label": group["label"].iloc[:1], "centroid": None, "length": 0, "cosine": 0.0})
         vectors = np.stack([_vector(c, idf) for c, _ in counted])
         found = _cluster(vectors, clusters)
         cosines = (vectors @ found.T).max(axis=1)

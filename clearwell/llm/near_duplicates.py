@@ -5,11 +5,12 @@
 2. Inverted lists of the retained values generate overlaps. Two sets at the threshold share, but for a chance of
    ``MISS``, a known number of retained values; so only the rarest values of a sketch have to be
    indexed for them to meet (prefix filter), and very common shingles make no lists.
-3. Each list compares its members with one of them, which joins most of a group of near copies at linear cost.
-   What is left are lists whose members are still in different components: members outside the
-   most frequent component are compared with all others, in blocks of bounded size.
-4. A comparison estimates the similarity from the union of the sketches, drops what cannot
-   reach the threshold and confirms the rest on full sets.
+3. Every set has a home, its longest list. Homes are compared inside, very long ones by one
+   member first, which joins most of a group of near copies at linear cost. What is left are lists
+   whose members are still in different components: members outside the most frequent component are
+   compared with all others, in blocks of bounded size.
+4. A comparison estimates the similarity from the union of the sketches and drops what cannot
+   reach the threshold; the texts of the rest are fetched and confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -23,19 +24,21 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearwell.llm.common import has
 from clearwell.llm.graph import components
+from clearwell.llm.membership import members, without
 from clearwell.llm.shingles import set_digest, shingle_set
-from clearwell.session import stage
+from clearwell.session import discard, stage
 
 #: Chance that one linked pair is lost by the sketches.
 MISS = 1e-9
+#: Bits of the map of shared values.
+VALUE_BITS = 26
 #: Rows of either side that are compared in one piece.
 BLOCK_ROWS = 1024
-_ROW = "home long, block int, chunk int, side int, node long, component long, text string"
 
 
 @lru_cache(maxsize=4096)
@@ -77,16 +80,54 @@ def sketches(documents: DataFrame, key: str, text: str, width: int, k: int) -> D
     )
 
 
+def _likely_shared(nodes: DataFrame, frequency: DataFrame, k: int, percent: int) -> DataFrame:
+    """``node, n_shingles, value`` of the values that more than one sketch has, and a few others.
+
+    Sets that share fewer values than a partner at the threshold would need are left out before anything is
+    shuffled. The values are known by a bitmap of fixed size (8 MB), one bit for many values.
+    """
+    place = F.col("value").bitwiseAND(F.lit((1 << VALUE_BITS) - 1))
+    maps = frequency.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("place") % (1 << 15)).alias("bits")
+    )
+    bitmap = np.zeros(1 << (VALUE_BITS - 3), dtype=np.uint8)
+    for row in maps.collect():  # 2**VALUE_BITS bits at most
+        bitmap[row["bucket"] << 12 : (row["bucket"] + 1) << 12] = np.frombuffer(row["bits"], dtype=np.uint8)
+    shared = nodes.sparkSession.sparkContext.broadcast(bitmap)
+    least = least_overlap(k, percent)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, sketches_ = batch.column(1).to_numpy(), batch.column(2)
+            values, ends = sketches_.flatten().to_numpy(), np.asarray(sketches_.offsets)
+            bits = values & ((1 << VALUE_BITS) - 1)
+            hit = (shared.value[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1
+            total = np.concatenate([[0], np.cumsum(hit, dtype=np.int64)])
+            ends = ends - ends[0]
+            hits = total[ends[1:]] - total[ends[:-1]]
+            needed = np.where(sizes * 100 <= k * percent, -(-sizes * percent // 100), least)
+            row = np.repeat(np.arange(len(sizes)), np.diff(ends))
+            wanted = np.flatnonzero(hit.astype(bool) & (hits >= needed)[row])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row[wanted])), pa.array(sizes[row[wanted]]), pa.array(values[wanted])],
+                names=["node", "n_shingles", "value"],
+            )
+
+    return nodes.select("node", "n_shingles", "sketch").mapInArrow(kept, "node long, n_shingles long, value long")
+
+
 def index_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``value, node`` of the inverted lists, with ``df``, how many sketches retain the value.
+    """``value, node, n_shingles`` of the inverted lists.
 
-    A sketch's values are ordered by df. Of ``kept`` values, any partner at the threshold shares at
-    least ``needed``, so it shares one of the first ``kept - needed + 1``. Values of a single sketch take
-    their places in that order but make no list.
+    A sketch's values are ordered by how many sketches retain them. Of ``kept`` values, any partner at the
+    threshold shares at least ``needed``, so it shares one of the first ``kept - needed + 1``. Values of a
+    single sketch take their places in that order but make no list.
     """
-    values = nodes.select("node", "n_shingles", F.explode("sketch").alias("value"))
-    frequency = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = values.join(stage(frequency, "near-frequencies"), "value")
+    values = nodes.select(F.explode("sketch").alias("value"))
+    frequency = stage(
+        values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-frequencies"
+    )
+    shared = _likely_shared(nodes, frequency, k, percent).join(frequency, "value")
     whole = F.col("n_shingles") * 100 <= k * percent
     needed = F.when(whole, F.ceil(F.col("n_shingles") * percent / 100)).otherwise(least_overlap(k, percent))
     # At most k values are gathered for a node.
@@ -97,33 +138,33 @@ def index_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
     listed = F.size("ordered") - needed + 1
     ordered = ordered.withColumn("listed", listed.cast("int")).where("listed > 0")
     ordered = ordered.withColumn("ordered", F.slice("ordered", 1, F.col("listed")))
-    return ordered.select("node", F.explode("ordered").alias("e")).select("node", "e.value", "e.df")
+    return ordered.select("node", "n_shingles", F.explode("ordered.value").alias("value"))
 
 
 @dataclass
 class _Side:
-    """Sets of one side of a comparison, with their sketches in a matrix."""
+    """Sketches of one side of a comparison, and the full sets once they are needed."""
 
-    nodes: np.ndarray
     components: np.ndarray
-    sets: list[np.ndarray]
+    sizes: np.ndarray
+    sketches: list[np.ndarray]
+    sets: list[np.ndarray] | None
     k: int
 
     def __post_init__(self):
-        self.sizes = np.array([len(s) for s in self.sets])
-        self.kept = np.minimum(self.sizes, self.k)
         top = np.iinfo(np.uint64).max
-        self.sketch = np.full((len(self.sets), self.k), top, dtype=np.uint64)
-        for i, s in enumerate(self.sets):
-            self.sketch[i, : self.kept[i]] = s[: self.k]
+        self.kept = np.array([len(s) for s in self.sketches])
+        self.matrix = np.full((len(self.sketches), self.k), top, dtype=np.uint64)
+        for i, s in enumerate(self.sketches):
+            self.matrix[i, : len(s)] = s
         # Up to its bound a sketch knows its whole set.
-        self.bound = np.where(self.sizes <= self.k, top, self.sketch[:, -1])
-        self.flat_sketch = self._inverted([s[: self.k] for s in self.sets])
-        self.flat_sets = self._inverted(self.sets)
+        self.bound = np.where(self.sizes <= self.k, top, self.matrix[:, -1])
+        self.by_sketch = self._inverted(self.sketches)
+        self.by_set = self._inverted(self.sets) if self.sets else None
 
     @staticmethod
     def _inverted(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        values = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        values = np.concatenate(parts)
         owners = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         order = np.argsort(values, kind="stable")
         return values[order], owners[order]
@@ -133,65 +174,117 @@ class _Side:
         flat, owners = inverted
         start, end = np.searchsorted(flat, values, "left"), np.searchsorted(flat, values, "right")
         length = end - start
-        total = int(length.sum())
-        if not total:
-            return np.zeros(len(self.sets), dtype=np.int64)
-        offsets = np.repeat(start - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(total)
-        return np.bincount(owners[offsets], minlength=len(self.sets))
+        places = np.repeat(start - np.cumsum(length) + length, length) + np.arange(length.sum())
+        return np.bincount(owners[places], minlength=len(self.sketches))
 
 
-def _links(asked: _Side, others: _Side, percent: int) -> set[tuple[int, int]]:
-    """Pairs of components that a pair of sets at the threshold joins."""
-    k = asked.k
-    enough = np.array([least_overlap(m, percent) for m in range(2 * k + 1)])
-    found = set()
-    for i, whole in enumerate(asked.sets):
-        n = len(whole)
-        common = others.shared(whole[:k], others.flat_sketch)
+def _candidates(asked: _Side, others: _Side, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For every set asked about, which others of other components may reach the threshold.
+
+    Both sketches are complete up to the smaller of their bounds, so the values up to there are a sample of the union.
+    """
+    enough = np.array([least_overlap(m, percent) for m in range(2 * asked.k + 1)])
+    for i, sketch in enumerate(asked.sketches):
+        common = others.shared(sketch, others.by_sketch)
         bound = np.minimum(asked.bound[i], others.bound)
-        own = np.searchsorted(whole[:k], bound, "right")
-        theirs = np.minimum((others.sketch <= bound[:, None]).sum(axis=1), others.kept)
-        candidate = (common >= enough[own + theirs - common]) & (others.components != asked.components[i])
-        candidate &= (np.minimum(n, others.sizes) * 100 >= np.maximum(n, others.sizes) * percent)
+        own = np.searchsorted(sketch, bound, "right")
+        theirs = np.minimum((others.matrix <= bound[:, None]).sum(axis=1), others.kept)
+        n = asked.sizes[i]
+        yield i, (
+            (common >= enough[own + theirs - common])
+            & (others.components != asked.components[i])
+            & (np.minimum(n, others.sizes) * 100 >= np.maximum(n, others.sizes) * percent)
+        )
+
+
+def _linked(asked: _Side, others: _Side, percent: int) -> list[tuple[int, int]]:
+    """Pairs of components that two sets at the threshold join, confirmed on the full sets."""
+    found = set()
+    for i, candidate in _candidates(asked, others, percent):
         if not candidate.any():
             continue
-        shared = others.shared(whole, others.flat_sets)
-        linked = candidate & (shared * 100 >= (n + others.sizes - shared) * percent)
+        shared = others.shared(asked.sets[i], others.by_set)
+        linked = candidate & (shared * 100 >= (asked.sizes[i] + others.sizes - shared) * percent)
         for component in np.unique(others.components[linked]):
             a, b = int(asked.components[i]), int(component)
             found.add((max(a, b), min(a, b)))
-    return found
+    return sorted(found)
+
+
+#: Side of a row inside its piece: it is compared with the others, is one of the others, or both.
+ASKED, OTHER, BOTH = 0, 1, 2
+PIECE = ["home", "block", "chunk"]
+ROW = [*PIECE, "side", "node", "component"]
+ROW_SCHEMA = "home long, block int, chunk int, side int, node long, component long"
+
+
+def _sides(rows: list[tuple], make) -> tuple[_Side, _Side] | None:
+    asked, others = ([r for r in rows if r[3] != wrong] for wrong in (OTHER, ASKED))
+    if not asked or not others or len(rows) < 2:
+        return None
+    first = make(asked)
+    return first, (first if rows[0][3] == BOTH else make(others))
 
 
-def _compare(rows: DataFrame, width: int, k: int, percent: int) -> DataFrame:
-    """Links ``(a, b)`` between components. Side 0 is compared with side 1 inside each piece."""
+def _by_piece(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+    rows = (row for batch in batches for row in batch.itertuples(index=False, name=None))
+    for _, piece in groupby(rows, key=lambda row: row[:3]):
+        yield list(piece)
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, list]]:
-        rows = (row for batch in batches for row in batch.itertuples(index=False, name=None))
-        yield from groupby(rows, key=lambda row: row[:3])
 
-    def side(rows: list[tuple]) -> _Side:
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*PIECE).sortWithinPartitions(*PIECE, "side", "node")
+
+
+def _compare(pieces: DataFrame, nodes: DataFrame, documents: DataFrame, width: int, k: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between components whose sets meet in a piece.
+
+    First only sketches are moved, and rows without a candidate are dropped; the texts of the rest follow.
+    """
+
+    def from_sketches(rows: list[tuple]) -> _Side:
+        sketched = [np.asarray(r[7], dtype=np.int64).view(np.uint64) for r in rows]
+        return _Side(np.array([r[5] for r in rows]), np.array([r[6] for r in rows]), sketched, None, k)
+
+    def from_texts(rows: list[tuple]) -> _Side:
+        sets = [shingle_set(r[6], width) for r in rows]
         return _Side(
-            np.array([r[4] for r in rows]), np.array([r[5] for r in rows]),
-            [shingle_set(r[6], width) for r in rows], k,
+            np.array([r[5] for r in rows]), np.array([len(s) for s in sets]), [s[:k] for s in sets], sets, k
         )
 
-    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, piece in pieces(batches):
-            piece = list(piece)
-            asked, others = [r for r in piece if r[3] == 0], [r for r in piece if r[3] == 1]
-            if asked and others and (links := _links(side(asked), side(others), percent)):
-                yield pd.DataFrame(sorted(links), columns=["a", "b"])
-
-    key = ["home", "block", "chunk"]
-    return rows.repartition(*key).sortWithinPartitions(*key, "side", "node").mapInPandas(compared, "a long, b long")
+    def screened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _by_piece(batches):
+            if (sides := _sides(rows, from_sketches)) is None:
+                continue
+            asked, others = sides
+            likely = np.zeros(len(asked.sizes), dtype=bool), np.zeros(len(others.sizes), dtype=bool)
+            for i, candidate in _candidates(asked, others, percent):
+                likely[0][i] |= candidate.any()
+                likely[1][:] |= candidate
+            # Rows are sorted by side; where a row is both, either reason keeps it.
+            keep = likely[0] | likely[1] if asked is others else np.concatenate(likely)
+            if keep.any():
+                yield pd.DataFrame([r[:6] for r, wanted in zip(rows, keep, strict=True) if wanted], columns=ROW)
+
+    def confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _by_piece(batches):
+            if (sides := _sides(rows, from_texts)) and (links := _linked(*sides, percent)):
+                yield pd.DataFrame(links, columns=["a", "b"])
+
+    sketched = stage(pieces, "near-pieces").join(nodes.select("node", "n_shingles", "sketch"), "node")
+    likely = stage(
+        _dealt(sketched.select(*ROW, "n_shingles", "sketch")).mapInPandas(screened, ROW_SCHEMA), "near-likely"
+    )
+    texts = members(documents, "node", likely.select("node").distinct())
+    read = likely.join(texts, "node").select(*ROW, "text")
+    return stage(_dealt(read).mapInPandas(confirmed, "a long, b long"), "near-links")
 
 
 def _blocks(count: Column) -> Column:
     return F.ceil(count / BLOCK_ROWS).cast("int")
 
 
-def _pieces(asked: DataFrame, others: DataFrame, texts: DataFrame) -> DataFrame:
+def _pieces(asked: DataFrame, others: DataFrame) -> DataFrame:
     """Rows of :func:`_compare`. ``asked`` and ``others`` are ``(home, node, component)``.
 
     Inside a home both sides are dealt out over blocks of bounded size, and each block of one side meets
@@ -206,39 +299,16 @@ def _pieces(asked: DataFrame, others: DataFrame, texts: DataFrame) -> DataFrame:
     place = F.xxhash64("node")
     all_blocks, all_chunks = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("blocks", "chunks"))
     one = asked.join(sizes, "home").withColumns(
-        {"chunk": F.pmod(place, F.col("chunks")).cast("int"), "block": all_blocks, "side": F.lit(0)}
+        {"chunk": F.pmod(place, F.col("chunks")).cast("int"), "block": all_blocks, "side": F.lit(ASKED)}
     )
     two = others.join(sizes, "home").withColumns(
-        {"block": F.pmod(place, F.col("blocks")).cast("int"), "chunk": all_chunks, "side": F.lit(1)}
-    )
-    columns = ["home", "block", "chunk", "side", "node", "component"]
-    return stage(one.select(*columns).unionByName(two.select(*columns)), "near-pieces").join(texts, "node").select(
-        *columns, "text"
+        {"block": F.pmod(place, F.col("blocks")).cast("int"), "chunk": all_chunks, "side": F.lit(OTHER)}
     )
-
-
-def _members(df: DataFrame, key: str, ids: DataFrame, bits: int = 24) -> DataFrame:
-    """Rows of ``df`` whose key is among ``ids.node``.
-
-    A bitmap of fixed size (2 MB) drops most other rows before texts are shuffled.
-    """
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
-    maps = ids.select(bit("node").alias("bit")).groupBy(F.floor(F.col("bit") / 32768).alias("bucket")).agg(
-        F.bitmap_construct_agg((F.col("bit") % 32768)).alias("bits")
-    )
-    place = bit(key) % 32768
-    byte = F.conv(F.hex(F.substring("bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.expr("shiftright(byte, cast(place % 8 AS int)) & 1 = 1")
-    likely = (
-        df.withColumns({"bucket": F.floor(bit(key) / 32768), "place": place})
-        .join(F.broadcast(maps), "bucket")  # 2**24 bits at most
-        .withColumn("byte", byte).where(is_set).select(*df.columns)
-    )
-    return likely.join(ids.select(F.col("node").alias(key)), key, "left_semi")
+    return one.select(*ROW).unionByName(two.select(*ROW))
 
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
-                    percent: int = 80, k: int = 64) -> DataFrame:
+                    percent: int = 80, k: int = 128) -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row of ``documents``.
 
     Rows are linked if ``100 * |intersection| >= percent * |union|`` of their shingle sets; the component is the
@@ -248,55 +318,73 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     are not read. The chance to miss one linked pair is ``MISS``.
     """
     has(documents, key=key, text=text)
-    found = stage(sketches(documents, key, text, width, k), "near-sketches")
-    usable = found.where("n_shingles > 0 AND key IS NOT NULL")
+    sketched = stage(sketches(documents, key, text, width, k), "near-sketches")
+    found = stage(sketched.drop("sketch"), "near-documents")
     nodes = stage(
-        usable.groupBy("digest").agg(
+        sketched.where("n_shingles > 0 AND key IS NOT NULL").groupBy("digest").agg(
             F.min("key").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
         ),
         "near-nodes",
     )
-    entries = stage(index_entries(nodes, k, percent), "near-entries")
-    sizes = entries.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    entries = stage(entries.join(stage(sizes, "near-lists"), "value"), "near-entries")
+    discard(sketched)
+    listed = stage(index_entries(nodes, k, percent), "near-entries")
+    sizes = listed.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    entries = stage(listed.join(stage(sizes, "near-lists"), "value"), "near-entries")
+    by_set = stage(nodes.select("digest", "node"), "near-sets")
+    listed_nodes = stage(members(nodes.drop("digest"), "node", entries.select("node").distinct()), "near-nodes")
+    discard(nodes)
+    nodes = listed_nodes
     texts = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    texts = stage(_members(texts, "node", entries.select("node").distinct()), "near-texts")
 
-    # The longest list of a node is its home; its members are compared with one of them.
+    # The longest list of a node is its home. Homes of up to a block are compared in full, the members
+    # of larger ones with one of them.
     longest = F.max(F.struct("members", "value"))["value"]
-    homes = stage(entries.groupBy("node").agg(longest.alias("home")), "near-homes")
-    alone = homes.withColumn("component", F.col("node"))
-    centres = homes.groupBy("home").agg(F.min("node").alias("node")).withColumn("component", F.col("node"))
-    links = _compare(_pieces(centres, alone, texts), width, k, percent)
-    first = stage(components(stage(links, "near-links")), "near-first")
-
-    # Lists that still have several components.
-    labels = entries.select("node").distinct().join(first, "node", "left").select(
-        "node", F.coalesce("component", "node").alias("component")
+    homes = entries.groupBy("node", "n_shingles").agg(longest.alias("home"))
+    homes = stage(homes.withColumn("component", F.col("node")), "near-homes")
+    sizes = stage(homes.groupBy("home").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre")),
+                  "near-sizes")
+    homes = stage(homes.join(sizes, "home"), "near-homes")
+    # Of at most a block of members, those without another of a like size have nothing to link with.
+    by_size = Window.partitionBy("home").orderBy("n_shingles", "node")
+    n, smaller, larger = F.col("n_shingles"), F.lag("n_shingles").over(by_size), F.lead("n_shingles").over(by_size)
+    alike = F.coalesce(smaller * 100 >= n * percent, F.lit(False)) | F.coalesce(n * 100 >= larger * percent, F.lit(False))
+    small = homes.where(f"size BETWEEN 2 AND {BLOCK_ROWS}").withColumn("alike", alike).where("alike").select(
+        "home", F.lit(0).alias("block"), F.lit(0).alias("chunk"), F.lit(BOTH).alias("side"), "node", "component"
+    )
+    large = homes.where(f"size > {BLOCK_ROWS}").select("home", "node", "component", "centre")
+    around = _pieces(large.where("node = centre").drop("centre"), large.where("node <> centre").drop("centre"))
+    links = _compare(small.unionByName(around), nodes, texts, width, k, percent)
+    first = stage(components(links), "near-first")
+
+    # Lists that still have several components: members outside the most frequent one against all
+    # members of the homes that the list reaches.
+    labels = homes.select("node", "home", "size").join(first, "node", "left").select(
+        "node", "home", "size", F.coalesce("component", "node").alias("component")
     )
-    labelled = stage(entries.join(stage(labels, "near-labels"), "node"), "near-labelled")
+    labels = stage(labels, "near-labels")
+    labelled = stage(entries.join(labels, "node"), "near-labelled")
     per_list = labelled.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_list.groupBy("value").agg(
         F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component"))["component"].alias("main")
     ).where("parts > 1")
     mixed = stage(labelled.join(stage(mixed, "near-mixed"), "value"), "near-mixed")
-    homes = stage(
-        mixed.groupBy("node", "component").agg(longest.alias("home")), "near-homes"
+    reached = mixed.groupBy("value", F.col("home").alias("to"), "size").agg(
+        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
     )
-    others = homes.select("home", "node", "component")
-    reached = stage(
-        mixed.join(homes.select("node", "home"), "node").select("value", "home").distinct(), "near-reached"
-    )
-    asked = mixed.where("component <> main").select("value", "node", "component").join(reached, "value")
-    asked = stage(asked.select("home", "node", "component").distinct(), "near-asked")
-    links = _compare(_pieces(asked, others, texts), width, k, percent)
-    second = stage(components(stage(links, "near-links")), "near-second")
+    asked = mixed.where("component <> main").select("value", "node", "n_shingles", "component", "home").join(
+        stage(reached, "near-reached"),
+        ["value"],
+    ).where(f"(to <> home OR size > {BLOCK_ROWS}) AND n_shingles * 100 >= least * {percent}"
+            f" AND most * 100 >= n_shingles * {percent}")
+    asked = stage(asked.select(F.col("to").alias("home"), "node", "component").distinct(), "near-asked")
+    links = _compare(_pieces(asked, labels.select("home", "node", "component")), nodes, texts, width, k, percent)
+    second = stage(components(links), "near-second")
 
     joined = first.join(second.select(F.col("node").alias("component"), F.col("component").alias("last")), "component",
                         "left").select("node", F.coalesce("last", "component").alias("component"))
     # Single nodes of the first round may be part of a component of the second.
     labels = stage(joined.unionByName(second.join(first.select("node"), "node", "left_anti")), "near-labels")
-    by_set = nodes.select("digest", "node").join(labels, "node", "left").select(
+    by_set = by_set.join(labels, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component")
     )
     by_set = stage(by_set, "near-components")
@@ -304,3 +392,18 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component_id")
     )
     return result.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
+
+
+def deduplicate(documents: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """The documents without those that are near-duplicates of one with a smaller key; all columns stay.
+
+    Of rows that share a key one stays. Rows with a NULL key, and documents without words, all stay.
+    """
+    found = stage(near_duplicates(documents, key, **options).select(key, "kept"), "near-result")
+    repeated = found.where(f"{key} IS NOT NULL").groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
+    repeated = stage(repeated.where("n > 1"), "near-repeated")
+    single = without(documents, key, found.where("NOT kept").select(key).unionByName(repeated.select(key)).distinct())
+    if repeated.isEmpty():
+        return single
+    one_of_each = members(documents, key, repeated.where("kept").select(key)).dropDuplicates([key])
+    return single.unionByName(one_of_each)
