@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearwell.llm.common import has
+from clearwell.llm.membership import without
+from clearwell.session import stage
 
 SAMPLES = 3
 MOST_REPETITIONS = 32
@@ -360,3 +362,9 @@ def _search(spark, rows: DataFrame, items: list[tuple[int, list[str]]], similari
                 )
 
     return rows.mapInArrow(found, RESULT)
+
+
+def remove(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """The documents that hold no item of the benchmark, with all columns; those with a NULL key all stay."""
+    held = contaminated(documents, benchmark, key, **options).select(key).dropna().distinct()
+    return without(documents, key, stage(held, "contaminated"))
