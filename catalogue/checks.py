@@ -292,7 +292,7 @@ SELECT dataset, count(*) AS total, count(*) FILTER (WHERE success) AS successful
 FROM ({SUITES}) GROUP BY dataset
 """)
 def suite_summary(spark, folder):
-    return suites.summarise(suites.run_suites(all_suites(spark, folder)))
+    return suites.summarise(suites.run_suites(all_suites(spark, folder))).drop("run_ts")
 
 
 @query(f"""

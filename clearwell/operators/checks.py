@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from clearwell.operators.columns import col
+from clearwell.functions.numbers import cast_or_null
+from clearwell.operators.columns import col, is_missing
 
 
 @dataclass(frozen=True)
@@ -86,7 +87,10 @@ class ColumnExists(Check):
 
 @dataclass(frozen=True)
 class ValuesBetween(Check):
-    """Non-null values inside inclusive bounds; an open end is None."""
+    """Values inside inclusive bounds, missing ones aside; an open end is None.
+
+    Text that is no number is outside, as it cannot be compared.
+    """
 
     low: float | None = None
     high: float | None = None
@@ -95,11 +99,15 @@ class ValuesBetween(Check):
     def broken(self, df):
         value = col(self.column)
         outside = F.lit(False)
+        bounded = self.low is not None or self.high is not None
+        if bounded and isinstance(df.schema[self.column].dataType, T.StringType):
+            value = cast_or_null(value, T.StringType(), T.DoubleType())
+            outside = value.isNull() | F.isnan(value)
         if self.low is not None:
             outside = outside | (value < self.low)
         if self.high is not None:
             outside = outside | (value > self.high)
-        return outside
+        return outside & ~is_missing(df, self.column)
 
 
 @dataclass(frozen=True)
@@ -122,10 +130,12 @@ class ValuesMatch(Check):
 
 @dataclass(frozen=True)
 class ValuesNotNull(Check):
+    """No value is NULL or NaN."""
+
     kind = "expect_column_values_to_not_be_null"
 
     def broken(self, df):
-        return col(self.column).isNull()
+        return is_missing(df, self.column)
 
     def considered(self, df):
         return F.count(F.lit(1))

@@ -81,31 +81,29 @@ def coerce(
     return df.withColumns(changed)
 
 
+def is_missing(df: DataFrame, name: str) -> Column:
+    """Whether a value is missing: NULL, or NaN in a floating-point column."""
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return col(name).isNull() | F.isnan(col(name))
+    return col(name).isNull()
+
+
 def non_null_counts(df: DataFrame) -> DataFrame:
     """One row with the number of non-null values of every column."""
     return df.agg(*[F.count(col(c)).alias(c) for c in df.columns])
 
 
-def find_null_columns(df: DataFrame, probe_rows: int = 1000) -> tuple[list[str], int | None]:
-    """Names of the columns that hold no value at all, and the row count if it became known.
-
-    The first rows settle nearly every column: one value is enough to keep it. Only the columns
-    still in doubt are counted over the whole input, so the scan is pruned to them. Both jobs return
-    a small result whatever the input size.
-    """
-    seen = df.select(*[col(c).isNotNull().alias(c) for c in df.columns]).head(probe_rows)
-    doubtful = [c for i, c in enumerate(df.columns) if not any(row[i] for row in seen)]
-    if len(seen) < probe_rows:
-        return doubtful, len(seen)
-    if not doubtful:
-        return [], None
-    counts = df.agg(*[F.count(col(c)) for c in doubtful], F.count(F.lit(1))).first()
-    return [c for c, n in zip(doubtful, counts) if n == 0], counts[-1]
+def find_null_columns(df: DataFrame) -> list[str]:
+    """Names of the columns that hold no value at all, from one aggregate over the input."""
+    if not df.columns:
+        return []
+    counts = non_null_counts(df).first()
+    return [c for c, n in zip(df.columns, counts) if n == 0]
 
 
 def drop_null_columns(df: DataFrame) -> DataFrame:
     """Drop the columns that hold no value at all."""
-    return drop_present(df, find_null_columns(df)[0])
+    return drop_present(df, find_null_columns(df))
 
 
 def with_interval_flag(df: DataFrame, low: str, high: str, name: str = "low_le_high") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from clearwell.functions.numbers import drop_ratio, point_change
 from clearwell.operators.checks import RowCountBetween, RowCountRule, ValuesNotNull
-from clearwell.operators.columns import col
+from clearwell.operators.columns import is_missing
 
 # The changes that are still accepted.
 VOLUME_DROP = 0.10
@@ -15,8 +15,8 @@ BASELINE_TOLERANCE = 0.10
 
 
 def null_rates(df: DataFrame, *columns: str) -> DataFrame:
-    """One row with the share of nulls of each column, named ``<column>_null_rate``."""
-    return df.agg(*[F.avg(col(c).isNull().cast("int")).alias(f"{c}_null_rate") for c in columns])
+    """One row with the share of NULL and NaN in each column, named ``<column>_null_rate``."""
+    return df.agg(*[F.avg(is_missing(df, c).cast("int")).alias(f"{c}_null_rate") for c in columns])
 
 
 def run_history(results: DataFrame, metric: str = "data_value") -> DataFrame:

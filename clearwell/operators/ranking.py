@@ -11,10 +11,7 @@ from clearwell.session import stage
 
 _SLICE, _PLACE, _COPY = "__slice", "__place", "__copy"
 
-# An input known to have no more rows than this may have any group sorted by one task.
-WINDOW_ROWS = 500_000
-# A row with more copies than this is too frequent for one task; copies are spread in portions.
-COPIES_PER_TASK = 1_000_000
+# Copies of a row are written out again in portions of this size, which are spread over the tasks.
 PORTION_ROWS = 10_000
 # A table of group starts is sent to every executor if it measures no more than this.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -25,32 +22,24 @@ def number_rows(
     group: Sequence[str],
     order: Sequence[Column],
     name: str,
-    at_most: int | None = None,
     distinct: bool = False,
 ) -> DataFrame:
     """Number the rows of every group from 1 in the given order.
 
-    A window partitioned by the group sends a whole group to one task, so it is used only for an
-    input whose rows are counted and few: ``at_most`` is a known upper bound of their number.
-
-    Otherwise the rows are range partitioned by group and order, so a large group spans many tasks.
-    Every row notes its slice and its place in the slice, and is written out: from then on these are
+    A window partitioned by the group would send a whole group to one task. Instead the rows are
+    range partitioned by group and order, so a large group spans many tasks. Every row notes its slice and its place in the slice, and is written out: from then on these are
     data, and a retried task or a lost executor cannot change them. A group starts in a slice at a
     place found by a small aggregate, and the rows it had in earlier slices come from a window over
     that aggregate, which holds at most one row per slice and group.
 
     Rows that ``order`` leaves tied follow a hash of the row, so they too are numbered alike in every
-    run and can be spread. Only copies of a whole row cannot be told apart by a range: if a row is
-    found to have very many, copies are numbered first. ``distinct`` spares the search where no row
-    can have many copies.
+    run and can be spread. Only copies of a whole row cannot be told apart by a range: they are
+    merged, counted and numbered first. ``distinct`` spares that where no row can have many copies.
     """
     order = [*order, *_row_hashes(df)]
-    if at_most is not None and at_most <= WINDOW_ROWS:
-        ranking = Window.partitionBy(*[col(g) for g in group]).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(ranking).cast("bigint"))
     keys = [col(g) for g in group] + list(order)
     rows = df
-    if not distinct and has_frequent_row(df):
+    if not distinct:
         rows = number_copies(df, _COPY)
         keys.append(col(_COPY))
     place_in_slice = F.monotonically_increasing_id()
@@ -89,17 +78,6 @@ def number_rows(
     )
 
 
-def has_frequent_row(df: DataFrame) -> bool:
-    """Whether some row has more copies than one task should hold.
-
-    Rows are counted by hash, merged inside each task first, so 16 bytes per distinct row are
-    shuffled. Two rows with one hash can only make the answer a needless yes.
-    """
-    hashes = df.select(F.xxhash64(*[col(c) for c in df.columns]).alias("h"))
-    counts = hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    return not counts.filter(F.col("n") > COPIES_PER_TASK).isEmpty()
-
-
 def number_copies(df: DataFrame, name: str) -> DataFrame:
     """Number the copies of every row from 1, with no task holding all copies of a frequent row.
 
@@ -149,7 +127,6 @@ def rank_by_value(
     value: str = "data_value",
     ties: Sequence[str] = (),
     name: str = "row_num",
-    at_most: int | None = None,
     distinct: bool = False,
 ) -> DataFrame:
     """Row number by descending value within each group.
@@ -157,7 +134,7 @@ def rank_by_value(
     Ties follow the columns in ``ties``, which should be short, and then a hash of the row, so the
     order of what is still tied is arbitrary but the same in every run.
     """
-    return number_rows(df, [group], _descending(df, value, ties), name, at_most, distinct)
+    return number_rows(df, [group], _descending(df, value, ties), name, distinct)
 
 
 def top_k(

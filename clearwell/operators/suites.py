@@ -146,8 +146,8 @@ def run_suites(
 
 
 def summarise(results: DataFrame) -> DataFrame:
-    """Per dataset: how many checks ran, passed and failed, and the overall verdict."""
-    return results.groupBy("dataset").agg(
+    """Per dataset and run: how many checks ran, passed and failed, and the overall verdict."""
+    return results.groupBy("dataset", "run_ts").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("success").alias("successful"),
         F.count_if(~F.col("success")).alias("failed"),
@@ -156,8 +156,8 @@ def summarise(results: DataFrame) -> DataFrame:
 
 
 def with_overall_pass(results: DataFrame) -> DataFrame:
-    """Add the verdict of its dataset to every check; the groups are as large as a suite."""
-    whole = Window.partitionBy("dataset")
+    """Add the verdict of its dataset and run to every check; the groups are as large as a suite."""
+    whole = Window.partitionBy("dataset", "run_ts")
     return results.withColumn("overall_pass", F.bool_and("success").over(whole))
 
 

@@ -34,8 +34,7 @@ def curate(
     Copies are removed after trimming. A metric held as text is cast to double before ranking, as
     text order would put '9' above '10'. Without a metric column the rows are not ranked.
     """
-    empty, raw_rows = cols.find_null_columns(df)
-    kept = cols.snake_names(cols.drop_present(df, empty))
+    kept = cols.snake_names(cols.drop_null_columns(df))
     states = rows.exclude_codes(kept, location, EXCLUDED_LOCATIONS)
     clean = states.transform(cols.drop_present, FOOTNOTE_COLUMNS).transform(cols.trim_text)
     clean = rows.dedupe(clean)
@@ -46,6 +45,5 @@ def curate(
     if isinstance(clean.schema[metric].dataType, T.StringType):
         clean = clean.withColumn(metric, numbers.parse_double(cols.col(metric)))
     clean = rows.drop_missing(clean, [metric])
-    # No step adds rows, so the raw count, if it became known, bounds every location. Rows are
-    # distinct but for those that differed only in the spelling of the unit.
-    return ranking.rank_by_value(clean, location, metric, ties, at_most=raw_rows, distinct=True)
+    # Rows are distinct but for those that differed only in the spelling of the unit.
+    return ranking.rank_by_value(clean, location, metric, ties, distinct=True)

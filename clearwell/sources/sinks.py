@@ -40,9 +40,10 @@ def load_relational(
     connections: int = 8,
 ) -> None:
     """Replace a database table. Each of the ``connections`` tasks inserts in batches; the number
-    is bounded by what the database accepts, not by the size of the input."""
+    is bounded by what the database accepts, not by the size of the input. The rows are dealt out to
+    them by a shuffle: the writer alone would run all of the plan before it in as few tasks."""
     settings = {"batchsize": str(INSERT_ROWS), "numPartitions": str(connections)}
-    df.write.jdbc(url, table, mode="overwrite", properties={**settings, **(properties or {})})
+    df.repartition(connections).write.jdbc(url, table, mode="overwrite", properties={**settings, **(properties or {})})
 
 
 def load_files(

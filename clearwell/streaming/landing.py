@@ -19,9 +19,12 @@ def land_new_files(
 
     A large backlog is worked off in batches, so an interrupted run goes on from the last of them.
     ``progress`` is the checkpoint folder of the stream; with it every file lands exactly once even
-    if the job is interrupted. It belongs on storage that all executors share.
+    if the job is interrupted. It belongs on storage that all executors share. Files count as new
+    whatever their time stamp, so it keeps the names of all files that have landed.
     """
     reader = spark.readStream.options(**CSV_QUOTING, enforceSchema=False, maxFilesPerTrigger=files_per_batch)
+    # By default a file much older than the newest one is skipped.
+    reader = reader.option("maxFileAge", "36500d")
     arrivals = reader.schema(schema).csv(landing)
     query = (
         arrivals.select("*", F.col("_metadata.file_name").alias("source_file"))

@@ -213,3 +213,27 @@ def test_yaml_refuses_unknown_rules_and_sections():
     with pytest.raises(ValueError):
         yaml_checks.load_suites("profile for t:\n  - row_count between 1 and 2\n")
     assert yaml_checks.load_suites("") == {}
+
+
+def test_missing_and_unreadable_values_have_one_policy(spark):
+    rows = [(1.0, "1"), (float("nan"), "12x"), (None, None), (5.0, "5"), (20.0, "20")]
+    df = spark.createDataFrame(rows, "v double, t string")
+    checks = [ck.ValuesBetween("v", 0, 10), ck.ValuesBetween("t", 0, 10), ck.ValuesNotNull("v"), ck.ValuesNotNull("t")]
+    counts = [r.unexpected_count for r in suites.run_suite(df, checks, "d").collect()]
+    assert sorted(counts) == [1, 1, 2, 2]
+
+
+def test_runs_of_a_dataset_have_verdicts_of_their_own(spark):
+    from datetime import datetime
+
+    good, bad = spark.range(3), spark.range(30)
+    check = [ck.RowCountBetween(None, 1, 10)]
+    results = suites.run_suite(good, check, "d", datetime(2024, 1, 1)).unionByName(
+        suites.run_suite(bad, check, "d", datetime(2024, 1, 2))
+    )
+    assert sorted((r.run_ts.day, r.success, r.total) for r in suites.summarise(results).collect()) == [
+        (1, True, 1), (2, False, 1),
+    ]
+    assert sorted((r.run_ts.day, r.overall_pass) for r in suites.with_overall_pass(results).collect()) == [
+        (1, True), (2, False),
+    ]

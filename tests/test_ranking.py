@@ -67,12 +67,12 @@ def test_start_table_too_large_to_broadcast_is_shuffled(spark, skewed, monkeypat
     assert got == brute_force(skewed, descending)
 
 
-def test_few_known_rows_use_a_plain_window(spark, skewed, plan_of):
+def test_no_group_is_sorted_by_one_task_however_few_its_rows(spark, skewed, plan_of):
     df = spark.createDataFrame(skewed, "g string, v double, i int")
-    few = ranking.rank_by_value(df, "g", "v", ["i"], at_most=len(skewed))
-    many = ranking.rank_by_value(df, "g", "v", ["i"], at_most=ranking.WINDOW_ROWS + 1)
-    assert "Window" in plan_of(few) and "Window" not in plan_of(many)
-    assert {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()}
+    for distinct in (False, True):
+        ranked = ranking.rank_by_value(df, "g", "v", ["i"], distinct=distinct)
+        assert "Window" not in plan_of(ranked)
+        assert {(r.g, r.v, r.i): r.row_num for r in ranked.collect()} == brute_force(skewed, descending)
 
 
 @pytest.mark.parametrize("ties", [(), ("n",)])
@@ -80,8 +80,8 @@ def test_ties_are_numbered_alike_in_every_run_and_on_both_paths(spark, ties):
     data = [("a", 1.0, f"s{i}", i % 7) for i in range(300)]
     schema = "location_abbr string, data_value double, s string, n int"
     runs = [
-        ranking.rank_by_value(spark.createDataFrame(rows, schema).repartition(parts), ties=ties, at_most=bound)
-        for rows, parts, bound in ((data, 3, None), (data[::-1], 5, None), (data, 2, len(data)))
+        ranking.rank_by_value(spark.createDataFrame(rows, schema).repartition(parts), ties=ties, distinct=bound)
+        for rows, parts, bound in ((data, 3, False), (data[::-1], 5, False), (data, 2, True))
     ]
     first, *others = [sorted(map(tuple, r.collect())) for r in runs]
     assert sorted(r[-1] for r in first) == list(range(1, 301))
@@ -119,11 +119,9 @@ def test_empty_input(spark):
 
 
 def test_copies_of_a_frequent_row_are_numbered_and_spread(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "COPIES_PER_TASK", 100)
     monkeypatch.setattr(ranking, "PORTION_ROWS", 50)
     data = [("a", 1.0, "x")] * 1037 + [("a", 1.0, "y")] * 100 + [("a", 2.0, "x")] * 3 + [(None, None, None)] * 2
     df = spark.createDataFrame(data, "location_abbr string, data_value double, s string").repartition(5)
-    assert ranking.has_frequent_row(df)
     copies = ranking.number_copies(df, "n")
     numbers = {}
     for row in copies.collect():
@@ -139,7 +137,3 @@ def test_copies_of_a_frequent_row_are_numbered_and_spread(spark, monkeypatch):
     assert sorted(got[(2.0, "x")]) == [1, 2, 3]
     assert sorted(got[(1.0, "x")]) == list(range(4, 1041)) and sorted(got[(1.0, "y")]) == list(range(1041, 1141))
     assert sorted(got[(None, None)]) == [1, 2]
-
-
-def test_without_frequent_rows_copies_are_not_counted_out(spark, skewed):
-    assert not ranking.has_frequent_row(spark.createDataFrame(skewed, "g string, v double, i int"))

@@ -43,7 +43,7 @@ def reports(spark):
 
 def test_the_ranking_is_right_although_every_task_fails_once(spark, reports, tmp_path):
     ranked = ranking.rank_by_value(unreliable(reports, str(tmp_path)), "LocationAbbr", "DataValue", ["RecordID"])
-    plain = ranking.rank_by_value(reports, "LocationAbbr", "DataValue", ["RecordID"], at_most=2000)
+    plain = ranking.rank_by_value(reports, "LocationAbbr", "DataValue", ["RecordID"], distinct=True)
     assert os.listdir(tmp_path)
     assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, plain.collect()))
     # The staged places do not change between two evaluations.
@@ -52,12 +52,11 @@ def test_the_ranking_is_right_although_every_task_fails_once(spark, reports, tmp
 
 def test_the_default_ties_do_not_depend_on_the_order_of_rows(spark, reports, tmp_path):
     ranked = ranking.rank_by_value(unreliable(reports, str(tmp_path)), "LocationAbbr", "DataValue")
-    plain = ranking.rank_by_value(reports, "LocationAbbr", "DataValue", at_most=2000)
+    plain = ranking.rank_by_value(reports, "LocationAbbr", "DataValue", distinct=True)
     assert sorted(map(repr, ranked.collect())) == sorted(map(repr, plain.collect()))
 
 
-def test_curation_dedupe_and_checks(spark, reports, tmp_path, monkeypatch):
-    monkeypatch.setattr(ranking, "WINDOW_ROWS", 0)
+def test_curation_dedupe_and_checks(spark, reports, tmp_path):
     folders = [tmp_path / str(i) for i in range(3)]
     for f in folders:
         f.mkdir()

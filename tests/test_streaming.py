@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 from clearwell.plans.datasets import table_schema
 from clearwell.streaming.landing import land_new_files
 
@@ -13,7 +15,11 @@ def test_only_new_files_are_landed(spark, tmp_path):
     (tmp_path / "landing" / "two.csv").write_text("a,b\n3,w\n")
     land_new_files(spark, landing, schema, bronze, progress)
     land_new_files(spark, landing, schema, bronze, progress)
+    (tmp_path / "landing" / "late.csv").write_text("a,b\n4,v\n")
+    os.utime(tmp_path / "landing" / "late.csv", (86_400 * 365, 86_400 * 365))
+    land_new_files(spark, landing, schema, bronze, progress)
     rows = spark.read.parquet(bronze).collect()
     assert sorted(tuple(r) for r in rows) == [
         (1, "x, y", "one.csv"), (2, "z", "one.csv"), (3, "w", "two.csv"),
+        (4, "v", "late.csv"),
     ]
