@@ -82,6 +82,8 @@ KNOWN = [
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 ]
+#: Letters of a word that tell a line apart before it is brought in canonical form.
+MARKER = 5
 #: A line that only says who holds the copyright.
 COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|©|\(c\))[^\n]*"
 
@@ -100,14 +102,23 @@ def canonical(text: Column) -> Column:
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical form; NULL where that is empty."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+    return F.nullif(F.sha2(canonical(text), 256), F.sha2(F.lit(""), 256))
+
+
+def marker(text: Column) -> Column:
+    """The first letters of the longest word that every spelling of a known text has; NULL if there is none."""
+    written = [w for _, one in SPELLINGS for w in one.split() if not w.startswith("licen")]
+    fixed = F.filter(F.split(canonical(text), " "), lambda w: (F.length(w) >= MARKER) & ~w.isin(written))
+    longest = F.array_max(F.transform(fixed, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+    return F.substring(longest["w"], 1, MARKER)
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """``licence, digest`` of known texts, one row per digest."""
+    """``licence, digest, marker`` of known texts, one row per digest."""
     rows = spark.createDataFrame(known or KNOWN, "licence string, text string")
-    return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("licence").alias("licence")).dropna()
+    return rows.groupBy(digest(F.col("text")).alias("digest")).agg(
+        F.min("licence").alias("licence"), F.min(marker(F.col("text"))).alias("marker")
+    ).where("digest IS NOT NULL AND licence IS NOT NULL")
 
 
 def licences(documents: DataFrame, known: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -123,13 +134,16 @@ def licences(documents: DataFrame, known: DataFrame | None = None, key: str = "d
     known = known if known is not None else known_digests(documents.sparkSession)
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     whole = rows.select("key", digest(F.col("text")).alias("digest"))
-    # Few lines are notices: the shuffle after the join carries only those.
-    lines = rows.select("key", F.explode(F.split("text", "\n")).alias("line")).where("line rlike '[a-zA-Z]{2}'")
-    hits = lines.select("key", digest(F.col("line")).alias("digest")).join(known, "digest").distinct()
+    # Only a line with the marker of a known text can be equal to it: few are left to bring in canonical form.
+    markers = {r["marker"] for r in known.select("marker").distinct().collect()}  # one per known text
+    pattern = "" if None in markers else "|".join(sorted(markers))
+    lines = rows.select("key", F.explode(F.split("text", "\n")).alias("line"))
+    lines = lines.where(F.col("line").rlike(f"(?i){pattern}"))
+    hits = lines.select("key", digest(F.col("line")).alias("digest")).join(known.drop("marker"), "digest").distinct()
     found = hits.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_set("licence")), ",").alias("notices")
     )
-    named = whole.join(known, "digest", "left").alias("w")
+    named = whole.join(known.drop("marker"), "digest", "left").alias("w")
     joined = named.join(found.alias("f"), F.col("w.key").eqNullSafe(F.col("f.key")), "left")
     return joined.select(
         F.col("w.key").alias(key), "digest", "licence", F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"),
