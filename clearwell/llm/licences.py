@@ -85,7 +85,7 @@ KNOWN = [
 #: Letters of a word that tell a line apart before it is brought in canonical form.
 MARKER = 5
 #: A line that only says who holds the copyright.
-COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|©|\(c\))[^\n]*"
+COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright[^\p{L}\p{N}\n]*(\(c\)|©|[0-9])|©|\(c\))[^\n]*"
 
 
 def canonical(text: Column) -> Column:

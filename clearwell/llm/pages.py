@@ -62,6 +62,10 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/>]|$)|aria-hidden\s*=\s*[\"']?true|
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+#: Whether an open tag is boilerplate; a menu is not if an article begins inside.
+NOT, UNLESS_ARTICLE, SURE = 0, 1, 2
+
+
 @dataclass
 class Block:
     """Text of a block, how much of it is link text, and where it stands."""
@@ -81,17 +85,17 @@ class _Reader:
     blocks: list[Block] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
-    #: Open tags: name, whether they are boilerplate, and the content part they are in.
-    open: list[tuple[str, bool, int]] = field(default_factory=list)
+    #: Open tags: name, how they are boilerplate (NOT, UNLESS_ARTICLE or SURE), and the content part they are in.
+    open: list[tuple[str, int, int]] = field(default_factory=list)
     content_parts: int = 0
 
-    def place(self) -> tuple[bool, int]:
-        return self.open[-1][1:] if self.open else (False, 0)
+    def place(self) -> tuple[int, int]:
+        return self.open[-1][1:] if self.open else (NOT, 0)
 
     def flush(self, heading: bool = False) -> None:
         if text := " ".join(html.unescape("".join(self.parts)).split()):
             boilerplate, content = self.place()
-            self.blocks.append(Block(text, self.linked, boilerplate, content, heading))
+            self.blocks.append(Block(text, self.linked, bool(boilerplate), content, heading))
         self.parts, self.linked = [], 0
 
     def data(self, raw: str) -> None:
@@ -109,20 +113,22 @@ class _Reader:
             return
         boilerplate, content = self.place()
         if name in CONTENT_TAGS:
-            # An article inside what was not closed before it is no part of that, but one in comments is.
-            named = any(b and n not in BOILERPLATE_TAGS for n, b, _ in self.open)
-            boilerplate = boilerplate and named
+            # An article inside a menu means that the menu was not closed; one in comments is a comment.
+            boilerplate = SURE if boilerplate == SURE else NOT
             if not boilerplate and not content:
                 self.content_parts += 1
                 content = self.content_parts
-        elif name in BOILERPLATE_TAGS or name == "header" and not content:
-            boilerplate = True
+        elif name in ("nav", "menu") or name == "header" and not content:
+            boilerplate = boilerplate or UNLESS_ARTICLE
+        elif name in BOILERPLATE_TAGS:
+            boilerplate = SURE
         if attributes and not boilerplate:
-            boilerplate = bool(_HIDDEN.search(attributes)) or any(
+            named = _HIDDEN.search(attributes) or any(
                 word.lower() in BOILERPLATE_NAMES
                 for groups in _NAMED.findall(attributes)
                 for word in _NAME_WORD.findall("".join(groups))
             )
+            boilerplate = SURE if named else NOT
         if name in ("p", "li", "tr", "td", "option", "a"):
             self.end(name, within=name)
         self.open.append((name, boilerplate, content))

@@ -218,11 +218,14 @@ def _portions(bags: list[frozenset[str]]) -> Iterator[list[frozenset[str]]]:
     return (bags[i : i + 256] for i in range(0, len(bags), 256))
 
 
-def _support(bags: list[frozenset[str]]) -> Counter:
-    """In how many kinds of bags each word is; bags with the same smallest hash are mostly copies, one kind."""
+def _support(bags: list[frozenset[str]], common: set[str]) -> Counter:
+    """In how many kinds of bags each word is.
+
+    Bags with the same smallest hash of a word that is not common are mostly copies of each other: one kind.
+    """
     kinds: dict[int, set[str]] = {}
     for bag in bags:
-        kinds.setdefault(min(map(xxhash.xxh3_64_intdigest, bag), default=0), set()).update(bag)
+        kinds.setdefault(min(map(xxhash.xxh3_64_intdigest, (bag - common) or bag), default=0), set()).update(bag)
     return Counter(w for words_ in kinds.values() for w in words_)
 
 
@@ -243,23 +246,27 @@ def learn(bags: list[set[str]], labels: list[int], most_words: int = 4000) -> To
 
     Words that occur in toxic bags more often than chance allows start as toxic. In each round the most toxic
     word of every toxic bag joins them, unless other bags have it as often, and the most toxic words
-    of other bags become examples of clean ones. Every fourth bag is left out and used to
+    of other bags become examples of clean ones. A fourth of the bags is left out and used to
     calibrate. With labels of one kind only, or no telling word, all scores are 0.
     """
     distinct = list({(frozenset(b), bool(y)): None for b, y in zip(bags, labels, strict=True)})
-    held = distinct[::4] if len(distinct) >= 40 else distinct
-    used = [x for i, x in enumerate(distinct) if i % 4] if len(distinct) >= 40 else distinct
+    fourth = [xxhash.xxh3_64_intdigest(" ".join(sorted(b))) % 4 == 0 for b, _ in distinct]
+    held, used = distinct, distinct
+    if len(distinct) >= 40:
+        held, used = ([x for x, out in zip(distinct, fourth, strict=True) if out == part] for part in (True, False))
     toxic_bags, clean_bags = [b for b, y in used if y], [b for b, y in used if not y]
     nothing = ToxicityModel(np.zeros(SYMBOLS**ORDER, dtype=np.float32), -1.0)
     if not toxic_bags or not clean_bags:
         return nothing
-    inside, outside = _support(toxic_bags), _support(clean_bags)
+    everywhere = Counter(w for b, _ in used for w in b)
+    common = {w for w, n in everywhere.items() if n > 0.02 * len(used)}
+    inside, outside = _support(toxic_bags, common), _support(clean_bags, common)
     share = len(toxic_bags) / (len(toxic_bags) + len(clean_bags))
     repeated = [w for w, n in inside.items() if n > 1 and n > 4 * share * outside[w]]
     toxic = {w for w in repeated if _chance(inside[w], outside[w], share) * len(inside) < 0.5}
-    common = sorted(outside, key=lambda w: (-outside[w], w))
+    frequent = sorted(outside, key=lambda w: (-outside[w], w))
     half = most_words // 2
-    clean = dict.fromkeys(common[:half] + common[half :: max(1, len(common) // half)], 1)
+    clean = dict.fromkeys(frequent[:half] + frequent[half :: max(1, len(frequent) // half)], 1)
     model = nothing
     for _ in range(ROUNDS):
         strongest = sorted(toxic, key=lambda w: (-inside[w], w))[: most_words // 4]

@@ -63,7 +63,7 @@ def test_hostile_rows(llm):
 
 
 def test_scores_beyond_exact_doubles(llm):
-    rows = [(i, [2.0**30 + i * 2.0**10, 2.0**20 * i]) for i in range(12)]
+    rows = [(i, [2.0**22 + i, 2.0**16 * i]) for i in range(12)]
     assert found(llm, rows) == by_all_scores(rows, 3, 5)
 
 
