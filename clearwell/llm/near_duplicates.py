@@ -389,7 +389,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     )
     by_set = stage(by_set, "near-components")
     result = found.select("key", "n_shingles", "digest").join(by_set, "digest", "left").select(
-        F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component_id")
+        F.col("key").alias(key), "n_shingles",
+        F.when(F.col("key").isNotNull(), F.coalesce("component", "key")).alias("component_id"),
     )
     return result.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
