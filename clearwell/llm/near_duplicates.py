@@ -198,16 +198,25 @@ def _candidates(asked: _Side, others: _Side, percent: int) -> Iterator[tuple[int
 
 
 def _linked(asked: _Side, others: _Side, percent: int) -> list[tuple[int, int]]:
-    """Pairs of components that two sets at the threshold join, confirmed on the full sets."""
+    """Pairs of components that two sets at the threshold join, confirmed on the full sets.
+
+    Sets that earlier pairs have joined are not compared again, so a group gives no more pairs than it has
+    members.
+    """
     found = set()
+    one, two = asked.components.copy(), others.components.copy()
     for i, candidate in _candidates(asked, others, percent):
+        candidate &= two != one[i]
         if not candidate.any():
             continue
         shared = others.shared(asked.sets[i], others.by_set)
-        linked = candidate & (shared * 100 >= (asked.sizes[i] + others.sizes - shared) * percent)
-        for component in np.unique(others.components[linked]):
-            a, b = int(asked.components[i]), int(component)
+        linked = np.flatnonzero(candidate & (shared * 100 >= (asked.sizes[i] + others.sizes - shared) * percent))
+        labels, first = np.unique(two[linked], return_index=True)
+        for label, j in zip(labels, linked[first], strict=True):
+            a, b = int(asked.components[i]), int(others.components[j])
             found.add((max(a, b), min(a, b)))
+            two[two == label] = one[i]
+            one[one == label] = one[i]
     return sorted(found)
 
 
