@@ -118,6 +118,8 @@ def _records(documents: DataFrame, file: str, length: int, width: int, offsets:
                     for at in range(0, len(ids), length):
                         part = ids[at : at + length]
                         records.append(np.array([len(part)], dtype).tobytes() + part.tobytes())
+                if done + len(records) > expected:
+                    raise RuntimeError("the rows of a slice changed between counting and writing")
                 slots = permute(np.arange(first + done, first + done + len(records)), total, key)
                 done += len(records)
                 yield pa.RecordBatch.from_arrays(
