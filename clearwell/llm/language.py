@@ -27,11 +27,15 @@ BLOCK = 1 << 18
 UNDETERMINED = "und"
 #: Texts with fewer letters have too little in common with any centroid to be rejected.
 FEWEST_LETTERS = 32
+#: Places of which a hash gives one to every text.
+PLACE_BITS = 20
 RESULT = "lang_pred string, score double, rejected boolean"
 
 #: Runs of letters; those that touch a digit belong to codes and numbers.
 _LETTERS = re.compile(r"(?<![^\W_])[^\W\d_]+(?![^\W_])")
 _ANY_LETTER = re.compile(r"[^\W\d_]")
+#: The same for Spark.
+_LETTER_IN_SPARK = r"[\p{L}\p{Nl}\p{No}]"
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, int]:
@@ -127,29 +131,42 @@ def _document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return frequency[:BINS], int(frequency[BINS])
 
 
+def _places(texts: dict[int, int], wanted: int, least: int) -> float:
+    """Below which place texts are sampled, from the number of texts whose place has so many bits."""
+    total, passed = sum(texts.values()), 0
+    for bits in sorted(texts):
+        passed += texts[bits]
+        if passed >= min(least, total):
+            break
+    return max(float(1 << bits), (1 << PLACE_BITS) * min(1.0, wanted / total))
+
+
 def fit(
     labelled: DataFrame, text: str = "text", label: str = "lang", clusters: int = 6,
     sample_per_language: int = 800, floor: float = 0.6,
 ) -> LanguageModel:
     """Learn from all labelled rows; rows with a NULL text or label are left out.
 
-    Document frequencies come from every labelled row. Centroids are clustered from a sample, bounded
-    by ``sample_per_language`` distinct texts in expectation, that a hash of the text selects: copies of one
-    text are in it once. A text is rejected below ``floor`` times the smallest cosine of the sample's texts
+    Document frequencies come from every labelled row. Centroids are clustered from a sample of the distinct texts
+    that have letters, which a hash of the text selects: ``sample_per_language`` of them in expectation however many
+    copies they have, all if there are no more, and never fewer than ``clusters`` as long as there are so many. A text is rejected below ``floor`` times the smallest cosine of the sample's texts
     that have at least its length class (a power of two of letters); texts of fewer than ``FEWEST_LETTERS`` never are. The model has one vector per language and cluster.
     """
     has(labelled, text=text, label=label)
     rows = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).dropna()
     frequency, n = _document_frequencies(rows.select("text"))
     idf = np.log((1 + n) / (1 + frequency)) + 0.1
-    # One row per language.
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    if not sizes:
+    lettered = rows.where(F.col("text").rlike(_LETTER_IN_SPARK)).withColumn("digest", F.xxhash64("text"))
+    lettered = lettered.withColumn("place", F.pmod("digest", F.lit(1 << PLACE_BITS)))
+    counted = lettered.select("label", "digest", "place").distinct().groupBy("label", F.length(F.bin("place")).alias("bits"))
+    bits: dict[str, dict[int, int]] = {}
+    for r in counted.count().collect():  # at most PLACE_BITS rows per language
+        bits.setdefault(r["label"], {})[r["bits"]] = r["count"]
+    if not bits:
         return LanguageModel([], np.zeros(0, int), np.zeros((0, BINS), np.float32), idf, np.zeros(32))
-    share = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, sample_per_language / v))])
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(1 << 20)
-    sample = rows.withColumn("place", place).where(F.col("place") < F.element_at(share, F.col("label")))
-    sample = sample.withColumn("digest", F.xxhash64("text")).dropDuplicates(["label", "digest"])
+    below = {label: _places(texts, sample_per_language, clusters) for label, texts in bits.items()}
+    limit = F.create_map(*[F.lit(x) for pair in below.items() for x in pair])
+    sample = lettered.where(F.col("place") < F.element_at(limit, F.col("label"))).dropDuplicates(["label", "digest"])
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         counted = [gram_counts(t) for t in group.sort_values("digest")["text"]]

@@ -60,3 +60,21 @@ def test_copies_and_order_do_not_change_the_model(documents):
     rows = [(i, f"alpha beta {i} gamma delta epsilon" * 3, "aa") for i in range(30)]
     one, two = language.fit(documents(rows)), language.fit(documents(rows[::-1]))
     assert (one.centroids == two.centroids).all()
+
+
+def test_copies_do_not_thin_the_sample(llm, documents):
+    r = random.Random(2)
+    words = {"aa": ["kalo", "mira", "tesu", "bano"], "bb": ["grth", "schn", "pflu", "krax"]}
+    text = lambda lang: " ".join(r.choice(words[lang]) for _ in range(80))
+    rows = [(text("aa"), "aa")] * 1500 + [(text("aa"), "aa") for _ in range(20)]
+    rows += [(text("bb"), "bb") for _ in range(500)] + [(str(n), "aa") for n in range(900)]
+    model = language.fit(documents([(i, *row) for i, row in enumerate(rows)]), sample_per_language=20)
+    assert model.languages == ["aa", "bb"] and (model.owners == 0).sum() == 6
+    got = predicted(llm, model, [text("aa"), text("bb")])
+    assert [g[0] for g in got] == ["aa", "bb"] and not got[0][2] and not got[1][2]
+
+
+def test_a_small_sample_still_has_a_text_per_cluster(documents):
+    rows = [(i, f"alpha beta {'abcdefghij'[i % 10]} gamma {'klmnopqrst'[i // 10]} delta", "aa") for i in range(100)]
+    model = language.fit(documents(rows), clusters=6, sample_per_language=1)
+    assert len(model.centroids) == 6
