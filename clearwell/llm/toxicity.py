@@ -230,9 +230,18 @@ def _support(bags: list[frozenset[str]], common: set[str]) -> Counter:
 
 
 def _chance(inside: int, outside: int, share: float) -> float:
-    """Chance that a word that means nothing is in that many toxic bags of all that it is in."""
+    """Chance that a word that means nothing is in that many toxic bags of all that it is in.
+
+    Summed in logarithms, as the numbers of choices exceed floating point from about a thousand bags on.
+    """
     n = inside + outside
-    return sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(inside, n + 1))
+    return sum(
+        math.exp(
+            math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+            + k * math.log(share) + (n - k) * math.log1p(-share)
+        )
+        for k in range(inside, n + 1)
+    )
 
 
 def _inserted(word: str) -> list[str]:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -98,3 +100,19 @@ def test_held_out_accuracy(llm):
     auc = (rank[truth == 1].mean() - (truth.sum() - 1) / 2) / (truth == 0).sum()
     assert auc > 0.9 and np.mean((score >= 0.5) == truth) > 0.93
     assert all(r["predicted"] == (r["score"] >= 0.5) for r in rows)
+
+
+@pytest.mark.parametrize(("inside", "outside", "share"), [(2, 1, 0.25), (700, 400, 0.5), (1450, 375, 0.5), (4000, 3900, 0.5)])
+def test_chance_with_few_and_many_bags(inside, outside, share):
+    n, p = inside + outside, Fraction(share)
+    exact = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(inside, n + 1))
+    assert tox._chance(inside, outside, share) == pytest.approx(float(exact), rel=1e-6)
+
+
+def test_a_word_of_thousands_of_bags():
+    name = lambda i: "".join("bdfglmnprs"[int(d)] + "aeiou"[int(d) % 5] for d in str(i))
+    bags = [{"der", name(i), "idiot" if i % 3 else "moron"} for i in range(1600)]
+    bags += [{"der" if i % 4 == 0 else "the", name(5000 + i)} for i in range(1600)]
+    model = tox.learn(bags, [1] * 1600 + [0] * 1600)
+    scores = [model.score(v) for v in model.bags([{"idiot"}, {"moron"}, {"the"}])]
+    assert min(scores[:2]) >= 0.5 > scores[2]
