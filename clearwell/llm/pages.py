@@ -45,6 +45,13 @@ BOILERPLATE_NAMES = frozenset(
     " notice notices notification popup promo promoted promotion recommended related replies respond share sharing"
     " sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Those of them that mark what is made of other articles: an article inside is not that of the page.
+OTHERS_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments disqus promo promoted promotion recommended related"
+    " replies respond sponsor sponsored".split()
+)
+#: With one of these a name only tells a state, as in has-sidebar, no-sidebar and comments-open.
+STATE_WORDS = frozenset("no not non without has have with open opened closed enabled disabled".split())
 LINK_SHARE = 0.2
 SHORT, LONG = 70, 200
 FEW_STOP_WORDS, MANY_STOP_WORDS = 0.1, 0.25
@@ -62,8 +69,20 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/>]|$)|aria-hidden\s*=\s*[\"']?true|
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-#: Whether an open tag is boilerplate; a menu is not if an article begins inside.
-NOT, UNLESS_ARTICLE, SURE = 0, 1, 2
+#: Whether an open tag is boilerplate. A menu is not if an article begins inside; of what is so by name only, such
+#: an article is doubtful.
+NOT, UNLESS_ARTICLE, NAMED, SURE = 0, 1, 2, 3
+
+
+def _names(attributes: str) -> set[str]:
+    """Words that mark boilerplate in class, id or role, without those of states."""
+    out: set[str] = set()
+    for groups in _NAMED.findall(attributes):
+        for name in "".join(groups).split():
+            words = {w.lower() for w in _NAME_WORD.findall(name)}
+            if not words & STATE_WORDS:
+                out |= words & BOILERPLATE_NAMES
+    return out
 
 
 @dataclass
@@ -76,6 +95,8 @@ class Block:
     #: Number of the article or main part it is in, 0 outside.
     content: int
     heading: bool
+    #: Whether that part is named as boilerplate or stands in what is.
+    doubtful: bool = False
 
 
 @dataclass
@@ -85,9 +106,10 @@ class _Reader:
     blocks: list[Block] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
-    #: Open tags: name, how they are boilerplate (NOT, UNLESS_ARTICLE or SURE), and the content part they are in.
+    #: Open tags: name, how they are boilerplate (NOT, UNLESS_ARTICLE, NAMED or SURE), and the content part they are in.
     open: list[tuple[str, int, int]] = field(default_factory=list)
     content_parts: int = 0
+    doubtful: set[int] = field(default_factory=set)
 
     def place(self) -> tuple[int, int]:
         return self.open[-1][1:] if self.open else (NOT, 0)
@@ -95,7 +117,7 @@ class _Reader:
     def flush(self, heading: bool = False) -> None:
         if text := " ".join(html.unescape("".join(self.parts)).split()):
             boilerplate, content = self.place()
-            self.blocks.append(Block(text, self.linked, bool(boilerplate), content, heading))
+            self.blocks.append(Block(text, self.linked, bool(boilerplate), content, heading, content in self.doubtful))
         self.parts, self.linked = [], 0
 
     def data(self, raw: str) -> None:
@@ -112,23 +134,28 @@ class _Reader:
         if name in VOID_TAGS or attributes.endswith("/"):
             return
         boilerplate, content = self.place()
-        if name in CONTENT_TAGS:
+        names = _names(attributes) if attributes and boilerplate < NAMED and name not in ("html", "body", "main") else ()
+        if name in CONTENT_TAGS and not (content and boilerplate >= NAMED):
             # An article inside a menu means that the menu was not closed; one in comments is a comment.
-            boilerplate = SURE if boilerplate == SURE else NOT
-            if not boilerplate and not content:
-                self.content_parts += 1
-                content = self.content_parts
+            if boilerplate != SURE:
+                doubtful, boilerplate = boilerplate == NAMED or bool(names), NOT
+                if not content:
+                    self.content_parts += 1
+                    content = self.content_parts
+                    if doubtful:
+                        self.doubtful.add(content)
+                elif names:
+                    boilerplate = NAMED
         elif name in ("nav", "menu") or name == "header" and not content:
             boilerplate = boilerplate or UNLESS_ARTICLE
         elif name in BOILERPLATE_TAGS:
             boilerplate = SURE
-        if attributes and not boilerplate:
-            named = _HIDDEN.search(attributes) or any(
-                word.lower() in BOILERPLATE_NAMES
-                for groups in _NAMED.findall(attributes)
-                for word in _NAME_WORD.findall("".join(groups))
-            )
-            boilerplate = SURE if named else NOT
+        elif names and not boilerplate:
+            boilerplate = SURE if OTHERS_NAMES.intersection(names) else NAMED
+        elif names and OTHERS_NAMES.intersection(names):
+            boilerplate = SURE
+        if attributes and not boilerplate and name not in ("html", "body") and _HIDDEN.search(attributes):
+            boilerplate = SURE
         if name in ("p", "li", "tr", "td", "option", "a"):
             self.end(name, within=name)
         self.open.append((name, boilerplate, content))
@@ -181,12 +208,22 @@ def _first_pass(block: Block) -> bool | None:
 def classify(of: list[Block]) -> list[bool]:
     """Whether each block is main text.
 
-    If a page has article or main parts, text outside them is not main text. An open block follows its nearest
+    If the article or main parts of a page hold most of the text that the rules accept, text outside them is not main
+    text. Doubtful parts are left out if the others hold as much. An open block follows its nearest
     decided neighbours: both, or the nearer of two that differ, the one before on a tie. Neighbours of a
     block in an article are blocks of that article; with none decided, its open blocks are main text.
     """
-    marked = any(b.content and not b.boilerplate for b in of)
-    first = [False if marked and not b.content else _first_pass(b) for b in of]
+    first = [_first_pass(b) for b in of]
+    clear, doubtful, outside = 0, 0, 0
+    for b, decided in zip(of, first, strict=True):
+        if b.content and decided is not False:
+            clear, doubtful = clear + len(b.text) * (not b.doubtful), doubtful + len(b.text) * b.doubtful
+        elif decided:
+            outside += len(b.text)
+    if clear >= doubtful:
+        first, doubtful = [False if b.doubtful else d for b, d in zip(of, first, strict=True)], 0
+    if any(b.content and not b.boilerplate for b in of) and clear + doubtful >= outside:
+        first = [d if b.content else False for b, d in zip(of, first, strict=True)]
     out = []
     for i, decided in enumerate(first):
         if decided is None:

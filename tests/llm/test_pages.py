@@ -72,3 +72,25 @@ def test_every_article_of_the_test_pages(llm):
         article = re.search(r"<article>(.*?)</article>", html[r["page_id"]], re.DOTALL)[1]
         plain = pg.html.unescape(re.sub(r"<[^>]*>", " ", article))
         assert r["text"].split() == plain.split() and r["n_chars"] == len(r["text"])
+
+
+def test_names_do_not_lose_the_article():
+    long, more = squash(LONG), squash(MORE)
+    body = f"<p>{LONG}</p>"
+    for page in (f'<html class="no-hidden menu"><body class="has-sidebar nav-open"><article>{body}</article>',
+                 f'<body class="sidebar"><div class="content no-sidebar"><article>{body}</article></div>',
+                 f'<article class="post comments-open">{body}</article>', f'<article class="post sidebar">{body}</article>',
+                 f'<main id="navigation">{body}</main>', f'<div class="sidebar toolbar"><article>{body}</article></div>',
+                 f'<div class="withComments">{body}</div>', f'<body style="display: none">{body}'):
+        assert pg.main_text(page) == long, page
+    assert pg.main_text(f'<div class="sidebar">{body}</div>') == ""
+    assert pg.main_text(f'<div id="comments"><article>{body}</article></div><p>{MORE}</p>') == more
+    assert pg.main_text(f'<article>{body}<article class="comment"><p>{MORE}</p></article></article>') == long
+    assert pg.main_text(f'<article>{body}{body}</article><div class="sidebar"><article><p>{MORE}</p></article></div>') == f"{long} {long}"
+    assert pg.main_text(f'<article hidden>{body}</article>') == ""
+
+
+def test_a_teaser_does_not_discard_the_text_around():
+    page = f"<div><p>{LONG}</p><p>{MORE}</p></div><article><h3>Next</h3><p>Read on.</p></article>"
+    assert f"{squash(LONG)} {squash(MORE)}" in pg.main_text(page)
+    assert pg.main_text(f"<article><p>{LONG}</p><p>{MORE}</p></article><p>{MORE}</p>") == f"{squash(LONG)} {squash(MORE)}"
