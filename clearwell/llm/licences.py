@@ -2,11 +2,14 @@
 
 Canonical form: lower case, copyright lines removed, equivalent spellings made one, every run of
 characters that are neither letters nor digits one blank. Whole texts are looked up, and every line by itself, as
-licence notices often stand alone in a line.
+licence notices often stand alone in a line. The texts of more than a page are in ``licence_texts``.
 """
 
 from __future__ import annotations
 
+import re
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,95 @@ Redistribution and use in source and binary forms, with or without modification,
 
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
 """
+CLAUSE_3 = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+"""
+BSD_3 = BSD_2.replace("BSD 2-Clause", "BSD 3-Clause").replace("THIS SOFTWARE IS PROVIDED", CLAUSE_3 + "THIS SOFTWARE IS PROVIDED")
+#: Headings that the short texts have or lack.
+TITLES = {
+    "MIT": (MIT, ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "License: MIT"]),
+    "ISC": (ISC, ["ISC License", "The ISC License", "ISC License (ISC)"]),
+    "BSD-2-Clause": (BSD_2, ["BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License",
+                             'BSD 2-Clause "Simplified" License', "Simplified BSD License", "BSD License"]),
+    "BSD-3-Clause": (BSD_3, ["BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License",
+                             'BSD 3-Clause "New" or "Revised" License', "New BSD License", "BSD License"]),
+}
+SPDX = {
+    "Apache-2.0": [], "BSD-3-Clause": [], "CC-BY-4.0": [], "CC-BY-SA-4.0": [], "CC-BY-NC-4.0": [], "CC-BY-ND-4.0": [],
+    "CC-BY-NC-SA-4.0": [], "CC0-1.0": [], "MPL-1.1": [], "MPL-2.0": [], "Unlicense": [],
+    **{name: ["-only", "-or-later", "+"] for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")},
+}
+GNU = [
+    ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"), ("LGPL-2.1", "Lesser General", "2.1"),
+    ("LGPL-3.0", "Lesser General", "3"), ("AGPL-3.0", "Affero General", "3"),
+]
+CREATIVE_COMMONS = [
+    ("CC-BY-4.0", "Attribution"), ("CC-BY-SA-4.0", "Attribution-ShareAlike"), ("CC-BY-NC-4.0", "Attribution-NonCommercial"),
+    ("CC-BY-ND-4.0", "Attribution-NoDerivatives"), ("CC-BY-NC-SA-4.0", "Attribution-NonCommercial-ShareAlike"),
+]
+APACHE = 'Licensed under the Apache License, Version 2.0 (the "License");'
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+HEADERS = [
+    ("Apache-2.0", APACHE),
+    ("Apache-2.0", f"{APACHE} you may not use this file except in compliance with the License."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License);"),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
+    ("Apache-2.0", "The ASF licenses this file to You under the Apache License, Version 2.0"),
+    ("MPL-2.0", MPL),
+    ("MPL-2.0", "License, v. 2.0. If a copy of the MPL was not distributed with this"),
+    ("MPL-2.0", f"{MPL} If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", f"{MPL} If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+]
+
+
+def _titled() -> list[tuple[str, str]]:
+    """The short texts under each heading or none, with numbers or other marks before their clauses."""
+    out = []
+    for name, (text, titles) in TITLES.items():
+        body = text.split("\n", 1)[1]
+        for form in dict.fromkeys([body, re.sub(r"(?m)^[0-9]\. ", "* ", body)]):
+            out += [(name, f"{title}\n{rights}\n{form}") for title in ["", *titles] for rights in ("", "All rights reserved.")]
+    return out
+
+
+def _long() -> list[tuple[str, str]]:
+    """The texts of ``licence_texts`` in their forms; a file is named by its licence and, after a plus, its edition.
+
+    Forms are with and without the instructions after the terms, with the place for a copyright line filled in,
+    and with either scheme of web addresses.
+    """
+    out = []
+    for file in sorted(files("clearwell.llm").joinpath("licence_texts").iterdir(), key=lambda f: f.name):
+        text = file.read_text(encoding="utf-8")
+        forms = [text, re.sub(r"(?m)^.*Copyright \[yyyy\].*\n", "", text)]
+        forms += [text[: end.end()] for end in re.finditer("END OF TERMS AND CONDITIONS", text)][:1]
+        forms += [form.replace(one, other) for form in forms for one, other in
+                  (("http://", "https://"), ("https://", "http://"))]
+        out += [(file.name.removesuffix(".txt").split("+")[0], form) for form in dict.fromkeys(forms)]
+    return out
+
+
+def _notices() -> list[tuple[str, str]]:
+    """Identifiers and standard headers, each in one line."""
+    out = [(name, f"SPDX-License-Identifier: {name}{end}") for name, ends in SPDX.items() for end in ["", *ends]]
+    for name, kind, version in GNU:
+        terms = f"under the terms of the GNU {kind} Public License"
+        out.append((name, f"This work is licensed under the GNU {kind} Public License, version {version}."))
+        for what in ("program", "library", "software", "file"):
+            out += [
+                (name, f"This {what} is free software; you can redistribute it and/or modify it {terms} {which}")
+                for which in (
+                    f"as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version.",
+                    f"as published by the Free Software Foundation; version {version} of the License.",
+                    f"version {version} as published by the Free Software Foundation.",
+                )
+            ]
+    for name, kind in CREATIVE_COMMONS:
+        out += [(name, f"This work is licensed under {a} Creative Commons {kind} 4.0 International License.") for a in ("a", "the")]
+    return out + HEADERS
+
+
 KNOWN = [
     ("MIT", MIT),
     ("MIT", "Released under the MIT License."),
@@ -82,6 +174,7 @@ KNOWN = [
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 ]
+KNOWN = list(dict.fromkeys([*KNOWN, *_titled(), *_long(), *_notices()]))
 #: Letters of a word that tell a line apart before it is brought in canonical form.
 MARKER = 5
 #: A line that only says who holds the copyright.
