@@ -39,12 +39,21 @@ LONGEST_WALK = 62
 ITEMS_PER_PASS = 20_000
 
 _WORD = re.compile(r"[^\W_]+")
+#: Scripts without blanks between words: Thai, Lao, Burmese, Khmer, Japanese and Chinese.
+_SCRIPTS = (
+    r"\u0e01-\u0e4e\u0e80-\u0ecd\u1000-\u103f\u1780-\u17d3\u3005-\u3007\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+    r"\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_UNSPACED = re.compile(f"[{_SCRIPTS}]")
+_WORD_OR_SIGN = re.compile(rf"[^\W_{_SCRIPTS}]+|(?=[^\W_])[{_SCRIPTS}]")
 _STOP = 0
 
 
 def normalised_words(text: str | None) -> list[str]:
-    """Lower-case runs of letters and digits."""
-    return _WORD.findall((text or "").lower())
+    """Lower-case runs of letters and digits; in scripts without blanks every letter is one by itself."""
+    lowered = (text or "").lower()
+    spaced = lowered.isascii() or not _UNSPACED.search(lowered)
+    return (_WORD if spaced else _WORD_OR_SIGN).findall(lowered)
 
 
 class _Ids(dict):
@@ -312,7 +321,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     An item is held if some passage differs from it by at most ``1 - similarity`` times its words. Passages at
     that limit are found with the target recall, nearer ones more often, equal ones always. Items with
     fewer than ``least_words`` words only count where they are the whole document. NULL, empty and
-    wordless texts hold nothing and are held by none. Rows that share a key give a row each. Empty tables give an empty
+    wordless texts hold nothing and are held by none; items with a NULL id cannot be named and are left out. Rows that share a key give a row each. Empty tables give an empty
     result; other columns are not read. The benchmark is a query set: it is worked off in passes of
     ``ITEMS_PER_PASS`` items over all documents.
     """
@@ -365,6 +374,12 @@ def _search(spark, rows: DataFrame, items: list[tuple[int, list[str]]], similari
 
 
 def remove(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no item of the benchmark, with all columns; those with a NULL key all stay."""
+    """The documents that hold no item of the benchmark, with all columns; those with a NULL key all stay.
+
+    Items with a NULL id count like others.
+    """
+    item = options.get("item", "item_id")
+    has(benchmark, item=item)
+    benchmark = benchmark.withColumn(item, F.coalesce(F.col(item), F.lit(0)))
     held = contaminated(documents, benchmark, key, **options).select(key).dropna().distinct()
     return without(documents, key, stage(held, "contaminated"))

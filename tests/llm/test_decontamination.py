@@ -126,3 +126,12 @@ def test_query_finds_every_equal_passage(llm):
     keys = {k for k, _ in short}
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op4_decontaminate"](llm, folder).collect() if r["doc_id"] in keys}
     assert got <= set(wanted) and {p for p, d in wanted.items() if d == 0} <= got
+
+
+def test_items_in_scripts_without_blanks_and_without_an_id(documents, llm):
+    chinese, english = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed", "one passage that has no id but is in the benchmark"
+    benchmark = llm.createDataFrame([(7, chinese), (None, english)], "item_id long, text string")
+    df = documents([(1, "\u6211\u8bf4" + chinese + "\u5427"), (2, f"before {english} after"), (3, "\u6211\u4eec\u53bb\u516c\u56ed\u73a9")])
+    found = dc.contaminated(df, benchmark, similarity=0.8, recall=0.95).collect()
+    assert [(r["doc_id"], r["item_id"], r["distance"], r["first_word"]) for r in found] == [(1, 7, 0, 2)]
+    assert [r["doc_id"] for r in dc.remove(df, benchmark, similarity=0.8, recall=0.95).collect()] == [3]
