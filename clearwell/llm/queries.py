@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clearwell.llm import (
     decontamination,
+    exact_duplicates,
     language,
     licences,
     mixing,
@@ -185,3 +186,16 @@ def op8_top_k(spark, folder):
 @query()
 def op9_main_text(spark, folder):
     return pages.extract(table(spark, folder, "pages"))
+
+
+@query("""
+WITH texts AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS content
+  FROM documents),
+groups AS (SELECT content, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY content)
+SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.content) AS text_sha256
+FROM texts t JOIN groups g USING (content)
+""")
+def op12_exact_duplicates(spark, folder):
+    found = exact_duplicates.exact_duplicates(table(spark, folder, "documents"))
+    return found.withColumn("digest", F.lower(F.hex("digest"))).withColumnRenamed("digest", "text_sha256")
