@@ -15,12 +15,13 @@ from clearwell.llm import (
     mixing,
     near_duplicates,
     pages,
+    periodic_runs,
     token_counts,
     topk,
     toxicity,
     training_order,
 )
-from clearwell.llm.common import fold, let_workers_import
+from clearwell.llm.common import WORD, fold, let_workers_import
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +200,35 @@ FROM texts t JOIN groups g USING (content)
 def op12_exact_duplicates(spark, folder):
     found = exact_duplicates.exact_duplicates(table(spark, folder, "documents"))
     return found.withColumn("digest", F.lower(F.hex("digest"))).withColumnRenamed("digest", "text_sha256")
+
+
+def _with_planted_periods(documents: DataFrame) -> DataFrame:
+    """``doc_id, text``: in a tenth of the documents, by their id, the words from one on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = documents.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    repeated = F.expr("""
+        concat_ws(' ', transform(words, (word, i) -> if(i < a, word,
+            words[cast(a + (i - a) % (1 + (n - a) div (3 + g % 8)) as int)])))
+    """)
+    chosen = (
+        planted.where("h % 10 = 0 AND text IS NOT NULL").withColumn("words", words)
+        .withColumn("n", F.size("words")).withColumn("a", F.expr("g % greatest(n, 1)"))
+    )
+    rest = planted.where("h IS NULL OR h % 10 <> 0 OR text IS NULL").select("doc_id", "text")
+    return rest.unionByName(chosen.select("doc_id", repeated.alias("text")))
+
+
+@query()
+def op13_periodic_runs(spark, folder):
+    found = periodic_runs.periodic_runs(_with_planted_periods(table(spark, folder, "documents")))
+    # The longest run: of equal lengths the first to start, then the one with the smallest period.
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS start, -r.period AS period)))")
+    lines = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    found = found.withColumn("best", longest)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), "best.length",
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
