@@ -20,6 +20,7 @@ from clearwell.llm import (
     topk,
     toxicity,
     training_order,
+    whitening,
 )
 from clearwell.llm.common import WORD, fold, let_workers_import
 
@@ -232,3 +233,9 @@ def op13_periodic_runs(spark, folder):
         F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query()
+def op11_whiten(spark, folder):
+    whitened = whitening.whiten(table(spark, folder, "embeddings"), components=32)
+    return whitened.withColumn("deviation", F.col("deviation").cast("long"))
