@@ -97,10 +97,11 @@ def non_null_counts(spark, folder):
 SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS run_id, 'events' AS batch FROM events
 """)
 def batch_run_id(spark, folder):
+    """The batch of a row is the file that it was read from."""
     return table(spark, folder, "events").select(
         "event_id",
         runs.run_label(F.col("ts")).alias("run_id"),
-        runs.batch_name(F.lit(f"{folder}/events.parquet")).alias("batch"),
+        runs.batch_name(F.col("_metadata.file_name")).alias("batch"),
     )
 
 
@@ -229,21 +230,38 @@ def intervals(spark, folder):
 
 
 @query("""
-SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18, 4)) AS price,
-  CAST(o_totalprice AS DECIMAL(18, 4)) AS price_in_list
-FROM orders
+WITH shown AS (
+  SELECT o_orderkey, o_totalprice, CAST(o_totalprice AS VARCHAR) AS t FROM orders),
+parts AS (
+  SELECT *, split_part(t, '.', 1) AS whole, rtrim(split_part(t, '.', 2), '0') AS fraction FROM shown)
+SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18, 4)) AS price, CAST(o_totalprice AS DECIMAL(18, 4)) AS price_in_list,
+  CAST(rtrim(whole || fraction, '0') AS BIGINT) AS digits,
+  CAST(len(whole || fraction) - len(rtrim(whole || fraction, '0')) - len(fraction) AS INTEGER) AS exponent,
+  CASE o_orderkey % 6 WHEN 0 THEN 1 WHEN 1 THEN 15 WHEN 2 THEN -25 WHEN 3 THEN 17976931348623157 WHEN 4 THEN 0 END
+    AS extreme_digits,
+  CAST(CASE o_orderkey % 6 WHEN 0 THEN 25 WHEN 1 THEN -21 WHEN 2 THEN -310 WHEN 3 THEN 292 WHEN 4 THEN 0 END AS INTEGER)
+    AS extreme_exponent
+FROM parts
 """)
 def float_to_decimal(spark, folder):
+    """Prices, and numbers that no decimal type has room for."""
+    extremes = F.array(*[F.lit(x) for x in (1e25, 1.5e-20, -2.5e-309, 1.7976931348623157e308, 0.0, float("nan"))])
     orders = table(spark, folder, "orders").select(
         "o_orderkey",
         F.col("o_totalprice").alias("price"),
         F.array("o_totalprice").alias("prices"),
+        F.struct(F.get(extremes, (F.col("o_orderkey") % 6).cast("int")).alias("value")).alias("extreme"),
     )
     exact = orders.withColumns(
         {c: numbers.to_decimal(F.col(c), orders.schema[c].dataType) for c in ("price", "prices")}
+        | {"shown": numbers.to_exact(F.col("price"), orders.schema["price"].dataType)}
+        | {"extreme": numbers.to_exact(F.col("extreme"), orders.schema["extreme"].dataType)}
     )
     return exact.select(
         "o_orderkey",
         F.col("price").cast("decimal(18,4)").alias("price"),
         F.col("prices")[0].cast("decimal(18,4)").alias("price_in_list"),
+        "shown.digits", "shown.exponent",
+        F.col("extreme.value.digits").alias("extreme_digits"),
+        F.col("extreme.value.exponent").alias("extreme_exponent"),
     )

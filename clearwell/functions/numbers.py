@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F, types as T
 
 ITEM_DECIMAL = T.DecimalType(38, 18)
+#: How the JVM shows a finite number: digits, digits after the point, exponent.
+SHOWN_NUMBER = r"^(-?\d+)\.(\d+)(?:E(-?\d+))?$"
 
 _DIGITS = r"(?:\d+\.?\d*|\.\d+)"
 NUMBER_TEXT = rf"^\s*[+-]?(?:{_DIGITS}(?:[eE][+-]?\d{{1,2}})?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
@@ -75,20 +79,61 @@ def float_or_zero(c: Column, source: T.DataType = T.StringType()) -> Column:
     return F.coalesce(parse_double(c, source).cast("float"), F.lit(0).cast("float"))
 
 
-def to_decimal(c: Column, data_type: T.DataType) -> Column:
-    """Binary floats as the decimal of their shortest text, also inside arrays, maps and structs."""
+def on_floats(c: Column, data_type: T.DataType, change: Callable[[Column, T.DataType], Column]) -> Column:
+    """Apply ``change`` to binary floats, also inside arrays, maps and structs; all else stays."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return c.cast("string").try_cast(ITEM_DECIMAL)
+        return change(c, data_type)
     if isinstance(data_type, T.ArrayType):
-        return F.transform(c, lambda e: to_decimal(e, data_type.elementType))
+        return F.transform(c, lambda e: on_floats(e, data_type.elementType, change))
     if isinstance(data_type, T.MapType):
-        return F.transform_values(c, lambda _, v: to_decimal(v, data_type.valueType))
+        return F.transform_values(c, lambda _, v: on_floats(v, data_type.valueType, change))
     if isinstance(data_type, T.StructType):
-        fields = [to_decimal(c.getField(f.name), f.dataType).alias(f.name) for f in data_type]
+        fields = [on_floats(c.getField(f.name), f.dataType, change).alias(f.name) for f in data_type]
         return F.when(c.isNotNull(), F.struct(*fields))
     return c
 
 
+def _digits_and_exponent(c: Column, data_type: T.DataType) -> Column:
+    shown = c.cast("string")
+    number = F.regexp_extract(shown, SHOWN_NUMBER, 0) != ""
+    whole, fraction, exponent = (F.regexp_extract(shown, SHOWN_NUMBER, i) for i in (1, 2, 3))
+    exponent = F.coalesce(F.nullif(exponent, F.lit("")).cast("int"), F.lit(0))
+    digits = F.concat(whole, fraction)
+    short = F.regexp_replace(digits, "0+$", "")
+    exact = F.struct(
+        F.nullif(F.nullif(short, F.lit("")), F.lit("-")).cast("bigint").alias("digits"),
+        (exponent - F.length(fraction) + F.length(digits) - F.length(short)).alias("exponent"),
+    )
+    zero = F.struct(F.lit(0).cast("bigint").alias("digits"), F.lit(0).alias("exponent"))
+    return F.when(number, F.when(c == 0, zero).otherwise(exact))
+
+
+def to_exact(c: Column, data_type: T.DataType) -> Column:
+    """Binary floats as ``digits`` times ten to the ``exponent``, also inside arrays, maps and structs.
+
+    These are the digits of the shortest text, without zeros at the end, so every finite number keeps its value
+    whatever its size. NULL for NaN and infinity, which no decimal is.
+    """
+    return on_floats(c, data_type, _digits_and_exponent)
+
+
+def to_decimal(c: Column, data_type: T.DataType) -> Column:
+    """Binary floats as the decimal of their shortest text, also inside arrays, maps and structs.
+
+    A number with digits beyond the 20 before and 18 after the point that the type has raises; :func:`to_exact` takes
+    all numbers. NaN and infinity are NULL.
+    """
+
+    def exact(number: Column, kind: T.DataType) -> Column:
+        value = number.cast("string").try_cast(ITEM_DECIMAL)
+        finite = ~F.isnan(number) & (F.abs(number) < float("inf"))
+        lost = F.raise_error(F.concat(F.lit("more digits than a decimal holds: "), number.cast("string")))
+        same = F.coalesce(value.cast(kind) == number, F.lit(False))
+        return F.when(finite, F.when(same, value).otherwise(lost.cast(ITEM_DECIMAL)))
+
+    return on_floats(c, data_type, exact)
+
+
 def drop_ratio(previous: Column, current: Column) -> Column:
     """Share lost against the previous value; negative for growth, NULL against 0."""
     return F.try_divide(previous - current, previous)

@@ -9,12 +9,13 @@ from pyspark.sql import Column, functions as F
 # Every character Python's str.strip removes, which is more than the blank SQL TRIM removes.
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
-# The patterns that define the snake_case form, applied in this order.
+# The patterns that define the snake_case form, applied in this order, each with its
+# replacement for Python and for the JVM.
 SNAKE_PATTERNS = (
-    (r"(.)([A-Z][a-z]+)", (1, "_", 2)),
-    (r"([a-z0-9])([A-Z])", (1, "_", 2)),
-    (r"[ -]", ("_",)),
-    (r"__+", ("_",)),
+    (r"(.)([A-Z][a-z]+)", r"\1_\2", "$1_$2"),
+    (r"([a-z0-9])([A-Z])", r"\1_\2", "$1_$2"),
+    (r"[ -]", "_", "_"),
+    (r"__+", "_", "_"),
 )
 
 # The texts pandas reads as missing by default.
@@ -24,21 +25,17 @@ PANDAS_NULL_TOKENS = (
 )
 
 
-def _replacement(parts: tuple, group_mark: str) -> str:
-    return "".join(f"{group_mark}{p}" if isinstance(p, int) else p for p in parts)
-
-
 def snake_name(name: str) -> str:
     """snake_case form of one column name, on the driver."""
-    for pattern, parts in SNAKE_PATTERNS:
-        name = re.sub(pattern, _replacement(parts, "\\"), name)
+    for pattern, replacement, _ in SNAKE_PATTERNS:
+        name = re.sub(pattern, replacement, name)
     return name.lower().strip("_")
 
 
 def snake_text(c: Column) -> Column:
     """snake_case form of the values of a text column."""
-    for pattern, parts in SNAKE_PATTERNS:
-        c = F.regexp_replace(c, pattern, _replacement(parts, "$"))
+    for pattern, _, replacement in SNAKE_PATTERNS:
+        c = F.regexp_replace(c, pattern, replacement)
     return F.btrim(F.lower(c), F.lit("_"))
 
 

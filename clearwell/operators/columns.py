@@ -111,19 +111,40 @@ def with_interval_flag(df: DataFrame, low: str, high: str, name: str = "low_le_h
     return df.withColumn(name, F.coalesce(col(low) <= col(high), F.lit(False)))
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the declared columns in order and cast them.
-
-    A cell that does not fit its type becomes NULL. NULL in a column declared NOT NULL and text
-    longer than its VARCHAR raise while the rows are processed, so there is no checking job.
-    """
+def _require(df: DataFrame, schema: T.StructType) -> None:
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing from the input: {missing}")
-    return df.select(*[_conformed(f, df.schema[f.name].dataType) for f in schema])
 
 
-def _conformed(field: T.StructField, source: T.DataType) -> Column:
+def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+    """Select the declared columns in order and cast them.
+
+    A cell that does not fit its type becomes NULL, or raises if ``strict``. NULL in a column declared NOT NULL
+    and text longer than its VARCHAR raise while the rows are processed, so there is no checking job.
+    """
+    _require(df, schema)
+    return df.select(*[_conformed(f, df.schema[f.name].dataType, strict) for f in schema])
+
+
+def misfit_reasons(df: DataFrame, schema: T.StructType) -> Column:
+    """Why a row does not fit the declared columns, one reason per cell; NULL for a row that fits."""
+    _require(df, schema)
+    reasons = []
+    for f in schema:
+        cell, source = col(f.name), df.schema[f.name].dataType
+        if isinstance(f.dataType, T.VarcharType):
+            too_long = F.length(cell.cast("string")) > f.dataType.length
+            reasons.append(F.when(too_long, F.lit(f"{f.name}: text longer than {f.dataType.length}")))
+        else:
+            unfit = cell.isNotNull() & numbers.cast_or_null(cell, source, f.dataType).isNull()
+            reasons.append(F.when(unfit, F.lit(f"{f.name}: no {f.dataType.simpleString()}")))
+        if not f.nullable:
+            reasons.append(F.when(cell.isNull(), F.lit(f"{f.name}: must not be null")))
+    return F.nullif(F.concat_ws("; ", *reasons), F.lit(""))
+
+
+def _conformed(field: T.StructField, source: T.DataType, strict: bool) -> Column:
     if isinstance(field.dataType, T.VarcharType):
         value = col(field.name).cast("string")
         limit = field.dataType.length
@@ -131,6 +152,10 @@ def _conformed(field: T.StructField, source: T.DataType) -> Column:
         value = F.when(F.length(value) > limit, too_long.cast("string")).otherwise(value)
     else:
         value = numbers.cast_or_null(col(field.name), source, field.dataType)
+        if strict:
+            kind = field.dataType.simpleString()
+            unfit = F.raise_error(F.concat(F.lit(f"{field.name}: no {kind}: "), col(field.name).cast("string")))
+            value = F.when(value.isNull() & col(field.name).isNotNull(), unfit.cast(field.dataType)).otherwise(value)
     if not field.nullable:
         absent = F.raise_error(F.lit(f"{field.name} must not be null"))
         value = F.coalesce(value, absent.cast(value_type(field.dataType)))

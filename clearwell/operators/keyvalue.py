@@ -45,9 +45,12 @@ def batch_numbers(
 ) -> DataFrame:
     """Number consecutive batches of ``size`` rows from 0, without one task seeing all rows.
 
-    ``order`` names the key of the items, so no item repeats.
+    ``order`` names the key of the items, so no item repeats. Only keys are ranged and staged to be numbered; the
+    numbers then meet their items by key, so an item is moved once and never written in between.
     For reports on batches of a stated order; the writer cuts its own batches and needs no numbers.
     """
-    in_order = [col(c).asc_nulls_last() for c in order]
-    numbered = number_rows(df, [], in_order, name, distinct=True)
-    return numbered.withColumn(name, F.floor((col(name) - 1) / size))
+    keys = df.select(*[col(c) for c in order])
+    numbered = number_rows(keys, [], [col(c).asc_nulls_last() for c in order], name, distinct=True)
+    numbered = numbered.withColumn(name, F.floor((col(name) - 1) / size))
+    same = [df[f"`{c}`"].eqNullSafe(numbered[f"`{c}`"]) for c in order]
+    return df.join(numbered, same).select(*[df[f"`{c}`"] for c in df.columns], numbered[name])

@@ -10,85 +10,193 @@ from clearwell.functions.text import snake_name
 from clearwell.operators import checks as ck
 from clearwell.operators.columns import with_interval_flag
 
-_TYPES = {
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "float": T.FloatType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-}
-
-
-def table_schema(columns: str) -> T.StructType:
-    """Schema from ``name:type`` words; a number as type is a VARCHAR of that length, a closing
-    ``!`` means NOT NULL."""
-    fields = []
-    for word in columns.split():
-        name, _, kind = word.rpartition(":")
-        required = kind.endswith("!")
-        kind = kind.rstrip("!")
-        data_type = T.VarcharType(int(kind)) if kind.isdigit() else _TYPES[kind]
-        fields.append(T.StructField(name, data_type, not required))
-    return T.StructType(fields)
-
+_INT, _FLOAT, _DOUBLE, _TEXT = T.IntegerType(), T.FloatType(), T.DoubleType(), T.StringType()
 
 # The columns of the raw files.
-RAW_CHRONIC = table_schema("""
-    YearStart:int YearEnd:int LocationAbbr:string LocationDesc:string DataSource:string
-    Topic:string Question:string Response:string DataValueUnit:string DataValueType:string
-    DataValue:double DataValueAlt:double DataValueFootnoteSymbol:string DataValueFootnote:string
-    LowConfidenceLimit:double HighConfidenceLimit:double
-    StratificationCategory1:string Stratification1:string
-    StratificationCategory2:string Stratification2:string
-    StratificationCategory3:string Stratification3:string
-    Geolocation:string LocationID:int TopicID:string QuestionID:string ResponseID:string
-    DataValueTypeID:string StratificationCategoryID1:string StratificationID1:string
-    StratificationCategoryID2:string StratificationID2:string
-    StratificationCategoryID3:string StratificationID3:string
-""")
-RAW_HEART = table_schema("""
-    Year:int LocationAbbr:string LocationDesc:string GeographicLevel:string DataSource:string
-    Class:string Topic:string Data_Value:double Data_Value_Unit:string Data_Value_Type:string
-    Data_Value_Footnote_Symbol:string Data_Value_Footnote:string
-    StratificationCategory1:string Stratification1:string
-    StratificationCategory2:string Stratification2:string
-    TopicID:string LocationID:int Y_lat:double X_lon:double Georeference:string
-""")
-RAW_NUTRI = table_schema("""
-    YearStart:int YearEnd:int LocationAbbr:string LocationDesc:string Datasource:string
-    Class:string Topic:string Question:string Data_Value_Unit:string Data_Value_Type:string
-    Data_Value:double Data_Value_Alt:double Data_Value_Footnote_Symbol:string
-    Data_Value_Footnote:string Low_Confidence_Limit:double High_Confidence_Limit:double
-    Sample_Size:int Total:string Age(years):string Education:string Sex:string Income:string
-    Race/Ethnicity:string GeoLocation:string ClassID:string TopicID:string QuestionID:string
-    DataValueTypeID:string LocationID:int StratificationCategory1:string Stratification1:string
-    StratificationCategoryId1:string StratificationID1:string
-""")
+RAW_CHRONIC = T.StructType(
+    [
+        T.StructField("YearStart", _INT),
+        T.StructField("YearEnd", _INT),
+        T.StructField("LocationAbbr", _TEXT),
+        T.StructField("LocationDesc", _TEXT),
+        T.StructField("DataSource", _TEXT),
+        T.StructField("Topic", _TEXT),
+        T.StructField("Question", _TEXT),
+        T.StructField("Response", _TEXT),
+        T.StructField("DataValueUnit", _TEXT),
+        T.StructField("DataValueType", _TEXT),
+        T.StructField("DataValue", _DOUBLE),
+        T.StructField("DataValueAlt", _DOUBLE),
+        T.StructField("DataValueFootnoteSymbol", _TEXT),
+        T.StructField("DataValueFootnote", _TEXT),
+        T.StructField("LowConfidenceLimit", _DOUBLE),
+        T.StructField("HighConfidenceLimit", _DOUBLE),
+        T.StructField("StratificationCategory1", _TEXT),
+        T.StructField("Stratification1", _TEXT),
+        T.StructField("StratificationCategory2", _TEXT),
+        T.StructField("Stratification2", _TEXT),
+        T.StructField("StratificationCategory3", _TEXT),
+        T.StructField("Stratification3", _TEXT),
+        T.StructField("Geolocation", _TEXT),
+        T.StructField("LocationID", _INT),
+        T.StructField("TopicID", _TEXT),
+        T.StructField("QuestionID", _TEXT),
+        T.StructField("ResponseID", _TEXT),
+        T.StructField("DataValueTypeID", _TEXT),
+        T.StructField("StratificationCategoryID1", _TEXT),
+        T.StructField("StratificationID1", _TEXT),
+        T.StructField("StratificationCategoryID2", _TEXT),
+        T.StructField("StratificationID2", _TEXT),
+        T.StructField("StratificationCategoryID3", _TEXT),
+        T.StructField("StratificationID3", _TEXT),
+    ]
+)
+RAW_HEART = T.StructType(
+    [
+        T.StructField("Year", _INT),
+        T.StructField("LocationAbbr", _TEXT),
+        T.StructField("LocationDesc", _TEXT),
+        T.StructField("GeographicLevel", _TEXT),
+        T.StructField("DataSource", _TEXT),
+        T.StructField("Class", _TEXT),
+        T.StructField("Topic", _TEXT),
+        T.StructField("Data_Value", _DOUBLE),
+        T.StructField("Data_Value_Unit", _TEXT),
+        T.StructField("Data_Value_Type", _TEXT),
+        T.StructField("Data_Value_Footnote_Symbol", _TEXT),
+        T.StructField("Data_Value_Footnote", _TEXT),
+        T.StructField("StratificationCategory1", _TEXT),
+        T.StructField("Stratification1", _TEXT),
+        T.StructField("StratificationCategory2", _TEXT),
+        T.StructField("Stratification2", _TEXT),
+        T.StructField("TopicID", _TEXT),
+        T.StructField("LocationID", _INT),
+        T.StructField("Y_lat", _DOUBLE),
+        T.StructField("X_lon", _DOUBLE),
+        T.StructField("Georeference", _TEXT),
+    ]
+)
+RAW_NUTRI = T.StructType(
+    [
+        T.StructField("YearStart", _INT),
+        T.StructField("YearEnd", _INT),
+        T.StructField("LocationAbbr", _TEXT),
+        T.StructField("LocationDesc", _TEXT),
+        T.StructField("Datasource", _TEXT),
+        T.StructField("Class", _TEXT),
+        T.StructField("Topic", _TEXT),
+        T.StructField("Question", _TEXT),
+        T.StructField("Data_Value_Unit", _TEXT),
+        T.StructField("Data_Value_Type", _TEXT),
+        T.StructField("Data_Value", _DOUBLE),
+        T.StructField("Data_Value_Alt", _DOUBLE),
+        T.StructField("Data_Value_Footnote_Symbol", _TEXT),
+        T.StructField("Data_Value_Footnote", _TEXT),
+        T.StructField("Low_Confidence_Limit", _DOUBLE),
+        T.StructField("High_Confidence_Limit", _DOUBLE),
+        T.StructField("Sample_Size", _INT),
+        T.StructField("Total", _TEXT),
+        T.StructField("Age(years)", _TEXT),
+        T.StructField("Education", _TEXT),
+        T.StructField("Sex", _TEXT),
+        T.StructField("Income", _TEXT),
+        T.StructField("Race/Ethnicity", _TEXT),
+        T.StructField("GeoLocation", _TEXT),
+        T.StructField("ClassID", _TEXT),
+        T.StructField("TopicID", _TEXT),
+        T.StructField("QuestionID", _TEXT),
+        T.StructField("DataValueTypeID", _TEXT),
+        T.StructField("LocationID", _INT),
+        T.StructField("StratificationCategory1", _TEXT),
+        T.StructField("Stratification1", _TEXT),
+        T.StructField("StratificationCategoryId1", _TEXT),
+        T.StructField("StratificationID1", _TEXT),
+    ]
+)
 
 # The columns of the target tables. The topic of a heart row is a code such as T2,
 # which a type-guessing reader takes for a time of day; here it is declared as text.
-WAREHOUSE_CHRONIC = table_schema("""
-    year_start:int year_end:int location_abbr:10 location_desc:255 data_source:255 topic:255
-    question:500 data_value_unit:100 data_value_type:100 data_value:double data_value_alt:double
-    low_confidence_limit:double high_confidence_limit:double stratification_category1:100
-    stratification1:100 geolocation:200 location_id:int topic_id:50 question_id:50
-    data_value_type_id:50 stratification_category_id1:50 stratification_id1:50 row_num:int!
-""")
-WAREHOUSE_HEART = table_schema("""
-    year:int location_abbr:10 location_desc:255 geographic_level:100 data_source:255 class:255
-    topic:255 data_value:double data_value_unit:50 data_value_type:100
-    stratification_category1:100 stratification1:100 stratification_category2:100
-    stratification2:100 topic_id:50 location_id:int y_lat:double x_lon:double georeference:100
-    row_num:int!
-""")
-EXTERNAL_NUTRI = table_schema("""
-    YearStart:int YearEnd:int LocationAbbr:string LocationDesc:string Datasource:string
-    Class:string Question:string Data_Value_Type:string Data_Value:float Data_Value_Alt:float
-    Low_Confidence_Limit:float High_Confidence_Limit:float Sample_Size:int Total:string
-    Age_Range:string Education:string Income_Range:string Race_Ethnicity:string
-    GeoLocation:string ClassID:string TopicID:string QuestionID:string DataValueTypeID:string
-    LocationID:string StratificationCategory1:string Stratification1:string
-""")
+WAREHOUSE_CHRONIC = T.StructType(
+    [
+        T.StructField("year_start", _INT),
+        T.StructField("year_end", _INT),
+        T.StructField("location_abbr", T.VarcharType(10)),
+        T.StructField("location_desc", T.VarcharType(255)),
+        T.StructField("data_source", T.VarcharType(255)),
+        T.StructField("topic", T.VarcharType(255)),
+        T.StructField("question", T.VarcharType(500)),
+        T.StructField("data_value_unit", T.VarcharType(100)),
+        T.StructField("data_value_type", T.VarcharType(100)),
+        T.StructField("data_value", _DOUBLE),
+        T.StructField("data_value_alt", _DOUBLE),
+        T.StructField("low_confidence_limit", _DOUBLE),
+        T.StructField("high_confidence_limit", _DOUBLE),
+        T.StructField("stratification_category1", T.VarcharType(100)),
+        T.StructField("stratification1", T.VarcharType(100)),
+        T.StructField("geolocation", T.VarcharType(200)),
+        T.StructField("location_id", _INT),
+        T.StructField("topic_id", T.VarcharType(50)),
+        T.StructField("question_id", T.VarcharType(50)),
+        T.StructField("data_value_type_id", T.VarcharType(50)),
+        T.StructField("stratification_category_id1", T.VarcharType(50)),
+        T.StructField("stratification_id1", T.VarcharType(50)),
+        T.StructField("row_num", _INT, nullable=False),
+    ]
+)
+WAREHOUSE_HEART = T.StructType(
+    [
+        T.StructField("year", _INT),
+        T.StructField("location_abbr", T.VarcharType(10)),
+        T.StructField("location_desc", T.VarcharType(255)),
+        T.StructField("geographic_level", T.VarcharType(100)),
+        T.StructField("data_source", T.VarcharType(255)),
+        T.StructField("class", T.VarcharType(255)),
+        T.StructField("topic", T.VarcharType(255)),
+        T.StructField("data_value", _DOUBLE),
+        T.StructField("data_value_unit", T.VarcharType(50)),
+        T.StructField("data_value_type", T.VarcharType(100)),
+        T.StructField("stratification_category1", T.VarcharType(100)),
+        T.StructField("stratification1", T.VarcharType(100)),
+        T.StructField("stratification_category2", T.VarcharType(100)),
+        T.StructField("stratification2", T.VarcharType(100)),
+        T.StructField("topic_id", T.VarcharType(50)),
+        T.StructField("location_id", _INT),
+        T.StructField("y_lat", _DOUBLE),
+        T.StructField("x_lon", _DOUBLE),
+        T.StructField("georeference", T.VarcharType(100)),
+        T.StructField("row_num", _INT, nullable=False),
+    ]
+)
+EXTERNAL_NUTRI = T.StructType(
+    [
+        T.StructField("YearStart", _INT),
+        T.StructField("YearEnd", _INT),
+        T.StructField("LocationAbbr", _TEXT),
+        T.StructField("LocationDesc", _TEXT),
+        T.StructField("Datasource", _TEXT),
+        T.StructField("Class", _TEXT),
+        T.StructField("Question", _TEXT),
+        T.StructField("Data_Value_Type", _TEXT),
+        T.StructField("Data_Value", _FLOAT),
+        T.StructField("Data_Value_Alt", _FLOAT),
+        T.StructField("Low_Confidence_Limit", _FLOAT),
+        T.StructField("High_Confidence_Limit", _FLOAT),
+        T.StructField("Sample_Size", _INT),
+        T.StructField("Total", _TEXT),
+        T.StructField("Age_Range", _TEXT),
+        T.StructField("Education", _TEXT),
+        T.StructField("Income_Range", _TEXT),
+        T.StructField("Race_Ethnicity", _TEXT),
+        T.StructField("GeoLocation", _TEXT),
+        T.StructField("ClassID", _TEXT),
+        T.StructField("TopicID", _TEXT),
+        T.StructField("QuestionID", _TEXT),
+        T.StructField("DataValueTypeID", _TEXT),
+        T.StructField("LocationID", _TEXT),
+        T.StructField("StratificationCategory1", _TEXT),
+        T.StructField("Stratification1", _TEXT),
+    ]
+)
 
 
 def external_schema(warehouse: T.StructType) -> T.StructType:
@@ -101,10 +209,12 @@ def external_schema(warehouse: T.StructType) -> T.StructType:
 
 
 # Codes of states, territories and the national total that a cleaned table may hold.
-LOCATION_CODES = tuple("""
-    AL AK AZ AR CA CO CT DC DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM
-    NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY US PR GU AI VI MP
-""".split())
+LOCATION_CODES = (
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DC", "DE", "FL", "GA", "HI", "ID", "IL", "IN",
+    "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH",
+    "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT",
+    "VT", "VA", "WA", "WV", "WI", "WY", "US", "PR", "GU", "AI", "VI", "MP",
+)
 
 # Fixed value: the condition of a metric outside its confidence interval.
 OUTSIDE_INTERVAL = (
@@ -159,6 +269,8 @@ class Dataset:
     keys: tuple[str, ...]
     other_years: tuple[str, ...] = ()
     learned: tuple[str, ...] = ()
+    # Columns whose values must be among those of the baseline batch.
+    categories: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
     rule_checks: tuple[ck.Check, ...] = field(default=())
 
@@ -193,7 +305,7 @@ class Dataset:
         return suite + list(self.rule_checks)
 
     def curated_checks(self, df: DataFrame, baseline: DataFrame | None = None) -> list[ck.Check]:
-        """Suite for a curated table, with value ranges learned from a baseline batch."""
+        """Suite for a curated table, with value ranges and categories learned from a baseline batch."""
         # Curation drops empty and footnote columns; a column that is there must hold values.
         wanted = [c for c in (snake_name(f.name) for f in self.raw) if c in df.columns]
         suite: list[ck.Check] = []
@@ -202,6 +314,7 @@ class Dataset:
         suite.append(ck.RowCountBetween(None, *self.rows_curated))
         if baseline is not None:
             suite += ck.learn_ranges(baseline, self.learned)
+            suite += [c for c in ck.learn_categories(baseline, self.categories) if c.applies_to(df)]
         suite += [ck.ValuesUnique(c) for c in self.unique]
         return suite + [ck.ColumnCount(None, len(df.columns))]
 
@@ -219,6 +332,7 @@ CHRONIC = Dataset(
     keys=("location_abbr", "year_start", "topic_id", "data_value", "question"),
     other_years=("year_end",),
     learned=("data_value", "low_confidence_limit", "high_confidence_limit"),
+    categories=("topic",),
     unique=("question_id", "response_id"),
     rule_checks=(
         ck.InvalidCountZero("data_value", 0),
@@ -236,6 +350,7 @@ HEART = Dataset(
     has_limits=False,
     keys=("data_value", "topic_id", "location_abbr", "year"),
     learned=("data_value",),
+    categories=("class", "topic"),
     unique=("topic_id", "location_id"),
     rule_checks=(ck.InvalidCountZero("data_value", 0),),
 )
@@ -250,6 +365,7 @@ NUTRI = Dataset(
     has_limits=True,
     keys=("data_value", "location_abbr", "year_start", "class"),
     learned=("data_value", "low_confidence_limit", "high_confidence_limit", "sample_size", "total"),
+    categories=("class", "topic"),
     unique=("question_id", "topic_id", "location_id"),
     rule_checks=(
         ck.InvalidCountZero("data_value", 0, 100),

@@ -62,6 +62,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return staged
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

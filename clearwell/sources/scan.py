@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+import csv
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -50,6 +53,41 @@ def read_csv_like_pandas(
     return as_text if schema is None else conform(as_text, schema)
 
 
+#: Split sizes at which every file is one split and every split a task of its own.
+_FILE_PER_TASK = {"spark.sql.files.maxPartitionBytes": 1 << 50, "spark.sql.files.openCostInBytes": 1 << 50}
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of every file in a task; stops at the first batch, so the rest is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def header_index(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> dict[tuple[str, ...], list[str]]:
+    """The column lists of the CSV files under ``paths``, each with the files that begin with it.
+
+    A task per file reads its first line and stops. The driver gets one line per file, no more than the list of
+    files that a scan keeps there anyway. Files without a line are in no list.
+    """
+    given = {name: spark.conf.get(name, None) for name in _FILE_PER_TASK}
+    for name, value in _FILE_PER_TASK.items():
+        spark.conf.set(name, str(value))
+    try:
+        lines = spark.read.option("pathGlobFilter", pattern).text(paths)
+        lines = lines.select(F.col("_metadata.file_path").alias("file"), "value")
+        first = lines.mapInArrow(_first_lines, "file string, value string").collect()
+    finally:
+        for name, value in given.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    index: dict[tuple[str, ...], list[str]] = {}
+    for file, line in sorted(first):
+        names = tuple(next(csv.reader([line.removeprefix("\ufeff")])))
+        index.setdefault(names, []).append(unquote(file))
+    return index
+
+
 def read_parts(
     spark: SparkSession,
     folders: str | Iterable[str],
@@ -58,11 +96,19 @@ def read_parts(
 ) -> DataFrame:
     """All CSV parts of one or more folders, combined by column name.
 
-    The parts of a folder share their header, as parts written by one job do. Columns that only
-    some folders have are NULL for the others.
+    Parts may differ in their columns and their order, also inside a folder: files with the same header are read by
+    one scan, and the scans are united by name. Columns that only some parts have are NULL for the others. With a schema
+    its columns come first, typed, NULL where no part has them; others follow as text.
     """
     folders = [folders] if isinstance(folders, str) else list(folders)
-    parts = [read_csv(spark, f, schema, pathGlobFilter=pattern) for f in folders]
+    index = header_index(spark, folders, pattern)
+    declared = {f.name: f for f in schema} if schema is not None else {}
+    parts = [spark.createDataFrame([], schema)] if schema is not None else []
+    for names, files in index.items():
+        typed = [declared.get(n, T.StructField(n, T.StringType())) for n in names]
+        parts.append(read_csv(spark, files, T.StructType(typed)))
+    if not parts:
+        raise FileNotFoundError(f"no {pattern} with a header under {folders}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from clearwell.operators.columns import conform
+from clearwell.operators.columns import col, conform, misfit_reasons
+from clearwell.session import discard, stage
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
@@ -50,11 +51,25 @@ def external_table(
     return spark.table(name)
 
 
-def truncate_and_load(df: DataFrame, name: str, path: str, schema: T.StructType) -> DataFrame:
+def truncate_and_load(
+    df: DataFrame, name: str, path: str, schema: T.StructType, rejects: str | None = None, reason: str = "reason"
+) -> DataFrame:
     """Create the declared table if need be and replace its rows by the conformed input.
 
-    The columns go in by declared order. Running it twice leaves the same rows.
+    The columns go in by declared order. Running it twice leaves the same rows. A cell that does not fit its
+    column fails the load, unless ``rejects`` names a folder: then the rows that do not fit are written there as they
+    came, with the ``reason``, and the others are loaded. The input is evaluated once and staged, as an overwrite empties
+    the table before the first row is computed: a load that fails leaves the table as it was.
     """
     external_table(df.sparkSession, name, path, schema)
-    conform(df, schema).write.insertInto(name, overwrite=True)
+    if rejects is None:
+        checked = stage(conform(df, schema, strict=True), "load-checked")
+        checked.write.insertInto(name, overwrite=True)
+    else:
+        if reason in df.columns:
+            raise ValueError(f"the input has a column {reason!r} of its own")
+        checked = stage(df.withColumn(reason, misfit_reasons(df, schema)), "load-checked")
+        write_table(checked.filter(col(reason).isNotNull()), rejects)
+        conform(checked.filter(col(reason).isNull()), schema).write.insertInto(name, overwrite=True)
+    discard(checked)
     return df.sparkSession.table(name)

@@ -4,8 +4,9 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import types as T
+
 from clearwell.operators import columns as cols
-from clearwell.plans.datasets import table_schema
 
 
 def test_renames(spark):
@@ -60,19 +61,19 @@ def test_interval_flag_is_false_where_a_limit_is_unknown(spark):
 
 def test_conform_orders_casts_and_nulls_bad_cells(spark):
     df = spark.createDataFrame([("7", "x", 1.5, "k")], "a string, b string, c double, extra string")
-    out = cols.conform(df, table_schema("c:5 a:int b:double"))
+    out = cols.conform(df, T.StructType.fromDDL("c VARCHAR(5), a INT, b DOUBLE"))
     assert out.columns == ["c", "a", "b"]
     assert tuple(out.first()) == ("1.5", 7, None)
     with pytest.raises(ValueError, match="missing"):
-        cols.conform(df, table_schema("zz:int"))
+        cols.conform(df, T.StructType.fromDDL("zz INT"))
 
 
 def test_conform_enforces_not_null_and_length(spark):
     df = spark.createDataFrame([(None, "abc")], "n int, t string")
     with pytest.raises(Exception, match="n must not be null"):
-        cols.conform(df, table_schema("n:int!")).collect()
+        cols.conform(df, T.StructType.fromDDL("n INT NOT NULL")).collect()
     with pytest.raises(Exception, match="t: text longer than 2"):
-        cols.conform(df, table_schema("t:2")).collect()
+        cols.conform(df, T.StructType.fromDDL("t VARCHAR(2)")).collect()
 
 
 def test_coerce_touches_only_present_columns(spark):

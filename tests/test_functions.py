@@ -162,3 +162,31 @@ def test_equality_keys_are_short_and_distinguish_texts(spark):
     keys = [r[0] for r in df.select(text.equality_key(F.col("v"))).collect()]
     assert keys[:3] == texts[:3] and keys[-1] is None
     assert len(set(keys)) == len(texts) and max(len(k) for k in keys if k) < 80
+
+
+EXTREMES = [1e25, 1.5e-20, 5e-324, -1.7976931348623157e308, 0.1, -0.0, 12345678.0, 1e7, 1e-3, 100.0, 2.0**60, 1 / 3]
+
+
+def test_exact_numbers_keep_every_finite_value(spark):
+    rows = [(x, [x, None], {"k": x}, (x, "t")) for x in EXTREMES] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "v double, a array<double>, m map<string,double>, s struct<x:double,t:string>")
+    exact = df.select("v", *[numbers.to_exact(F.col(c), df.schema[c].dataType).alias(f"{c}_") for c in df.columns])
+    for row in exact.collect():
+        if row.v is None:
+            assert row.v_ is None and row.a_ is None and row.m_ is None and row.s_ is None
+            continue
+        value = Decimal(row.v_.digits).scaleb(row.v_.exponent)
+        assert float(value) == row.v and (row.v_.digits == 0 or row.v_.digits % 10)
+        assert row.a_ == [row.v_, None] and row.m_ == {"k": row.v_} and (row.s_.x, row.s_.t) == (row.v_, "t")
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),)], "v double")
+    assert {r[0] for r in odd.select(numbers.to_exact(F.col("v"), T.DoubleType())).collect()} == {None}
+    single = spark.createDataFrame([(0.1,), (3.4028234663852886e38,)], "v float")
+    got = [tuple(r[0]) for r in single.select(numbers.to_exact(F.col("v"), T.FloatType())).collect()]
+    assert got == [(1, -1), (34028235, 31)]
+
+
+@pytest.mark.parametrize("lost", [1e25, 1.5e-20, 1e-19])
+def test_a_decimal_that_would_lose_digits_raises(spark, lost):
+    df = spark.createDataFrame([(lost,)], "v double")
+    with pytest.raises(Exception, match="more digits than a decimal holds"):
+        df.select(numbers.to_decimal(F.col("v"), T.DoubleType())).collect()

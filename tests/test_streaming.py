@@ -2,14 +2,15 @@ from __future__ import annotations
 
 import os
 
-from clearwell.plans.datasets import table_schema
+from pyspark.sql import types as T
+
 from clearwell.streaming.landing import land_new_files
 
 
 def test_only_new_files_are_landed(spark, tmp_path):
     landing, bronze, progress = (str(tmp_path / n) for n in ("landing", "bronze", "progress"))
     (tmp_path / "landing").mkdir()
-    schema = table_schema("a:int b:string")
+    schema = T.StructType.fromDDL("a INT, b STRING")
     (tmp_path / "landing" / "one.csv").write_text('a,b\n1,"x, y"\n2,z\n')
     land_new_files(spark, landing, schema, bronze, progress)
     (tmp_path / "landing" / "two.csv").write_text("a,b\n3,w\n")
