@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from catalogue.columns import intervals
 from catalogue.registry import query, table
-from clearwell.operators import checks as ck, suites, yaml_checks
+from clearwell.operators import checks as ck, drift, suites, yaml_checks
+from clearwell.operators.columns import with_interval_flag
+from clearwell.plans.datasets import Dataset
+from clearwell.session import new_folder
+from clearwell.sources import scan, sinks
 
 
 def line(dataset: str, kind: str, column: str | None, source: str, passed: str, observed: str = "NULL",
@@ -48,7 +53,7 @@ def union(*lines: str) -> str:
 
 
 def comparable(results: DataFrame) -> DataFrame:
-    return results.drop("run_ts").withColumn("unexpected_pct", F.round("unexpected_pct", 6))
+    return results.drop("run_ts", "source_file").withColumn("unexpected_pct", F.round("unexpected_pct", 6))
 
 
 def single(df: DataFrame, dataset: str, *checks: ck.Check) -> DataFrame:
@@ -339,3 +344,133 @@ def yaml_suite_results(spark, folder):
     loaded = yaml_checks.load_suites(YAML_SUITES)
     parts = [suites.run_suite(batches[name], checks, name) for name, checks in loaded.items()]
     return comparable(reduce(DataFrame.unionByName, parts))
+
+
+@query(value_line("lineitem", "expect_column_values_to_be_in_set", "low_le_high",
+                  f"(SELECT coalesce(low <= high, false) AS low_le_high FROM {INTERVALS})", "NOT low_le_high"))
+def check_true_flag(spark, folder):
+    flagged = with_interval_flag(intervals(spark, folder), "low", "high")
+    return single(flagged, "lineitem", ck.TrueFlag("low_le_high"))
+
+
+@query("""
+WITH early AS (SELECT DISTINCT o_custkey, o_orderpriority FROM orders WHERE year(o_orderdate) < 1996),
+late AS (SELECT o_custkey, o_orderpriority FROM orders WHERE year(o_orderdate) >= 1996)
+""" + union(*[f"""
+SELECT 'orders' AS dataset, 'expect_column_values_to_be_in_set' AS expectation, '{c}' AS "column",
+  count(*) FILTER (WHERE {c} NOT IN (SELECT {c} FROM early)) = 0 AS success, CAST(NULL AS DOUBLE) AS observed,
+  count(*) FILTER (WHERE {c} NOT IN (SELECT {c} FROM early)) AS unexpected_count,
+  round(100.0 * count(*) FILTER (WHERE {c} NOT IN (SELECT {c} FROM early)) / count({c}), 6) AS unexpected_pct
+FROM late""" for c in ("o_custkey", "o_orderpriority")]))
+def check_categories(spark, folder):
+    """Customers and priorities of later orders must be known from earlier ones; the customers are many."""
+    orders = table(spark, folder, "orders")
+    early = F.year("o_orderdate") < 1996
+    learned = ck.learn_categories(orders.filter(early), ["o_custkey", "o_orderpriority", "absent"])
+    return single(orders.filter(~early), "orders", *learned)
+
+
+CURATED_ORDERS = Dataset(
+    name="orders",
+    raw=T.StructType([T.StructField(n, T.StringType()) for n in ("RecordId", "CustomerId", "Year", "DataValue", "LocationAbbr")]),
+    year="year",
+    rows_expected=(1, 10),
+    rows_by_rule=(1, 10),
+    rows_curated=(1_000, 200_000_000),
+    metric_max=None,
+    has_limits=False,
+    keys=("record_id",),
+    learned=("data_value",),
+    categories=("location_abbr",),
+    unique=("record_id",),
+)
+LATE = f"(SELECT * FROM {REPORTED} WHERE year >= 1996)"
+EARLY = f"(SELECT * FROM {REPORTED} WHERE year < 1996)"
+
+
+@query(union(
+    *[x for c in ("record_id", "customer_id", "year", "data_value", "location_abbr") for x in (
+        fixed_line("orders", "expect_column_to_exist", c, f"(SELECT count(*) FROM {LATE})", 1, "true"),
+        value_line("orders", "expect_column_values_to_not_be_null", c, LATE, f"{c} IS NULL"))],
+    rows_line("orders", LATE, 1_000, 200_000_000),
+    value_line("orders", "expect_column_values_to_be_between", "data_value", LATE,
+               f"data_value NOT BETWEEN (SELECT min(data_value) FROM {EARLY}) AND (SELECT max(data_value) FROM {EARLY})",
+               "count(data_value)"),
+    value_line("orders", "expect_column_values_to_be_in_set", "location_abbr", LATE,
+               f"location_abbr NOT IN (SELECT location_abbr FROM {EARLY} WHERE location_abbr IS NOT NULL)",
+               "count(location_abbr)"),
+    unique_line("orders", "record_id", LATE),
+    fixed_line("orders", "expect_table_column_count_to_equal", None, f"(SELECT count(*) FROM {LATE})", 5, "true"),
+))
+def config_suite(spark, folder):
+    """A suite from the configuration of a dataset, with ranges and categories of an earlier batch."""
+    orders = reported_orders(spark, folder)
+    late = orders.filter("year >= 1996")
+    return single(late, "orders", *CURATED_ORDERS.curated_checks(late, baseline=orders.filter("year < 1996")))
+
+
+RUN_FILES = union(*[f"""
+SELECT '{name}' AS dataset, TIMESTAMP '{run}' AS run_ts, CAST(3 AS BIGINT) AS total,
+  CAST(1 AS BIGINT) + CAST(count(*) >= {least} AS BIGINT) + CAST(min(o_totalprice) >= {low} AS BIGINT) AS successful,
+  CAST(3 AS BIGINT) - 1 - CAST(count(*) >= {least} AS BIGINT) - CAST(min(o_totalprice) >= {low} AS BIGINT) AS failed,
+  count(*) >= {least} AND min(o_totalprice) >= {low} AS success,
+  CASE WHEN NOT (count(*) >= {least} AND min(o_totalprice) >= {low}) THEN '{name}.csv' END AS failed_file
+FROM orders WHERE o_orderstatus = '{status}'"""
+    for run, least, low in (("2024-01-01 00:00:00", 1, 0), ("2024-01-02 12:30:00", 1_000_000_000, 1e9))
+    for name, status in (("finished", "F"), ("open", "O"))])
+
+
+@query(RUN_FILES)
+def run_summary(spark, folder):
+    """Two runs over the files of a folder: counts per batch and the file of a batch that failed."""
+    root = new_folder(spark, "batches")
+    orders = table(spark, folder, "orders")
+    for name, status in (("finished", "F"), ("open", "O")):
+        sinks.write_csv(orders.filter(F.col("o_orderstatus") == status), f"{root}/{name}.csv")
+    files = [f"{root}/{name}.csv" for name in ("finished", "open")]
+    reports = new_folder(spark, "reports")
+    for run, least, low in ((datetime(2024, 1, 1), 1, 0), (datetime(2024, 1, 2, 12, 30), 1_000_000_000, 1e9)):
+        suite = [ck.RowCountBetween(None, least, 10**12), ck.ValuesBetween("o_totalprice", low), ck.ColumnExists("o_orderkey")]
+        suites.validate_files(
+            spark, files, lambda spark, path: scan.read_csv(spark, path, orders.schema), lambda _: suite, reports, run
+        )
+    found = suites.run_summary(suites.read_reports(spark, reports))
+    return found.withColumn("failed_file", F.regexp_extract("failed_file", "[^/]*$", 0))
+
+
+@query("""
+WITH yearly AS (
+  SELECT year(o_orderdate) AS y, count(*) AS row_count, avg(CASE WHEN o_orderpriority = '5-LOW' THEN 1.0 ELSE 0.0 END) AS null_rate
+  FROM orders WHERE NOT (year(o_orderdate) = 1998 AND o_orderstatus = 'F') GROUP BY 1),
+runs AS (SELECT * FROM yearly WHERE y IN (1997, 1998))
+SELECT 'orders' AS dataset, b.row_count, a.row_count AS prev_row_count,
+  round((a.row_count - b.row_count) / CAST(a.row_count AS DOUBLE), 6) AS drop_ratio,
+  round(b.null_rate - a.null_rate, 6) AS null_rate_rise,
+  (a.row_count - b.row_count) / CAST(a.row_count AS DOUBLE) > 0.10 AS volume_alarm,
+  b.null_rate - a.null_rate > 0.05 AS null_rate_alarm
+FROM runs a JOIN runs b ON a.y = 1997 AND b.y = 1998
+""")
+def drift_from_reports(spark, folder):
+    """A run per year is validated and stored; the newest is compared with the one before from the stored reports."""
+    orders = reported_orders(spark, folder).filter("NOT (year = 1998 AND coalesce(location_abbr, '') = 'FF')")
+    reports = new_folder(spark, "reports")
+    for year in (1995, 1996, 1997, 1998):
+        batch = orders.filter(F.col("year") == year)
+        checks = [ck.RowCountBetween(None, 1, 10**12), ck.ValuesNotNull("data_value")]
+        suites.validate(spark, {"orders": (batch, checks)}, reports, datetime(year, 12, 31))
+    history = drift.run_history(suites.read_newest_reports(spark, reports))
+    compared = drift.compare_runs(history, newest_only=True)
+    rounded = {c: F.round(c, 6) for c in ("drop_ratio", "null_rate_rise")}
+    return compared.withColumns(rounded).drop("run_ts", "null_rate", "prev_null_rate")
+
+
+@query(f"""
+SELECT dataset, bool_and(success) AS success, count(*) AS results FROM ({SUITES}) GROUP BY dataset
+""")
+def report_documents(spark, folder):
+    """Results as one JSON document per dataset and run, read back."""
+    documents = suites.as_documents(suites.run_suites(all_suites(spark, folder)))
+    read = F.from_json("document", "success boolean, results array<struct<success: boolean>>")
+    return documents.select("dataset", read.alias("read")).select(
+        "dataset", "read.success", F.size("read.results").cast("bigint").alias("results")
+    )

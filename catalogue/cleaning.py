@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogue.registry import query, table
+from clearwell.functions import numbers
 from clearwell.plans.curate import curate
-from clearwell.plans.layers import Layers
+from clearwell.plans.layers import Layers, run_datasets
 from clearwell.plans.standardise import standardise
 from clearwell.session import new_folder
+from clearwell.sources import scan, sinks
 
 # One location code per nation; some are codes that curation drops.
 NATION_CODES = "AL AK US AZ AR PR CA CO CT VI DC DE FL GU GA HI ID AS IL IN MP IA KS KY LA"
@@ -89,9 +93,7 @@ def clean_curate(spark, folder):
 @query(CURATED)
 def medallion_gold(spark, folder):
     layers = Layers(spark, new_folder(spark, "layers"))
-    published = layers.run(
-        {"reports": raw_reports(spark, folder)}, lambda bronze: curate(bronze, ties=["record_id"])
-    )
+    published = layers.run({"reports": raw_reports(spark, folder)}, partial(curate, ties=["record_id"]), name="once")
     return published["reports"]
 
 
@@ -158,3 +160,60 @@ def clean_standardise(spark, folder):
     clean = standardise(raw_measurements(spark, folder))
     floats = ["data_value", "low_confidence_limit", "high_confidence_limit"]
     return clean.withColumns({c: F.round(F.col(c).cast("double"), 2) for c in floats})
+
+
+@query(f"""
+WITH curated AS ({CURATED})
+SELECT year_start, location_abbr, topic, data_value_type, data_value, record_id, NULL AS unreadable FROM curated
+WHERE data_value_type <> 'O' OR record_id % 7 <> 0
+UNION ALL
+SELECT year_start, location_abbr, topic, data_value_type, NULL, record_id, '<' || CAST(data_value AS VARCHAR) FROM curated
+WHERE data_value_type = 'O' AND record_id % 7 = 0
+""")
+def curate_text_metric(spark, folder):
+    """Metrics as text, some with a sign that no number has: those rows are set apart, none is lost."""
+    as_text = F.col("DataValue").cast("string")
+    unsure = (F.col("DataValueType") == "O") & (F.col("RecordID") % 7 == 0)
+    reports = raw_reports(spark, folder).withColumn("DataValue", F.when(unsure, F.concat(F.lit("<"), as_text)).otherwise(as_text))
+    apart = new_folder(spark, "quarantine")
+    curated = curate(reports, ties=["record_id"], quarantine=apart)
+    common = ["year_start", "location_abbr", "topic", "data_value_type", "record_id"]
+    read = curated.select(*common, "data_value", F.lit(None).cast("string").alias("unreadable"))
+    kept = spark.read.parquet(apart).select(*common, F.lit(None).cast("double").alias("data_value"), F.col("data_value").alias("unreadable"))
+    return read.unionByName(kept)
+
+
+@query("""
+SELECT 'orders' AS dataset, count(*) AS n_rows, count(*) FILTER (WHERE o_totalprice > 100000) AS n_large FROM orders
+UNION ALL SELECT 'customer', count(*), count(*) FILTER (WHERE c_acctbal > 100000) FROM customer
+""")
+def run_all_datasets(spark, folder):
+    """The runner over several sources, one of them optional and absent."""
+    out = new_folder(spark, "standardised")
+    sources = {
+        sinks.write_csv(table(spark, folder, name).withColumnRenamed(metric, "DataValue"), new_folder(spark, f"{name}-raw")): f"{out}/{name}"
+        for name, metric in (("orders", "o_totalprice"), ("customer", "c_acctbal"))
+    }
+    sources[f"{out}/absent-raw"] = f"{out}/absent"
+    written = run_datasets(spark, sources, lambda df: standardise(df), sinks.write_parquet, required=False)
+    counts = [
+        scan.read_parquet(spark, path).agg(
+            F.lit(path.rsplit("/", 1)[1]).alias("dataset"), F.count("*").alias("n_rows"),
+            F.count_if(F.col("data_value") > 100000).alias("n_large"),
+        )
+        for path in written
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@query("""
+SELECT c_custkey AS year_start, CAST(c_nationkey AS BIGINT) AS year_end, c_acctbal AS data_value FROM customer
+""")
+def strict_years(spark, folder):
+    """Years of the strict cleaner: missing ones become 0, and anything that is no whole number would raise."""
+    years = table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("year_start"),
+        F.nullif(F.col("c_nationkey").cast("string"), F.lit("0")).alias("year_end"),
+        F.col("c_acctbal").alias("data_value"),
+    )
+    return years.withColumns({c: numbers.whole_number_or_raise(F.col(c)) for c in ("year_start", "year_end")})

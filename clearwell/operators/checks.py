@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clearwell.functions.numbers import cast_or_null
 from clearwell.operators.columns import col, is_missing
+from clearwell.operators.rows import category_levels
 
 
 @dataclass(frozen=True)
@@ -119,6 +120,17 @@ class ValuesInSet(Check):
         return ~col(self.column).isin(*self.allowed)
 
 
+@dataclass(frozen=True, eq=False)
+class ValuesKnown(Check):
+    """Values must be among the ``level`` rows of a table, such as the categories of a baseline batch.
+
+    The runner looks them up in a join of their own, so the categories may be many and never come to the driver.
+    """
+
+    levels: DataFrame | None = None
+    kind = "expect_column_values_to_be_in_set"
+
+
 @dataclass(frozen=True)
 class ValuesMatch(Check):
     pattern: str = ""
@@ -203,6 +215,12 @@ class NoFailedRows(Check):
         return F.count(F.lit(1))
 
 
+def learn_categories(baseline: DataFrame, columns: Sequence[str]) -> list[Check]:
+    """Checks that a later batch holds no category that the baseline batch does not have."""
+    present = [c for c in columns if c in baseline.columns]
+    return [ValuesKnown(c, category_levels(baseline, c)) for c in present]
+
+
 def failed_rows(df: DataFrame, condition: str) -> DataFrame:
     """The rows that satisfy a fail condition."""
     return df.filter(F.expr(condition))

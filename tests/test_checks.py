@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clearwell.operators import checks as ck, suites, yaml_checks
+from clearwell.sources import scan
 
 DATA = [
     ("AL", 2011, 10.0, 9.0, 11.0, "k1"),
@@ -237,3 +238,46 @@ def test_runs_of_a_dataset_have_verdicts_of_their_own(spark):
     assert sorted((r.run_ts.day, r.overall_pass) for r in suites.with_overall_pass(results).collect()) == [
         (1, True), (2, False),
     ]
+
+
+def test_reports_are_kept_by_run_and_only_the_newest_are_opened(spark, tmp_path):
+    folder = str(tmp_path / "reports")
+    for dataset in ("a", "b:c d"):
+        for day in (1, 2, 3):
+            checks = [ck.RowCountBetween(None, 0, 10), ck.ValuesNotNull("id")]
+            suites.validate(spark, {dataset: (spark.range(day), checks)}, folder, datetime(2024, 1, day, 1, 2, 3, day))
+    assert suites.read_reports(spark, folder).count() == 12
+    newest = suites.read_newest_reports(spark, folder)
+    assert sorted({(r.dataset, r.run_ts.day) for r in newest.collect()}) == [("a", 2), ("a", 3), ("b:c d", 2), ("b:c d", 3)]
+    assert len(newest.inputFiles()) == 4 * len(suites.read_newest_reports(spark, folder, 1).inputFiles()) // 2
+    assert all("/run=20240101" not in f for f in newest.inputFiles())
+    # A run reads back its own reports, not the history.
+    again = suites.validate(spark, {"a": (spark.range(5), [ck.RowCountBetween(None, 0, 10)])}, folder, datetime(2024, 2, 1))
+    assert [r.observed for r in again.collect()] == [5.0] and all("run=20240201" in f for f in again.inputFiles())
+    (tmp_path / "empty").mkdir()
+    assert suites.read_newest_reports(spark, str(tmp_path / "empty")).collect() == []
+
+
+def test_files_are_batches_and_a_failed_one_is_named(spark, tmp_path):
+    for name, rows in (("good", "a\n1\n2\n"), ("bad", "a\n1\n\n")):
+        (tmp_path / f"{name}.v1.csv").write_text(rows)
+    files = sorted(str(p) for p in tmp_path.glob("*.csv"))
+    results = suites.validate_files(
+        spark, files, scan.read_csv, lambda _: [ck.RowCountBetween(None, 2, 2)], str(tmp_path / "reports")
+    )
+    summary = {r.dataset: (r.success, r.total, r.failed, r.failed_file) for r in suites.run_summary(results).collect()}
+    assert summary == {"good": (True, 1, 0, None), "bad": (False, 1, 1, files[0])}
+    with pytest.raises(FileNotFoundError):
+        suites.validate_files(spark, [], scan.read_csv, lambda _: [], str(tmp_path / "reports"))
+
+
+def test_known_values_are_counted_per_check(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (None, None)], "n int, t string")
+    some, none = spark.createDataFrame([("a",)], "level string"), spark.createDataFrame([], "level string")
+    checks = [
+        ck.ValuesKnown("t", some), ck.ValuesUnique("n"), ck.ValuesKnown("t", none), ck.ValuesKnown("gone", some),
+        ck.ValuesKnown("n", spark.range(1, 3).withColumnRenamed("id", "level")), ck.ValuesUnique("n"),
+    ]
+    got = [(r.column, r.success, r.unexpected_count) for r in suites.run_suite(df, checks, "d").collect()]
+    assert sorted(got, key=repr) == sorted(
+        [("t", False, 1), ("n", False, 2), ("t", False, 3), ("gone", False, None), ("n", True, 0), ("n", False, 2)], key=repr)

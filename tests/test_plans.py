@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clearwell.operators import columns as cols, suites
 from clearwell.plans import datasets as ds
-from clearwell.plans.curate import EXCLUDED_LOCATIONS, curate
+from clearwell.plans.curate import EXCLUDED_LOCATIONS, UnreadableMetrics, curate
 from clearwell.plans.layers import Layers, run_datasets
 from clearwell.plans.standardise import standardise
 from clearwell.sources import scan, sinks, tables
@@ -110,9 +110,16 @@ def test_curate_drops_filters_merges_and_ranks(spark):
     ]
 
 
-def test_curate_ranks_text_metrics_as_numbers(spark):
-    raw = spark.createDataFrame([("AL", "9"), ("AL", "10"), ("AL", "x")], "LocationAbbr string, DataValue string")
-    assert sorted((r.data_value, r.row_num) for r in curate(raw).collect()) == [(9.0, 2), (10.0, 1)]
+def test_curate_ranks_text_metrics_as_numbers_and_loses_none(spark, tmp_path):
+    texts = ["9", "10", "<5", "1,250", "NA", "", None, " 10 "]
+    raw = spark.createDataFrame([("AL", t) for t in texts], "LocationAbbr string, DataValue string")
+    apart = str(tmp_path / "apart")
+    assert sorted((r.data_value, r.row_num) for r in curate(raw, quarantine=apart).collect()) == [(9.0, 2), (10.0, 1)]
+    assert sorted(r.data_value for r in spark.read.parquet(apart).collect()) == ["1,250", "<5"]
+    with pytest.raises(UnreadableMetrics, match="2 rows"):
+        curate(raw)
+    readable = raw.filter("DataValue NOT IN ('<5', '1,250')")
+    assert curate(readable).count() == 2
 
 
 def test_curate_without_a_metric_does_not_rank(spark):
@@ -226,3 +233,69 @@ def test_public_samples(spark, name, rows, columns, units, largest):
     per_location = curated.groupBy("location_abbr").agg(F.count("*").alias("n"), F.max("data_value").alias("top"))
     assert tuple(per_location.orderBy(F.desc("n"), F.desc("top")).first()) == largest
     assert standardise(raw).count() == 100
+
+
+def test_bronze_counts_values_while_it_writes(spark, tmp_path, monkeypatch):
+    layers = Layers(spark, str(tmp_path))
+    raw = chronic(spark, {}, {"DataValue": 5.0})
+    layers.bronze("chronic", raw)
+    assert set(layers.empty_columns("chronic")) == set(cols.find_null_columns(layers.read("bronze", "chronic")))
+    # With these counts the silver layer never asks the table for its empty columns.
+    monkeypatch.setattr(cols, "find_null_columns", lambda df: pytest.fail("the table was scanned for empty columns"))
+    told = layers.silver("chronic")
+    assert "response" not in told.columns and "data_value" in told.columns
+    assert Layers(spark, str(tmp_path)).empty_columns("chronic") is None
+
+
+def test_a_named_run_goes_on_where_it_stopped(spark, tmp_path):
+    raw = chronic(spark, {}, {"DataValue": 5.0})
+    files = lambda layer: sorted(p.name for p in (tmp_path / layer / "chronic").glob("*.parquet"))
+
+    def broken(bronze, empty=None):
+        raise RuntimeError("lost on the way")
+
+    with pytest.raises(RuntimeError):
+        Layers(spark, str(tmp_path)).run({"chronic": raw}, broken, name="monday")
+    first = files("bronze")
+    again = Layers(spark, str(tmp_path))
+    published = again.run({"chronic": raw}, curate, name="monday")
+    assert files("bronze") == first and published["chronic"].count() == 2
+    # What the first run counted is known to the second one.
+    assert "Response" in again.empty_columns("chronic")
+    done = files("silver"), files("gold")
+    assert Layers(spark, str(tmp_path)).run({"chronic": raw}, broken, name="monday")["chronic"].count() == 2
+    assert (files("silver"), files("gold")) == done and spark.table("silver_chronic").count() == 2
+    Layers(spark, str(tmp_path)).run({"chronic": raw}, curate, name="tuesday")
+    assert files("bronze") != first
+
+
+def test_categories_are_learned_from_a_baseline(spark):
+    baseline = curate(chronic(spark, {}, {"Topic": "Diet", "DataValue": 2.0}))
+    batch = curate(chronic(spark, {}, {"Topic": "News", "DataValue": 3.0}, {"Topic": None, "DataValue": 4.0}))
+    results = suites.run_suite(batch, ds.CHRONIC.curated_checks(batch, baseline), "c")
+    row = results.filter("expectation = 'expect_column_values_to_be_in_set' AND column = 'topic'").first()
+    assert (row.success, row.unexpected_count, row.unexpected_pct) == (False, 1, 50.0)
+    known = suites.run_suite(baseline, ds.CHRONIC.curated_checks(baseline, baseline), "c")
+    assert known.filter("column = 'topic' AND expectation LIKE '%in_set'").first().success
+
+
+#: Rows of the shape of the public files, so that their arithmetic is checked in every run.
+SHAPED = [
+    {"LocationAbbr": "CT", "DataValue": v, "DataValueUnit": u, "QuestionID": f"Q{i}"}
+    for i, (v, u) in enumerate([(1252.0, "Number"), (38.1, "%"), (8.4, "cases per 100,000"), (8.2, "per 100,000")])
+] + [
+    {"LocationAbbr": "US", "DataValue": 1.0}, {"LocationAbbr": "GU", "DataValue": 2.0},
+    {"LocationAbbr": "FL", "DataValue": None}, {"LocationAbbr": "FL", "DataValue": 354.2, "DataValueUnit": "Number"},
+]
+
+
+def test_rows_of_the_shape_of_the_public_files(spark):
+    raw = chronic(spark, *SHAPED)
+    curated = curate(raw)
+    assert curated.count() == 5 and "response" not in curated.columns
+    units = {r.data_value_unit: r["count"] for r in curated.groupBy("data_value_unit").count().collect()}
+    assert units == {"Number": 2, "%": 1, "cases per 100,000": 2}
+    top = curated.filter("row_num = 1").select("location_abbr", "data_value")
+    assert sorted(map(tuple, top.collect())) == [("CT", 1252.0), ("FL", 354.2)]
+    clean = standardise(raw)
+    assert clean.count() == 8 and clean.filter("data_value = 0").count() == 1
