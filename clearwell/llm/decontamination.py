@@ -1,14 +1,17 @@
 """Benchmark passages in documents, up to a share of edited words.
 
-Words are compared. A random walk over a sequence of words writes out the word it stands on and goes
-on to the next one or stays, as a random bit of word and step says; two sequences at a
-small edit distance so become two outputs at a small Hamming distance. Outputs are sampled at a few
-steps, again and again with new bits. Every word of a document starts a window; where a window's samples equal those of an
-item, the pair is a candidate, whose edit distance is then computed exactly. The number of repetitions is
-set by trials on edited items, so that the target recall is reached.
-
-The walks of all windows advance together, and a window is left out as soon as one of its samples
-occurs in no item, which changes no result.
+Words are compared. A random walk over a sequence of words writes out the word it stands on and then goes
+on to the next one or stays, as a random bit of word and step says (CGK embedding); two sequences at a
+small edit distance so become two outputs at a small Hamming distance. Every word of a document starts a window. Outputs are sampled at
+a few steps, again and again with new bits; where a window's samples equal those of an item, the
+pair is a candidate. With as many edits as are allowed here, two walks from the first word lose each other long before
+the end, so every repetition sets off from another place of item and window, drawn from the whole length, and samples a
+stretch from there: edits anywhere leave other places. Items are handled in classes of about equal length. The number of
+repetitions is set by trials on items with as many edits as are allowed, spread or all in one place, so that the
+target recall is reached.
+
+Two tests around that change no result. Before it, windows are left out that have too few rare words of the items: a passage
+has lost no more words than there are edits. Behind it, the exact edit distance decides.
 """
 
 from __future__ import annotations
@@ -17,24 +20,26 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearwell.llm.common import has
-from clearwell.llm.membership import without
-from clearwell.session import stage
 
 SAMPLES = 3
-MOST_REPETITIONS = 32
-TRIALS = 400
+#: Repetitions beyond which building the index fails instead of missing its recall.
+MOST_REPETITIONS = 200
+#: Trials for each place of the edits.
+TRIALS = 300
+#: By how much the trials must exceed the recall asked for, as they are a sample.
+MARGIN = 0.03
 #: Words handled at once; longer documents are handled in overlapping pieces.
 PIECE = 1 << 18
-#: A walk uses one bit of a 64-bit hash per step.
-LONGEST_WALK = 62
+#: Steps of a walk, about two a word, that samples are drawn from; fewer than the bits of a hash.
+STRETCH = 10
 #: Items that one pass over the documents looks for.
 ITEMS_PER_PASS = 20_000
 
@@ -46,7 +51,7 @@ _SCRIPTS = (
 )
 _UNSPACED = re.compile(f"[{_SCRIPTS}]")
 _WORD_OR_SIGN = re.compile(rf"[^\W_{_SCRIPTS}]+|(?=[^\W_])[{_SCRIPTS}]")
-_STOP = 0
+_STOP = 1
 
 
 def normalised_words(text: str | None) -> list[str]:
@@ -56,243 +61,318 @@ def normalised_words(text: str | None) -> list[str]:
     return (_WORD if spaced else _WORD_OR_SIGN).findall(lowered)
 
 
-class _Ids(dict):
-    """Word to its 63-bit hash; never 0, which ends a document."""
+_ASCII = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256)).lower()
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        value = self[word] = (xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) >> 1) | 1
-        return value
 
+def _split(text: str | None) -> list:
+    """:func:`normalised_words`, as bytes where a text is ASCII, for which that is much faster."""
+    if text and text.isascii():
+        return text.encode().translate(_ASCII).split()
+    return normalised_words(text)
 
-_ids = _Ids()
 
-
-def _hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter((_ids[w] for w in words), dtype=np.int64, count=len(words))
-
-
-def _bits(hashes: np.ndarray, repetition: int) -> np.ndarray:
-    """64 random bits per word; none for the end, where a walk stays for good."""
-    x = hashes.astype(np.uint64) + np.uint64(((repetition + 1) * 0x9E3779B97F4A7C15) % (1 << 64))
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+def _bits(n: int, repetition: int) -> np.ndarray:
+    """64 random bits for each of the numbers below ``n``; none for the end (1), where a walk stays for good."""
+    x = np.arange(n, dtype=np.uint64) + np.uint64(((repetition + 1) * 0x9E3779B97F4A7C15) % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     x ^= x >> np.uint64(31)
-    return np.where(hashes == _STOP, np.uint64(0), x).view(np.int64)
+    x[_STOP] = 0
+    return x.view(np.int64)
 
 
-def edit_distance(item: np.ndarray, window: np.ndarray, most: int) -> tuple[int, int]:
-    """Smallest distance of the item from a start of the window, and that start's length.
+def _distances(item: list[int], window: list[int], free_start: bool) -> list[int]:
+    """Edit distance of the item from the window's part that ends behind each of its words (and before the first).
 
-    Only cells within ``most`` of the diagonal are filled; a distance above ``most`` is given as ``most + 1``.
+    The part begins where the window does, or anywhere with ``free_start``. Bit-parallel: a Python integer holds
+    a whole column of the table, as differences between neighbouring cells.
+    """
+    m = len(item)
+    last, full = 1 << (m - 1), (1 << m) - 1
+    places: dict[int, int] = {}
+    for i, word in enumerate(item):
+        places[word] = places.get(word, 0) | 1 << i
+    up, down, distance = full, 0, m
+    out = [m]
+    for word in window:
+        match = places.get(word, 0)
+        across = match | down
+        zero = (((match & up) + up) ^ up) | match
+        right, left = down | ~(zero | up) & full, up & zero
+        if right & last:
+            distance += 1
+        elif left & last:
+            distance -= 1
+        right = (right << 1 | (not free_start)) & full
+        left = left << 1 & full
+        up, down = left | ~(across | right) & full, right & across
+        out.append(distance)
+    return out
+
+
+def best_passage(item: list[int], window: list[int], most: int) -> tuple[int, int, int] | None:
+    """``(distance, start, words)`` of the part of the window that is nearest to the item; None beyond ``most``.
+
+    Of parts at the same distance the one whose end is first, then the one whose length is nearest to the item's.
     """
-    beyond = most + 1
-    previous = {j: j for j in range(min(most, len(window)) + 1)}
-    for i, word in enumerate(item.tolist(), 1):
-        current = {}
-        for j in range(max(0, i - most), min(len(window), i + most) + 1):
-            best = min(previous.get(j, beyond), current.get(j - 1, beyond)) + 1
-            if j:
-                best = min(best, previous.get(j - 1, beyond) + (word != window[j - 1]))
-            current[j] = min(best, beyond)
-        if not current or min(current.values()) > most:
-            return beyond, 0
-        previous = current
-    distance, end = min((d, abs(j - len(item)), j) for j, d in previous.items())[::2]
-    return distance, end
+    distances = _distances(item, window, free_start=True)
+    distance = min(distances)
+    if distance > most:
+        return None
+    end = distances.index(distance)
+    back = _distances(item[::-1], window[:end][::-1], free_start=False)
+    length = min((abs(n - len(item)), n) for n, d in enumerate(back) if d == distance)[1]
+    return distance, end - length, length
+
+
+def _edited(item: list[int], edits: int, place: str, r: random.Random) -> list[int]:
+    """The item with so many words replaced, inserted or deleted, all over it or in one stretch. 0 is any other word."""
+    out, n = list(item), len(item)
+    first = {"spread": 0, "front": 0, "middle": (n - edits) // 2, "back": n - edits}[place]
+    among = range(n) if place == "spread" else range(first, first + edits)
+    kind = None if place == "spread" else r.randrange(4)
+    for at in sorted(r.sample(among, edits), reverse=True):
+        what = r.randrange(3) if kind in (None, 3) else kind
+        if what == 0:
+            out[at] = 0
+        elif what == 1:
+            out.insert(at, 0)
+        else:
+            del out[at]
+    return out
+
+
+PLACES = ("spread", "front", "middle", "back")
 
 
 @dataclass
-class _SizeClass:
-    """Items of at least ``walk`` words and at most twice as many."""
+class _Class:
+    """Items of at least ``words`` words and about a quarter more at most."""
 
-    walk: int
+    words: int
     items: list[int]
-    repetitions: int
+    anchors: list[int] = field(default_factory=list)
     steps: list[list[int]] = field(default_factory=list)
-    allowed: list[list[np.ndarray]] = field(default_factory=list)
     keys: list[np.ndarray] = field(default_factory=list)
     owners: list[np.ndarray] = field(default_factory=list)
 
 
 @dataclass
 class Finder:
-    """Items with what is needed to find them; built on the driver, used in tasks."""
+    """Items with what is needed to find them; its size grows with the words of the items. Built on the driver, used in
+    tasks. Words of items are numbered from 2 on; 0 is any other word, 1 the end of a document."""
 
-    item_ids: list[int]
+    item_ids: list
     words: list[list[str]]
     similarity: float
     recall: float
     least_words: int
 
     def __post_init__(self):
-        self.hashes = [_hashes(w) for w in self.words]
+        vocabulary = sorted({w for item in self.words for w in item})
+        self.number = {w: i + 2 for i, w in enumerate(vocabulary)}
+        self.number |= {w.encode(): i for w, i in self.number.items() if w.isascii()}
+        self.size = len(vocabulary) + 2
+        self.items = [[self.number[w] for w in item] for item in self.words]
         self.most = [int(len(w) * (1 - self.similarity) + 1e-9) for w in self.words]
-        self.vocabulary = np.unique(np.concatenate([*self.hashes, np.zeros(0, np.int64)]))
-        size = len(self.vocabulary) + 1
-        self.members = np.zeros((len(self.words), size), dtype=bool)
-        for i, h in enumerate(self.hashes):
-            self.members[i, np.searchsorted(self.vocabulary, h) + 1] = True
-        self.members[:, 0] = False
-        by_walk: dict[int, list[int]] = {}
-        for i, w in enumerate(self.words):
-            if len(w) >= self.least_words:
-                walk = min(LONGEST_WALK, max(self.least_words, 1 << (len(w).bit_length() - 1)))
-                by_walk.setdefault(walk, []).append(i)
-        self.classes = [self._class(walk, items) for walk, items in sorted(by_walk.items())]
+        self._tables: dict[int, np.ndarray] = {}
+        self._thresholds: list | None = None
+        self.classes, words = [], self.least_words
+        longest = max(map(len, self.items), default=0)
+        while words <= longest:
+            upto = max(words + 1, words * 5 // 4)
+            if items := [i for i, w in enumerate(self.items) if words <= len(w) < upto]:
+                self.classes.append(self._class(words, items))
+            words = upto
         # Shorter items only count where they are the whole document.
-        self.whole = {}
-        for i, h in enumerate(self.hashes):
+        self.whole: dict[tuple[int, ...], list[int]] = {}
+        for i, h in enumerate(self.items):
             if 0 < len(h) < self.least_words:
-                self.whole.setdefault(h.tobytes(), []).append(i)
-
-    def _class(self, walk: int, items: list[int]) -> _SizeClass:
-        found = _SizeClass(walk, items, MOST_REPETITIONS)
-        r = random.Random(walk)
-        for repetition in range(MOST_REPETITIONS):
-            steps = sorted(r.sample(range(walk), min(SAMPLES, walk)))
-            samples = np.stack([self._samples(self.hashes[i], repetition, steps) for i in items])
-            allowed = []
-            for column in samples.T:
-                one = np.zeros(len(self.vocabulary) + 1, dtype=bool)
-                one[column] = True
-                allowed.append(one)
-            keys = self._key(list(samples.T))
+                self.whole.setdefault(tuple(h), []).append(i)
+
+    def __getstate__(self):
+        return self.__dict__ | {"_tables": {}, "_thresholds": None}
+
+    @cached_property
+    def overlap(self) -> int:
+        """Words that neighbouring pieces of a document share, so that a passage is whole in one of them."""
+        return max([len(h) + 3 * m for h, m in zip(self.items, self.most, strict=True)], default=0)
+
+    @cached_property
+    def lead(self) -> int:
+        """Other words put before a document: an item that has lost its first words begins before the passage does."""
+        return max(self.most, default=0)
+
+    def numbers(self, text: str | None) -> list[int]:
+        get = self.number.get
+        return [get(w, 0) for w in _split(text)]
+
+    def _class(self, words: int, items: list[int]) -> _Class:
+        found, r = _Class(words, items), random.Random(words)
+        ends = np.cumsum([len(self.items[i]) + 1 for i in items])
+        joined = np.array([w for i in items for w in [*self.items[i], _STOP]])
+        first = ends - [len(self.items[i]) + 1 for i in items]
+        trials = self._trials(found)
+        met = {place: np.zeros(TRIALS, dtype=bool) for place in PLACES}
+        while len(found.steps) < MOST_REPETITIONS:
+            repetition = len(found.steps)
+            anchor = r.randrange(max(1, words - 2))
+            steps = sorted(r.sample(range(min(STRETCH, 2 * (words - anchor) - 1)), SAMPLES))
+            keys = self._keys(joined, first + anchor, repetition, steps)
             order = np.argsort(keys, kind="stable")
+            found.anchors.append(anchor)
             found.steps.append(steps)
-            found.allowed.append(allowed)
             found.keys.append(keys[order])
             found.owners.append(np.array(items)[order])
-        found.repetitions = self._needed(found)
-        return found
-
-    def _key(self, samples: list[np.ndarray]) -> np.ndarray:
-        key = np.zeros(len(samples[0]), dtype=np.uint64)
-        for s in samples:
-            key = (key ^ s.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
-        return key
-
-    def _numbers(self, hashes: np.ndarray) -> np.ndarray:
-        """Places in the vocabulary from 1 on, 0 for other words."""
-        if not len(self.vocabulary):
-            return np.zeros(len(hashes), dtype=np.int64)
-        place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[place] == hashes, place + 1, 0)
-
-    def _samples(self, hashes: np.ndarray, repetition: int, steps: list[int]) -> np.ndarray:
-        bits = _bits(np.append(hashes, _STOP), repetition)
-        at, out = 0, []
+            for place, (numbers, windows, trial, wanted) in trials.items():
+                rows, owners = self._collisions(found, repetition, numbers, windows)
+                hit = owners == wanted[trial[rows]]
+                met[place][trial[rows[hit]]] = True
+            if all(m.mean() >= min(1.0, self.recall + MARGIN) for m in met.values()):
+                return found
+        reached = {place: round(float(m.mean()), 3) for place, m in met.items()}
+        raise ValueError(f"{MOST_REPETITIONS} repetitions do not reach the recall of {self.recall}: {reached}")
+
+    def _trials(self, of: _Class) -> dict:
+        """Edited items by place: their words, windows to look at, the trial of each window, the items sought."""
+        r, out = random.Random(1), {}
+        for place in PLACES:
+            joined, windows, trial, wanted = [], [], [], []
+            for n in range(TRIALS):
+                i = r.choice(of.items)
+                item, most = self.items[i], self.most[i]
+                passage = [0] * most + _edited(item, most, place, r) + [0] * (len(item) + most)
+                known = set(item)
+                for start in range(2 * most + 1):
+                    # Only windows that the test of rare words is sure to leave.
+                    if sum(w in known for w in passage[start : start + len(item) + most]) >= len(item) - most:
+                        windows.append(len(joined) + start)
+                        trial.append(n)
+                wanted.append(i)
+                joined += passage
+            out[place] = np.array([*joined, _STOP]), np.array(windows, dtype=int), np.array(trial, dtype=int), np.array(wanted)
+        return out
+
+    def _table(self, repetition: int) -> np.ndarray:
+        if repetition not in self._tables:
+            self._tables[repetition] = _bits(self.size, repetition)
+        return self._tables[repetition]
+
+    def _keys(self, numbers: np.ndarray, starts: np.ndarray, repetition: int, steps: list[int]) -> np.ndarray:
+        """Samples of the walks from ``starts``, mixed into one number each."""
+        at, key, bits = starts, np.zeros(len(starts), dtype=np.uint64), self._table(repetition)
         for step in range(steps[-1] + 1):
+            word = numbers[at]
             if step in steps:
-                out.append(at)
-            at += int((bits[at] >> step) & 1)
-        return self._numbers(np.append(hashes, _STOP)[out])
-
-    def _needed(self, of: _SizeClass) -> int:
-        """Repetitions after which the share ``recall`` of items with as many edits as allowed were met."""
-        r = random.Random(1)
-        met = np.zeros((TRIALS, of.repetitions), dtype=bool)
-        for trial in range(TRIALS):
-            item = r.choice(of.items)
-            edited = self.hashes[item].tolist()
-            for _ in range(self.most[item]):
-                kind, at = r.randrange(3), r.randrange(len(edited))
-                if kind == 0:
-                    edited[at] = r.getrandbits(62) | 1
-                elif kind == 1:
-                    edited.insert(at, r.getrandbits(62) | 1)
-                elif len(edited) > 1:
-                    del edited[at]
-            edited = np.array(edited + [_STOP], dtype=np.int64)
-            numbers = self._numbers(edited)
-            for repetition in range(of.repetitions):
-                _, owners = self._collisions(of, repetition, numbers, _bits(edited, repetition))
-                met[trial, repetition] = item in owners
-        reached = np.logical_or.accumulate(met, axis=1).mean(axis=0) >= self.recall
-        return int(np.argmax(reached)) + 1 if reached.any() else of.repetitions
+                key = (key ^ word.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                key ^= key >> np.uint64(29)
+            at = at + ((bits[word] >> step) & 1)
+        return key
 
-    @staticmethod
-    def _expand(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        length = last - first
-        rows = np.repeat(np.arange(len(first)), length)
-        return rows, np.arange(len(rows)) - np.repeat(np.cumsum(length) - length, length) + first[rows]
-
-    def _collisions(self, of: _SizeClass, repetition: int, numbers: np.ndarray, bits: np.ndarray):
-        """Starts of windows and the items whose samples they share."""
-        starts = at = np.arange(len(numbers))
-        samples: list[np.ndarray] = []
-        steps = of.steps[repetition]
-        for step in range(steps[-1] + 1):
-            if step in steps:
-                word = numbers[at]
-                keep = np.flatnonzero(of.allowed[repetition][len(samples)][word])
-                starts, at, samples = starts[keep], at[keep], [s[keep] for s in samples] + [word[keep]]
-                if not len(starts):
-                    return starts, starts
-            at = at + ((bits[at] >> step) & 1)
-        keys = self._key(samples)
-        known = of.keys[repetition]
-        rows, places = self._expand(np.searchsorted(known, keys, "left"), np.searchsorted(known, keys, "right"))
-        return starts[rows], of.owners[repetition][places]
-
-    def search(self, hashes: np.ndarray, document: np.ndarray, first: np.ndarray) -> dict:
-        """Best ``(distance, start, words)`` by ``(document, item)`` in concatenated documents.
+    def _collisions(self, of: _Class, repetition: int, numbers: np.ndarray, starts: np.ndarray):
+        """Rows of ``starts`` and the items whose samples they share."""
+        if not len(starts):
+            return starts, starts
+        # Behind the last word a walk stands on the last end.
+        begin = np.minimum(starts + of.anchors[repetition], len(numbers) - 1)
+        keys, known = self._keys(numbers, begin, repetition, of.steps[repetition]), of.keys[repetition]
+        first, last = np.searchsorted(known, keys, "left"), np.searchsorted(known, keys, "right")
+        hit = np.flatnonzero(last > first)
+        length = (last - first)[hit]
+        rows = np.repeat(hit, length)
+        places = np.arange(len(rows)) - np.repeat(np.cumsum(length) - length, length) + first[rows]
+        return rows, of.owners[repetition][places]
+
+    def _rare(self, of: _Class, frequency: np.ndarray, extra: float) -> tuple[np.ndarray, int, int]:
+        """Which words are among the rarest of an item, how many of them a window has at least, and its length.
+
+        Of the rarest ``most + extra`` words of an item at most ``most`` are lost. Any choice of words is right; rare
+        ones leave fewer windows.
+        """
+        flags, needed, span = np.zeros(self.size, dtype=bool), None, 0
+        for i in of.items:
+            item, most = self.items[i], self.most[i]
+            n = min(len(item), most + max(1, int(extra * len(item))))
+            flags[sorted(item, key=lambda w: (frequency[w], w))[:n]] = True
+            needed = n - most if needed is None else min(needed, n - most)
+            span = max(span, len(item) + most)
+        return flags, needed, span
+
+    def _windows(self, of: _Class, rare: tuple[np.ndarray, int, int], numbers: np.ndarray) -> np.ndarray:
+        flags, needed, span = rare
+        before = np.concatenate([[0], np.cumsum(flags[numbers], dtype=np.int32)])
+        ends = np.minimum(np.arange(span, len(numbers) + span), len(numbers))
+        return np.flatnonzero(before[ends] - before[:-1] >= needed)
+
+    def search(self, numbers: np.ndarray, document: np.ndarray, first: np.ndarray) -> dict:
+        """Best ``(distance, start, words)`` by ``(document, item)`` in joined documents.
 
         Every document ends with the stop; ``document`` tells whose word each is, ``first`` its place there.
         """
-        numbers = self._numbers(hashes)
-        pairs = []
-        for of in self.classes:
-            for repetition in range(of.repetitions):
-                starts, items = self._collisions(of, repetition, numbers, _bits(hashes, repetition))
-                pairs.append(np.stack([items, starts]))
-        pairs = np.unique(np.concatenate([*pairs, np.zeros((2, 0), np.int64)], axis=1), axis=1).astype(np.int64)
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for item in np.unique(pairs[0]):
-            starts = pairs[1, pairs[0] == item]
-            m, most = len(self.hashes[item]), self.most[item]
-            # Within ``most`` edits all but ``most`` of the item's words are in the window.
-            inside = np.concatenate([[0], np.cumsum(self.members[item][numbers])])
-            ends = np.minimum(starts + m + most, len(numbers))
-            starts = starts[inside[ends] - inside[starts] >= m - most]
-            # The start of an unedited passage has most of the item's words in a window of its size.
-            alike = inside[np.minimum(starts + m, len(numbers))] - inside[starts]
-            for start in starts[np.argsort(-alike, kind="stable")].tolist():
-                owner = int(document[start])
-                known = best.get((owner, int(item)), (most + 1, 0, 0))
-                if not known[0]:
-                    continue
-                window = hashes[start : start + m + most]
-                stop = np.flatnonzero(window == _STOP)
-                window = window[: stop[0]] if len(stop) else window
-                distance, length = edit_distance(self.hashes[item], window.tolist(), most)
-                if distance < known[0]:
-                    best[(owner, int(item))] = (distance, int(first[start]), length)
+        if self._thresholds is None:
+            # How rare words are is taken from the first documents that a task sees; the results do not depend on it.
+            frequency = np.bincount(numbers, minlength=self.size)
+            options = ([self._rare(of, frequency, e) for e in (0.05, 0.15, 0.3, 0.5, 0.8)] for of in self.classes)
+            self._thresholds = [
+                min(rare, key=lambda x: len(self._windows(of, x, numbers)))
+                for of, rare in zip(self.classes, options, strict=True)
+            ]
+        near: dict[tuple[int, int], set[int]] = {}
+        for of, rare in zip(self.classes, self._thresholds, strict=True):
+            starts = self._windows(of, rare, numbers)
+            for repetition in range(len(of.steps)):
+                rows, items = self._collisions(of, repetition, numbers, starts)
+                for start, item in zip(starts[rows].tolist(), items.tolist(), strict=True):
+                    near.setdefault((int(document[start]), item), set()).add(start)
+        return {pair: found for pair, starts in near.items() if (found := self._nearest(pair, starts, numbers, document, first))}
+
+    def _nearest(self, pair, starts: set[int], numbers, document, first) -> tuple[int, int, int] | None:
+        """The best passage around some starts of windows; places that one window covers are looked at once."""
+        owner, i = pair
+        item, most, best, done = self.items[i], self.most[i], None, -1
+        known, begin = set(item), int(np.searchsorted(document, owner, "left")) + self.lead
+        stop = int(np.searchsorted(document, owner, "right")) - 1
+        for start in sorted(starts):
+            if start < done:
+                continue
+            low, done = max(begin, start - most), min(stop, max(begin, start) + len(item) + 2 * most)
+            window = numbers[low:done].tolist()
+            if sum(w in known for w in window) < len(item) - most:
+                done = start + 1
+                continue
+            found = best_passage(item, window, most)
+            # The next window may reach beyond this one.
+            done = start + most + 1
+            if found and (best is None or found[0] < best[0]):
+                best = found[0], int(first[low + found[1]]) if found[2] else int(first[low]), found[2]
         return best
 
     def find(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
         """``(text, item, distance, start, words)`` of the best passage of every item in every text."""
-        overlap = max([len(h) + m for h, m in zip(self.hashes, self.most, strict=True)], default=0)
-        waiting: list[tuple[int, int, np.ndarray]] = []
+        waiting: list[tuple[int, int, list[int]]] = []
 
         def search() -> dict:
-            hashes = np.concatenate([np.append(h, _STOP) for _, _, h in waiting])
-            lengths = [len(h) + 1 for _, _, h in waiting]
-            document = np.repeat([i for i, _, _ in waiting], lengths)
-            first = np.concatenate([offset + np.arange(n) for (_, offset, _), n in zip(waiting, lengths, strict=True)])
+            before = [0] * self.lead
+            numbers = np.array([w for _, _, part in waiting for w in [*before, *part, _STOP]], dtype=np.int64)
+            lengths = [self.lead + len(part) + 1 for _, _, part in waiting]
+            document = np.repeat(np.arange(len(waiting)), lengths)
+            first = np.concatenate([
+                np.arange(offset - self.lead, offset - self.lead + n) for (_, offset, _), n in zip(waiting, lengths, strict=True)
+            ])
+            found: dict = {}
+            for (place, item), value in self.search(numbers, document, first).items():
+                self._merge(found, {(waiting[place][0], item): value})
             waiting.clear()
-            return self.search(hashes, document, first)
+            return found
 
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         words = 0
         for i, text in enumerate(texts):
-            hashes = _hashes(normalised_words(text))
-            for item in self.whole.get(hashes.tobytes(), ()) if len(hashes) < self.least_words else ():
-                best[(i, item)] = (0, 0, len(hashes))
-            for offset in range(0, len(hashes), PIECE):
-                part = hashes[offset : offset + PIECE + overlap]
+            numbers = self.numbers(text)
+            for item in self.whole.get(tuple(numbers), ()) if 0 < len(numbers) < self.least_words else ():
+                best[(i, item)] = (0, 0, len(numbers))
+            for offset in range(0, len(numbers), PIECE):
+                part = numbers[offset : offset + PIECE + self.overlap]
                 waiting.append((i, offset, part))
                 words += len(part)
                 if words >= PIECE:
@@ -309,7 +389,24 @@ class Finder:
             best[pair] = min(value, best.get(pair, value))
 
 
-RESULT = "key long, item_id long, item_words int, distance int, first_word long, n_words int, text string"
+def _finders(documents: DataFrame, benchmark: DataFrame, item: str, item_text: str, similarity: float, recall: float,
+             least_words: int) -> Iterator:
+    """Broadcast finders, one for each block of at most ``ITEMS_PER_PASS`` items."""
+    spark, block = documents.sparkSession, []
+
+    def finder():
+        return spark.sparkContext.broadcast(
+            Finder([i for i, _ in block], [w for _, w in block], similarity, recall, least_words)
+        )
+
+    for row in benchmark.select(item, item_text).where(F.col(item_text).isNotNull()).orderBy(item, item_text).toLocalIterator():
+        if words := normalised_words(row[1]):
+            block.append((row[0], words))
+        if len(block) == ITEMS_PER_PASS:
+            yield finder()
+            block = []
+    if block:
+        yield finder()
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
@@ -319,36 +416,24 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     smallest edit distance in words, where that passage begins, how many words it has and its normalised text.
 
     An item is held if some passage differs from it by at most ``1 - similarity`` times its words. Passages at
-    that limit are found with the target recall, nearer ones more often, equal ones always. Items with
-    fewer than ``least_words`` words only count where they are the whole document. NULL, empty and
-    wordless texts hold nothing and are held by none; items with a NULL id cannot be named and are left out. Rows that share a key give a row each. Empty tables give an empty
-    result; other columns are not read. The benchmark is a query set: it is worked off in passes of
-    ``ITEMS_PER_PASS`` items over all documents.
+    that limit are found with the target recall wherever the edits are, nearer ones more often; if the recall cannot be
+    reached the call fails. Items with fewer than ``least_words`` words only count where they are the whole document. NULL,
+    empty and wordless texts hold nothing and are held by none. Keys and items keep their types and may be NULL. Rows that share a key
+    give a row each. Empty tables give an empty result; other columns are not read. The benchmark is a
+    query set: it is worked off in passes of ``ITEMS_PER_PASS`` items over all documents.
     """
     has(documents, key=key, text=text)
     has(benchmark, item=item, item_text=item_text)
-    spark = documents.sparkSession
-    rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    parts, block = [], []
-    items = benchmark.select(item, item_text).dropna().orderBy(item, item_text).toLocalIterator()
-    for row in items:
-        if words := normalised_words(row[1]):
-            block.append((row[0], words))
-        if len(block) == ITEMS_PER_PASS:
-            parts.append(_search(spark, rows, block, similarity, recall, least_words))
-            block = []
-    if block or not parts:
-        parts.append(_search(spark, rows, block, similarity, recall, least_words))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    kinds = rows.schema["key"].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
+    schema = f"key {kinds[0]}, item_id {kinds[1]}, item_words int, distance int, first_word long, n_words int, text string"
+    found = documents.sparkSession.createDataFrame([], schema)
+    for finder in _finders(documents, benchmark, item, item_text, similarity, recall, least_words):
+        found = found.unionByName(_search(rows, finder, schema))
     return found.withColumnsRenamed({"key": key, "item_id": item})
 
 
-def _search(spark, rows: DataFrame, items: list[tuple[int, list[str]]], similarity, recall, least_words) -> DataFrame:
-    finder = Finder([i for i, _ in items], [w for _, w in items], similarity, recall, least_words)
-    shared = spark.sparkContext.broadcast(finder)  # one block of items
-
+def _search(rows: DataFrame, shared, schema: str) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = shared.value
         for batch in batches:
@@ -360,7 +445,7 @@ def _search(spark, rows: DataFrame, items: list[tuple[int, list[str]]], similari
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, 512).take(pa.array([h[0] for h in hits])),
-                        pa.array([finder.item_ids[h[1]] for h in hits], pa.int64()),
+                        pa.array([finder.item_ids[h[1]] for h in hits]),
                         pa.array([len(finder.words[h[1]]) for h in hits], pa.int32()),
                         pa.array([h[2] for h in hits], pa.int32()),
                         pa.array([h[3] for h in hits], pa.int64()),
@@ -370,16 +455,27 @@ def _search(spark, rows: DataFrame, items: list[tuple[int, list[str]]], similari
                     names=["key", "item_id", "item_words", "distance", "first_word", "n_words", "text"],
                 )
 
-    return rows.mapInArrow(found, RESULT)
+    return rows.mapInArrow(found, schema)
 
 
-def remove(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no item of the benchmark, with all columns; those with a NULL key all stay.
+def remove(documents: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
+           item_text: str = "text", similarity: float = 0.8, recall: float = 0.95, least_words: int = 5) -> DataFrame:
+    """The rows whose text holds no item of the benchmark, with all columns.
 
-    Items with a NULL id count like others.
+    Every row is judged by its own text where it stands, whatever its key; nothing is shuffled.
     """
-    item = options.get("item", "item_id")
-    has(benchmark, item=item)
-    benchmark = benchmark.withColumn(item, F.coalesce(F.col(item), F.lit(0)))
-    held = contaminated(documents, benchmark, key, **options).select(key).dropna().distinct()
-    return without(documents, key, stage(held, "contaminated"))
+    has(documents, text=text)
+    has(benchmark, item=item, item_text=item_text)
+    place, kept = documents.columns.index(text), documents
+    for shared in _finders(documents, benchmark, item, item_text, similarity, recall, least_words):
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            finder = shared.value
+            for batch in batches:
+                for start in range(0, batch.num_rows, 512):
+                    part = batch.slice(start, 512)
+                    held = {hit[0] for hit in finder.find(part.column(place).to_pylist())}
+                    yield part.filter(pa.array([i not in held for i in range(part.num_rows)]))
+
+        kept = kept.mapInArrow(clean, documents.schema)
+    return kept
