@@ -1,9 +1,10 @@
 """Token ids in training order, as fixed-stride binary shards.
 
-Documents are cut into sequences of ``length`` tokens. A first pass counts them, which numbers all
-sequences densely; a keyed Feistel permutation of those numbers gives each sequence its slot in the
-training order. A second pass sends every sequence to the range of slots it belongs to, where shards are written
-sorted by slot. All records have the same stride, so a reader can start at any slot: see :func:`locate`.
+The documents of a task are strung together, each with an end token, and cut into sequences of ``length`` tokens. They are
+encoded once, into a staged table of compressed sequences. Its counts number all sequences densely; a keyed Feistel
+permutation of those numbers gives each sequence its slot in the training order. Every sequence is then sent to
+the range of slots it belongs to, where shards are written sorted by slot. All records have the same stride, so a reader
+can start at any slot: see :func:`locate`.
 
 A record is the number of tokens, ``length`` token ids (the rest filled up) and a zero, all
 little-endian integers of the same width.
@@ -11,21 +12,22 @@ little-endian integers of the same width.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearwell.llm.common import has
 from clearwell.llm.tokenizing import encoder, vocabulary
-from clearwell.session import new_folder, stage
+from clearwell.session import discard, new_folder, stage
 
 ROUNDS = 6
-SPLITTING = "spark.sql.files.minPartitionNum"
+#: Sequences that are packed together, and how hard; sequences that a task sends on together.
+BLOCK, LEVEL, TOGETHER = 256, 3, 1 << 15
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -82,127 +84,201 @@ def read_shards(spark: SparkSession, path: str, length: int, width: int, first_s
     )
 
 
-def _count(documents: DataFrame, file: str, length: int) -> DataFrame:
-    """For every document its slice (task of the scan), its tokens, its sequences and those before it there."""
+class _Stream:
+    """The tokens of one task's documents, cut into sequences; what does not fill one waits for the next document."""
+
+    def __init__(self, length: int, dtype: np.dtype, end: int):
+        self.length, self.dtype, self.end = length, dtype, end
+        self.waiting, self.pieces = np.zeros(0, dtype), []
+
+    def add(self, documents: list[tuple]) -> list[tuple[np.ndarray, list[dict]]]:
+        """Full sequences with their pieces of ``(key, tokens)`` documents; one without tokens leaves no trace."""
+        parts, at, end = [self.waiting], len(self.waiting), np.array([self.end], self.dtype)
+        pieces = [(0, piece) for piece in self.pieces]
+        for key, ids in documents:
+            if not len(ids):
+                continue
+            done = 0
+            while done < len(ids):
+                sequence, place = divmod(at + done, self.length)
+                n = min(self.length - place, len(ids) - done)
+                number = 0 if not done else pieces[-1][1]["seq_no"] + 1
+                pieces.append((sequence, {"key": key, "seq_no": number, "at": place, "n": n}))
+                done += n
+            parts += [np.asarray(ids, self.dtype), end]
+            at += len(ids) + 1
+        tokens = np.concatenate(parts)
+        full = len(tokens) // self.length
+        out = [(tokens[i * self.length : (i + 1) * self.length], []) for i in range(full)]
+        self.waiting, self.pieces = tokens[full * self.length :].copy(), []
+        for sequence, piece in pieces:
+            (out[sequence][1] if sequence < full else self.pieces).append(piece)
+        return out
+
+    def rest(self) -> list[tuple[np.ndarray, list[dict]]]:
+        return [(self.waiting, self.pieces)] if len(self.waiting) else []
+
+
+def _encode(documents: DataFrame, file: str, length: int, width: int, end: int) -> DataFrame:
+    """``slice, place, n, block, pieces``: blocks of ``n`` sequences, packed together, with the pieces of documents in
+    them. ``place`` is that of the first one and counts the sequences of a task; pieces have their own."""
+    kind = documents.schema["key"].dataType.simpleString()
+    pieces = f"array<struct<key:{kind},seq_no:bigint,place:bigint,at:int,n:int>>"
+    dtype = np.dtype(f"<u{width}")
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, slice_, done = encoder(file), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            tokens = np.array([len(encode(t.as_py() or "")) for t in batch.column(1)], dtype=np.int64)
-            n = -(-tokens // length)
-            before = done + np.cumsum(n) - n
-            done += int(n.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([slice_] * len(n), pa.int32()), batch.column(0), *map(pa.array, (tokens, n, before))],
-                names=["slice", "key", "n_tokens", "n", "before"],
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, slice_, place = encoder(file), TaskContext.get().partitionId(), 0
+        pack, stream, key_type, waiting = zstandard.ZstdCompressor(LEVEL).compress, _Stream(length, dtype, end), None, []
+
+        def block(found: list) -> pa.RecordBatch:
+            nonlocal place
+            of = [piece | {"place": place + i} for i, (_, pieces) in enumerate(found) for piece in pieces]
+            piece = pa.struct([
+                ("key", key_type), ("seq_no", pa.int64()), ("place", pa.int64()), ("at", pa.int32()), ("n", pa.int32()),
+            ])
+            tokens = np.concatenate([ids for ids, _ in found]).tobytes()
+            out = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([slice_], pa.int32()), pa.array([place], pa.int64()), pa.array([len(found)], pa.int64()),
+                    pa.array([pack(tokens)], pa.binary()), pa.array([of], pa.list_(piece)),
+                ],
+                names=["slice", "place", "n", "block", "pieces"],
             )
+            place += len(found)
+            return out
 
-    return documents.mapInArrow(counted, "slice int, key long, n_tokens long, n long, before long")
-
-
-def _records(documents: DataFrame, file: str, length: int, width: int, offsets: dict, total: int, key: int):
-    """``slot, record`` of every sequence, unfilled; fails if the slices aren't those that were counted."""
-    shared = documents.sparkSession.sparkContext.broadcast(offsets)  # three numbers per slice
-    dtype = np.dtype(f"<u{width}")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(file)
-        first, expected, expected_mark = shared.value.get(TaskContext.get().partitionId(), (0, 0, 0))
-        done, mark = 0, 0
         for batch in batches:
+            key_type = batch.column(0).type
             for start in range(0, batch.num_rows, 256):
-                records = []
-                for text in batch.column(1).slice(start, 256):
-                    ids = np.array(encode(text.as_py() or ""), dtype=dtype)
-                    mark += len(ids)
-                    for at in range(0, len(ids), length):
-                        part = ids[at : at + length]
-                        records.append(np.array([len(part)], dtype).tobytes() + part.tobytes())
-                if done + len(records) > expected:
-                    raise RuntimeError("the rows of a slice changed between counting and writing")
-                slots = permute(np.arange(first + done, first + done + len(records)), total, key)
-                done += len(records)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slots), pa.array(records, pa.binary())], names=["slot", "record"]
-                )
-        if (done, mark) != (expected, expected_mark):
-            raise RuntimeError("the rows of a slice changed between counting and writing")
+                part = batch.slice(start, 256)
+                keys, texts = part.column(0).to_pylist(), part.column(1)
+                waiting += stream.add([(k, encode(t.as_py() or "")) for k, t in zip(keys, texts, strict=True)])
+                while len(waiting) >= BLOCK:
+                    yield block(waiting[:BLOCK])
+                    del waiting[:BLOCK]
+        if last := waiting + stream.rest():
+            yield block(last)
 
-    return documents.mapInArrow(cut, "slot long, record binary")
+    return documents.mapInArrow(encoded, f"slice int, place bigint, n bigint, block binary, pieces {pieces}")
 
 
 def training_order(documents: DataFrame, path: str | None = None, seed: int = 42, key: str = "doc_id",
                    text: str = "text", file: str = "byte_bpe_50k.json", length: int = 512,
                    per_shard: int = 8192) -> DataFrame:
-    """Write the shards and return ``key, seq_no, n_tokens, slot, shard, byte_offset`` of every sequence.
+    """Write the shards and return ``key, seq_no, n_tokens, slot, shard, byte_offset, path`` of every piece.
 
-    Shard ``s`` is the file in ``path/shard=s`` and holds the slots from ``s * per_shard`` on. Tokens are encoded
-    twice instead of being stored in between, so the only large data on disk are one shuffle and the shards. Both
-    passes must see the same rows per task: ``documents`` has to be read from a table, and the
-    splitting of its files is fixed for the time of the call; otherwise the second pass fails.
+    A document is in one sequence or, in pieces numbered from 0, in several that follow each other; a piece has ``n_tokens``
+    and begins at ``byte_offset`` of the shard file below ``path``. Shard ``s`` is the file in ``path/shard=s`` and
+    holds the slots from ``s * per_shard`` on; without a ``path`` a new folder in the shared one is taken. Only the last
+    sequence of a task is not full. Tokens are encoded once; the staged table of sequences is removed when the shards
+    are written.
 
-    NULL and empty texts have no tokens and no sequence. A NULL key is kept as NULL. Repeated rows
-    are sequences of their own. An empty table gives no shards and an empty result. Other columns are not read.
+    NULL and empty texts have no tokens and no piece. Keys keep their type; a NULL key is kept as NULL. Repeated rows
+    have pieces of their own. An empty table gives no shards and an empty result. Other columns are not read.
     """
     has(documents, key=key, text=text)
-    spark = documents.sparkSession
-    path = path or new_folder(spark, "training-order")
-    ids, fill = vocabulary(file)
+    path = path or new_folder(documents.sparkSession, "training-order")
+    ids, end = vocabulary(file)
     width = 2 if ids <= 1 << 16 else 4
-    given = spark.conf.get(SPLITTING, None)
-    # The default depends on the executors there are just now.
-    spark.conf.set(SPLITTING, given or str(spark.sparkContext.defaultParallelism))
-    try:
-        documents = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-        counted = stage(_count(documents, file, length), "training-counts")
-        slices = counted.groupBy("slice").agg(F.sum("n").alias("n"), F.sum("n_tokens").alias("t"))
-        offsets, total = {}, 0
-        for row in sorted(slices.collect()):  # one row per task of the scan
-            offsets[row["slice"]] = (total, row["n"], row["t"])
-            total += row["n"]
-        if total:
-            _write(_records(documents, file, length, width, offsets, total, seed), path, length, width, fill,
-                   per_shard, total)
-    finally:
-        if given is None:
-            spark.conf.unset(SPLITTING)
-    return _manifest(counted, offsets, total, seed, length, width, per_shard).withColumnRenamed("key", key)
-
-
-def _write(records: DataFrame, path: str, length: int, width: int, fill: int, per_shard: int, total: int) -> None:
-    shards = -(-total // per_shard)
-    ranges = min(shards, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shard = F.floor(F.col("slot") / per_shard)
-    filling = F.unhex(F.lit(fill.to_bytes(width, "little").hex()))
-    dealt = records.withColumn("shard", shard).repartitionById(
-        ranges, F.floor(F.col("shard") * ranges / shards).cast("int")
+    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    sequences = stage(_encode(rows, file, length, width, end), "training-sequences")
+    offsets, total = {}, 0
+    for row in sorted(sequences.groupBy("slice").agg(F.sum("n").alias("n")).collect()):  # one row per task
+        offsets[row["slice"]] = total
+        total += row["n"]
+    if total:
+        _write(sequences, path, offsets, length, width, end, per_shard, total, seed)
+    pieces = sequences.select("slice", F.explode("pieces").alias("piece")).select("slice", "piece.*")
+    stride = width * (length + 2)
+    placed = _with_slots(pieces, offsets, total, seed).withColumn("shard", F.floor(F.col("slot") / per_shard))
+    manifest = stage(
+        placed.select(
+            "key", "seq_no", F.col("n").cast("long").alias("n_tokens"), "slot", "shard",
+            (F.col("slot") % per_shard * stride + width * (F.col("at") + 1)).alias("byte_offset"),
+        ),
+        "training-manifest",
     )
-    filled = dealt.sortWithinPartitions("shard", "slot").select(
-        "shard", F.rpad("record", F.lit(width * (length + 1)), filling).cast("string").alias("value")
-    )
-    # The text writer copies bytes as they are; the separator is the zero that ends a record.
-    filled.write.partitionBy("shard").option("lineSep", "\0" * width).text(path)
+    discard(sequences)
+    return manifest.withColumn("path", F.lit(path)).withColumnRenamed("key", key)
 
 
-def _manifest(counted: DataFrame, offsets: dict, total: int, seed: int, length: int, width: int, per_shard: int):
-    shared = counted.sparkSession.sparkContext.broadcast({k: v[0] for k, v in offsets.items()})
-    schema = "key long, seq_no long, n_tokens long, slot long, shard long, byte_offset long"
+def _with_slots(pieces: DataFrame, offsets: dict[int, int], total: int, seed: int) -> DataFrame:
+    """``pieces`` of ``(slice, place, ...)`` with their slot instead of the first two columns."""
+    shared = pieces.sparkSession.sparkContext.broadcast(offsets)  # one number per slice
+    others = [f for f in pieces.schema if f.name not in ("slice", "place")]
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first = np.array([shared.value[s] for s in batch.column(1).to_pylist()], dtype=np.int64)
-            tokens, n, before = (batch.column(i).to_numpy() for i in (2, 3, 4))
-            rows = np.repeat(np.arange(len(n)), n)
-            seq_no = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-            slots = permute((first + before)[rows] + seq_no, total, seed)
-            yield pa.RecordBatch.from_arrays(
+            first = np.array([shared.value[s] for s in batch.column(0).to_pylist()], dtype=np.int64)
+            slots = permute(first + batch.column(1).to_numpy(), total, seed)
+            yield pa.RecordBatch.from_arrays([pa.array(slots), *batch.columns[2:]], names=["slot", *batch.schema.names[2:]])
+
+    schema = ", ".join(["slot bigint", *(f"{f.name} {f.dataType.simpleString()}" for f in others)])
+    return pieces.select("slice", "place", *[f.name for f in others]).mapInArrow(numbered, schema)
+
+
+def _write(sequences: DataFrame, path: str, offsets: dict[int, int], length: int, width: int, fill: int, per_shard: int,
+           total: int, seed: int) -> None:
+    """Send every record to its range of shards, those of one task and range packed together, and write them sorted."""
+    shards = -(-total // per_shard)
+    ranges = min(shards, int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shared = sequences.sparkSession.sparkContext.broadcast(offsets)  # one number per slice
+    dtype = np.dtype(f"<u{width}")
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, unpack = zstandard.ZstdCompressor(LEVEL).compress, zstandard.ZstdDecompressor().decompress
+        waiting: list[np.ndarray] = []
+        places: list[np.ndarray] = []
+
+        def packed() -> pa.RecordBatch:
+            slots, records = permute(np.concatenate(places), total, seed), np.concatenate(waiting)
+            range_ = slots // per_shard * ranges // shards
+            order = np.lexsort((slots, range_))
+            of, first = np.unique(range_[order], return_index=True)
+            parts = np.split(order, first[1:])
+            waiting.clear()
+            places.clear()
+            return pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(rows)), pa.array(seq_no),
-                    pa.array(np.minimum(length, tokens[rows] - seq_no * length)), pa.array(slots),
-                    pa.array(slots // per_shard), pa.array(slots % per_shard * width * (length + 2)),
+                    pa.array(of, pa.int32()), pa.array([slots[p] for p in parts], pa.list_(pa.int64())),
+                    pa.array([pack(records[p].tobytes()) for p in parts], pa.binary()),
                 ],
-                schema=pa.schema([(f, pa.int64()) for f in
-                                  ("key", "seq_no", "n_tokens", "slot", "shard", "byte_offset")]),
+                names=["range", "slots", "records"],
             )
 
-    return counted.select("key", "slice", "n_tokens", "n", "before").mapInArrow(listed, schema)
+        for batch in batches:
+            for slice_, place, n, block in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                ids = np.frombuffer(unpack(block, max_output_size=n * length * width), dtype)
+                records = np.full((n, length + 1), fill, dtype)
+                records[:, 0] = length
+                records[-1, 0] = len(ids) - (n - 1) * length
+                full = len(ids) // length
+                records[:full, 1:] = ids[: full * length].reshape(full, length)
+                if full < n:
+                    records[-1, 1 : 1 + len(ids) - full * length] = ids[full * length :]
+                waiting.append(records)
+                places.append(shared.value[slice_] + place + np.arange(n))
+                if len(waiting) * BLOCK >= TOGETHER:
+                    yield packed()
+        if waiting:
+            yield packed()
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, size = zstandard.ZstdDecompressor().decompress, width * (length + 1)
+        for batch in batches:
+            for slots, records in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                whole = unpack(records, max_output_size=size * len(slots))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([s // per_shard for s in slots], pa.int64()), pa.array(slots, pa.int64()),
+                        pa.array([whole[i : i + size] for i in range(0, len(whole), size)], pa.binary()),
+                    ],
+                    names=["shard", "slot", "record"],
+                )
+
+    blocks = sequences.select("slice", "place", "n", "block")
+    sent = blocks.mapInArrow(dealt, "range int, slots array<bigint>, records binary").repartitionById(ranges, "range")
+    records = sent.select("slots", "records").mapInArrow(unpacked, "shard bigint, slot bigint, record binary")
+    ordered = records.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
+    # The text writer copies bytes as they are; the separator is the zero that ends a record.
+    ordered.write.partitionBy("shard").option("lineSep", "\0" * width).text(path)

@@ -12,7 +12,7 @@ from __spark_entry__ import queries
 def test_registered():
     names = set(queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages(llm, tmp_path):
@@ -49,8 +49,9 @@ def test_stages(llm, tmp_path):
     assert set(kept["benchmark decontamination"]) == clean
     assert set(kept["mixing sources"]) <= clean and max(kept["mixing sources"].values()) == 2
     assert set(kept["token-ID output"]) == set(kept["mixing sources"])
-    slots = sorted(r["slot"] for r in docs.select("slot").collect())
-    assert slots == list(range(len(slots)))
+    slots = {r["slot"] for r in docs.select("slot").collect()}
+    assert slots == set(range(len(slots)))
+    assert len({r["path"] for r in docs.select("path").collect()}) == 1
 
 
 def test_run(llm):

@@ -24,46 +24,75 @@ def test_the_key_matters_and_order_is_mixed():
 
 
 @pytest.mark.parametrize("file", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
-def test_shards_hold_every_sequence_at_its_slot(documents, llm, file, tmp_path):
+def test_documents_come_back_from_the_shards(documents, llm, file, tmp_path):
     rows = [(i, f"word{i} " * (i % 40), "en", "a") for i in range(200)]
     rows += [(7, "repeated row"), (7, "repeated row"), (None, "no key"), (300, None), (301, ""), (302, "ß" * 30_000)]
     documents(rows).write.parquet(str(tmp_path / "docs"))
     docs = llm.read.parquet(str(tmp_path / "docs"))
     path = str(tmp_path / "shards")
     manifest = to.training_order(docs, path, file=file, length=16, per_shard=32).collect()
+    assert {r["path"] for r in manifest} == {path}
     encode = encoder(file)
-    wanted = sum(-(-len(encode(text or "")) // 16) for _, text, *_ in rows)
-    assert sorted(r["slot"] for r in manifest) == list(range(wanted))
+    end = to.vocabulary(file)[1]
 
+    # Every slot is there once, in shards of full strides; only the last sequence of a task is not full.
     stored = {
         r["shard"] * 32 + r["place"]: r["tokens"]
         for r in to.read_shards(llm, path, 16, 2).collect()
     }
-    texts = {}
-    for i, text, *_ in rows:
-        texts.setdefault(i, []).append(encode(text or ""))
+    tokens = sum(len(ids) + 1 for _, text, *_ in rows if (ids := encode(text or "")))
+    assert sorted(stored) == list(range(len(stored))) and sum(map(len, stored.values())) == tokens
+    assert sum(len(ids) < 16 for ids in stored.values()) <= docs.rdd.getNumPartitions()
+
+    # Pieces read at their byte offset give the documents, each followed by an end.
+    whole = {f.parent.name: f.read_bytes() for f in (tmp_path / "shards").glob("shard=*/part-*")}
+    pieces = {}
     for r in manifest:
-        begin = r["seq_no"] * 16
-        options = [ids[begin : begin + 16] for ids in texts[r["doc_id"]]]
-        assert stored[r["slot"]] in options and len(stored[r["slot"]]) == r["n_tokens"]
-        assert (r["shard"], r["byte_offset"]) == to.locate(r["slot"], 16, 2, 32)
-
-    # A reader that starts in the middle reads at the byte offset.
-    r = next(r for r in manifest if r["shard"] == 1)
-    (file_,) = (tmp_path / "shards" / "shard=1").glob("part-*")
-    record = np.frombuffer(file_.read_bytes()[r["byte_offset"] :][: 2 * 18], dtype="<u2")
-    assert record[0] == r["n_tokens"] and record[1 : 1 + record[0]].tolist() == stored[r["slot"]]
+        at = np.frombuffer(whole[f"shard={r['shard']}"], dtype="<u2", count=r["n_tokens"], offset=r["byte_offset"])
+        pieces.setdefault(r["doc_id"], []).append((r["seq_no"], at.tolist(), r["slot"]))
+        shard, start = to.locate(r["slot"], 16, 2, 32)
+        assert shard == r["shard"] and start < r["byte_offset"] < start + 2 * 18
+    for doc_id in {i for i, *_ in rows}:
+        wanted = [encode(t or "") for i, t, *_ in rows if i == doc_id]
+        found = sorted(pieces.get(doc_id, []))
+        if len(wanted) == 1:
+            assert [n for n, *_ in found] == list(range(len(found)))
+            assert [x for _, ids, _ in found for x in ids] == wanted[0]
+        else:
+            assert sorted(x for _, ids, _ in found for x in ids) == sorted(x for ids in wanted for x in ids)
+    (last,) = [p for p in pieces[302] if p[0] == max(n for n, *_ in pieces[302])]
+    after = stored[last[2]]
+    assert after[-1] == end or end in after
+
     resumed = to.read_shards(llm, path, 16, 2, first_shard=2)
     assert resumed.agg(F.min("shard")).first()[0] == 2
 
 
+def test_sequences_do_not_depend_on_how_documents_arrive():
+    documents = [(i, list(range(i * 50, i * 50 + i % 23))) for i in range(40)]
+    whole, parts = (to._Stream(16, np.dtype("<u2"), 9) for _ in range(2))
+    one = [*whole.add(documents), *whole.rest()]
+    two = [found for i in range(0, 40, 3) for found in parts.add(documents[i : i + 3])] + parts.rest()
+    plain = lambda found: [(ids.tolist(), of) for ids, of in found]
+    assert plain(one) == plain(two)
+    for ids, of in one:
+        for piece in of:
+            known = dict(documents)[piece["key"]]
+            assert len(ids) <= 16 and set(ids[piece["at"] : piece["at"] + piece["n"]].tolist()) <= set(known)
+
+
+def test_tokens_are_encoded_once_and_the_staged_table_goes(documents, llm):
+    from clearwell import session
+
+    before = list(session._staged)
+    manifest = to.training_order(documents([(i, f"some words {i}") for i in range(50)]), length=16)
+    left = [p for p in session._staged if p not in before]
+    assert ["training-manifest" in p for p in left] == [True]
+    assert manifest.count() >= 50 and manifest.select("path").distinct().count() == 1
+
+
 def test_empty_table(documents, llm):
     assert to.training_order(documents([]), new_folder(llm, "none")).collect() == []
     assert to.training_order(documents([(1, None), (2, "")])).collect() == []
-
-
-def test_rows_that_change_between_the_passes_are_noticed(documents, monkeypatch):
-    count = to._count
-    monkeypatch.setattr(to, "_count", lambda docs, *rest: count(docs.limit(3), *rest))
-    with pytest.raises(Exception, match="changed between counting and writing"):
-        to.training_order(documents([(i, f"some words {i}") for i in range(50)]))
+    named = documents([(1, "a b")]).withColumn("doc_id", F.lit("one"))
+    assert to.training_order(named).first()["doc_id"] == "one"
