@@ -93,7 +93,7 @@ def clean_curate(spark, folder):
 @query(CURATED)
 def medallion_gold(spark, folder):
     layers = Layers(spark, new_folder(spark, "layers"))
-    published = layers.run({"reports": raw_reports(spark, folder)}, partial(curate, ties=["record_id"]), name="once")
+    published = layers.run({"reports": raw_reports(spark, folder)}, partial(curate, ties=["record_id"]))
     return published["reports"]
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from clearwell.operators.columns import col
 from clearwell.session import stage
 
-_SLICE, _PLACE, _COPY = "__slice", "__place", "__copy"
+_SLICE, _PLACE, _COPIES = "__slice", "__place", "__copies"
 
 # Copies of a row are written out again in portions of this size, which are spread over the tasks.
 PORTION_ROWS = 10_000
@@ -34,24 +34,32 @@ def number_rows(
 
     Rows that ``order`` leaves tied follow a hash of the row, so they too are numbered alike in every
     run and can be spread. Only copies of a whole row cannot be told apart by a range: they are
-    merged, counted and numbered first. ``distinct`` spares that where no row can have many copies.
+    merged and counted first, so that a range holds distinct rows, and written out again at the end, each with its
+    number. ``distinct`` spares that where no row can have many copies.
     """
     order = [*order, *_row_hashes(df)]
     keys = [col(g) for g in group] + list(order)
-    rows = df
-    if not distinct:
-        rows = number_copies(df, _COPY)
-        keys.append(col(_COPY))
-    place_in_slice = F.monotonically_increasing_id()
+    columns = [col(c) for c in df.columns]
+    rows = df if distinct else df.groupBy(*columns).agg(F.count(F.lit(1)).alias(_COPIES))
+    if distinct:
+        rows = rows.withColumn(_COPIES, F.lit(1).cast("bigint"))
+    seen = Observation()
     placed = stage(
         rows.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .withColumn(_PLACE, place_in_slice)
-        .withColumn(_SLICE, F.shiftright(col(_PLACE), 33)),
+        .withColumn(_PLACE, F.monotonically_increasing_id())
+        .withColumn(_SLICE, F.shiftright(col(_PLACE), 33))
+        .observe(seen, F.max(_COPIES).alias("most")),
         "placed-rows",
     )
+    repeated = (seen.get["most"] or 1) > 1
+    if repeated:
+        # A slice goes to one task once more, to make room for the copies of the rows before.
+        earlier = Window.partitionBy(_SLICE).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, -1)
+        room = F.coalesce(F.sum(col(_COPIES) - 1).over(earlier), F.lit(0))
+        placed = stage(placed.withColumn(_PLACE, col(_PLACE) + room), "placed-copies")
     per_slice = placed.groupBy(_SLICE, *[col(g) for g in group]).agg(
-        F.min(_PLACE).alias("__first"), F.count(F.lit(1)).alias("__rows")
+        F.min(_PLACE).alias("__first"), F.sum(_COPIES).alias("__rows")
     )
     earlier_slices = (
         Window.partitionBy(*[col(g) for g in group])
@@ -72,30 +80,29 @@ def number_rows(
         starts = F.broadcast(starts)
     same_group = [placed[_SLICE] == starts[_SLICE]]
     same_group += [placed[_quoted(g)].eqNullSafe(starts[_quoted(g)]) for g in group]
-    return placed.join(starts, same_group).select(
+    numbered = placed.join(starts, same_group).select(
         *[placed[_quoted(c)] for c in df.columns],
+        placed[_COPIES],
         (placed[_PLACE] + starts["__shift"]).cast("bigint").alias(name),
     )
+    return (_with_copies(numbered, name) if repeated else numbered).drop(_COPIES)
 
 
-def number_copies(df: DataFrame, name: str) -> DataFrame:
-    """Number the copies of every row from 1, with no task holding all copies of a frequent row.
+def _with_copies(numbered: DataFrame, name: str) -> DataFrame:
+    """Write the copies of every row out again, numbered from its own number on.
 
-    Copies are counted, merged inside each task first, and written out again from the count, in
-    portions that are spread over a fixed number of tasks. The number is stated because adaptive
-    execution would merge these tasks by the size of their input, which is small before the copies.
+    They are written in portions that are spread over a fixed number of tasks, so no task writes all copies of
+    a frequent row. The number is stated because adaptive execution would merge these tasks by the size of their input,
+    which is small before the copies.
     """
-    spark = df.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    columns = [col(c) for c in df.columns]
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
-    portions = F.sequence(F.lit(0).cast("bigint"), F.floor((col("__copies") - 1) / PORTION_ROWS))
-    portioned = counted.withColumn("__portion", F.explode(portions)).repartition(
-        tasks, "__portion", *columns
-    )
-    first = col("__portion") * PORTION_ROWS + 1
-    last = F.least((col("__portion") + 1) * PORTION_ROWS, col("__copies"))
-    return portioned.select(*columns, F.explode(F.sequence(first, last)).alias(name))
+    tasks = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    portions = F.sequence(F.lit(0).cast("bigint"), F.floor((col(_COPIES) - 1) / PORTION_ROWS))
+    once, often = numbered.filter(col(_COPIES) == 1), numbered.filter(col(_COPIES) > 1)
+    portioned = often.withColumn("__portion", F.explode(portions)).repartition(tasks, "__portion", name)
+    first = col(name) + col("__portion") * PORTION_ROWS
+    last = col(name) + F.least((col("__portion") + 1) * PORTION_ROWS, col(_COPIES)) - 1
+    others = [col(c) for c in numbered.columns if c != name]
+    return once.unionByName(portioned.select(*others, F.explode(F.sequence(first, last)).alias(name)))
 
 
 def _bytes(starts: DataFrame, group: Sequence[str]) -> int:
