@@ -16,10 +16,14 @@ from clearwell.session import stage
 DRAW_BITS, ROUND_BITS = 24, 12
 
 
-def draw(key: Column, seed: int) -> Column:
-    """A number below 2**24 that depends on the key and the seed alone; NULL counts as empty text."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, DRAW_BITS // 4), 16, 10).cast("int")
+def draw(key: Column, text: Column, seed: int, place: Column | None = None) -> Column:
+    """A number below 2**24 that depends on the key, the text and the seed; NULL counts as empty.
+
+    ``place`` tells rows apart that are equal in both.
+    """
+    parts = [F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))]
+    parts += [place.cast("string")] if place is not None else []
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, DRAW_BITS // 4), 16, 10).cast("int")
 
 
 def cyclic_weights(totals: DataFrame, cycle: tuple[float, ...]) -> DataFrame:
@@ -108,7 +112,7 @@ def plan_mix(sized: DataFrame, weights=cyclic_weights, cycle=(3, 1, 2), share=1.
 
     A NULL source is a source of its own. An empty table gives no row. Sources without words have the
     target 0. Rows that share a draw are taken together, so a source is met to within half of the words
-    of one draw.
+    of one draw; rows that repeat or have no key have draws of their own.
     """
     totals = sized.groupBy("source").agg(F.sum("size").alias("total"))
     targets = water_fill(weights(totals, cycle), share, max_epochs)
@@ -128,13 +132,39 @@ def plan_mix(sized: DataFrame, weights=cyclic_weights, cycle=(3, 1, 2), share=1.
 def sized_documents(documents: DataFrame, seed: int, key="doc_id", text="text", source="source") -> DataFrame:
     """``key, source, size, draw`` of every document, staged."""
     has(documents, key=key, text=text, source=source)
-    return stage(
-        documents.select(
-            F.col(key).alias("key"), F.col(source).alias("source"),
-            word_count(F.col(text)).alias("size"), draw(F.col(key), seed).alias("draw"),
+    return _sized(documents, seed, key, text, source)[0]
+
+
+def _sized(documents: DataFrame, seed: int, key: str, text: str, source: str) -> tuple[DataFrame, DataFrame | None]:
+    """Sized documents, and the draws that several rows share, if there are any.
+
+    Rows that share key and text share their draw; each gets a draw of its own by its place in the table.
+    """
+    place = F.monotonically_increasing_id()
+    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
+    sized = stage(
+        rows.select(
+            "key", "source", word_count(F.col("text")).alias("size"),
+            draw(F.col("key"), F.col("text"), seed).alias("draw"),
+            draw(F.col("key"), F.col("text"), seed, place).alias("own"), _same(F.col("key"), F.col("text")).alias("same"),
         ),
         "mix-sizes",
     )
+    repeated = stage(sized.groupBy("same").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("same"), "mix-repeated")
+    if repeated.isEmpty():
+        return sized.select("key", "source", "size", "draw"), None
+    return stage(_own_draws(sized, repeated).select("key", "source", "size", "draw"), "mix-sizes"), repeated
+
+
+def _same(key: Column, text: Column) -> Column:
+    """Equal for rows that share key and text, and for hardly any others, which does no harm."""
+    return F.xxhash64(key.cast("string"), key.isNull(), F.coalesce(text, F.lit("")))
+
+
+def _own_draws(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` with ``own`` as the draw of those that are ``repeated``."""
+    marked = rows.join(repeated.withColumn("shared", F.lit(True)), "same", "left")
+    return marked.withColumn("draw", F.when(F.col("shared"), F.col("own")).otherwise(F.col("draw"))).drop("shared")
 
 
 def _copies(plan_alias: str = "t") -> Column:
@@ -153,16 +183,23 @@ def mixed_sizes(sized: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def repeat_documents(documents: DataFrame, plan: DataFrame, seed: int, key="doc_id", source="source") -> DataFrame:
+def repeat_documents(documents: DataFrame, plan: DataFrame, seed: int, key="doc_id", text="text", source="source",
+                     repeated: DataFrame | None = None) -> DataFrame:
     """The documents of the mix with the columns they came with; a row that is taken twice stands there twice.
 
-    Empty documents are rows of no size and come as often as others of their draw.
+    Empty documents are rows of no size and come as often as others of their draw. ``repeated`` names rows that share key
+    and text, as :func:`mix_sources` finds them: each is drawn by itself.
     """
-    has(documents, key=key, source=source)
+    has(documents, key=key, text=text, source=source)
     rows = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
-        F.col(source).alias("source"), draw(F.col(key), seed).alias("draw"),
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(source).alias("source"),
+        draw(F.col(key), F.col(text), seed).alias("draw"),
+        *([] if repeated is None else [
+            draw(F.col(key), F.col(text), seed, F.monotonically_increasing_id()).alias("own"),
+            _same(F.col(key), F.col(text)).alias("same"),
+        ]),
     )
+    rows = rows if repeated is None else _own_draws(rows, repeated)
     joined = rows.alias("s").join(plan.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")))
     taken = joined.select("row", _copies().cast("int").alias("n")).where("n > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
@@ -170,4 +207,5 @@ def repeat_documents(documents: DataFrame, plan: DataFrame, seed: int, key="doc_
 
 def mix_sources(documents: DataFrame, seed: int = 42, **plan) -> DataFrame:
     """Documents repeated so that their sources meet the target weights (see :func:`plan_mix`)."""
-    return repeat_documents(documents, plan_mix(sized_documents(documents, seed).drop("key"), **plan), seed)
+    sized, repeated = _sized(documents, seed, "doc_id", "text", "source")
+    return repeat_documents(documents, plan_mix(sized.drop("key"), **plan), seed, repeated=repeated)

@@ -47,7 +47,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
-    ('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 6))::BIGINT AS draw
+    ('0x' || substr(md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 6))::BIGINT AS draw
   FROM documents),
 totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS total, 2.0::DOUBLE * sum(size)::DOUBLE AS cap,

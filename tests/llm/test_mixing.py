@@ -60,6 +60,19 @@ def test_hostile_rows(documents):
     )
 
 
+@pytest.mark.parametrize("text", [lambda i: f"{i} " + "word " * 99, lambda i: "word " * 100])
+def test_rows_without_an_id_and_repeated_rows_are_drawn_one_by_one(documents, text):
+    rows = [(None, text(i), "en", "a") for i in range(50)] + [(7, text(i), "en", "a") for i in range(50)]
+    rows += [(i, "other words " * 5, "en", "b") for i in range(100, 400)]
+    df = documents(rows)
+    sized = mixing.sized_documents(df, 42)
+    taken = mixing.mixed_sizes(sized, mixing.plan_mix(sized.drop("key"), cycle=(1, 9)))
+    totals = taken.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= 100 for r in totals)
+    mixed = mixing.mix_sources(df, cycle=(1, 9))
+    assert mixed.count() == taken.agg(F.sum("copies")).first()[0]
+
+
 def test_empty_table(documents):
     assert mixing.mix_sources(documents([])).count() == 0
 
