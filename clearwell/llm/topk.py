@@ -52,16 +52,20 @@ def _exact(candidates: np.ndarray, query: np.ndarray) -> np.ndarray:
 class SortedLists:
     """Sorted lists of one block of candidates."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray):
+    def __init__(self, ids: np.ndarray, values: np.ndarray, rows: np.ndarray | None = None):
         order = np.argsort(ids, kind="stable")
         self.ids, self.values = ids[order], values[order]
+        self.rows = self.ids if rows is None else rows[order]
         self.sorted = np.sort(self.values, axis=0)
         rank = np.argsort(np.argsort(self.values, axis=0, kind="stable"), axis=0)
         self.from_low, self.from_high = rank, len(ids) - 1 - rank
         self.lowest, self.highest = self.sorted[0], self.sorted[-1]
 
     def top(self, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per query its number, and ids and scores of its best candidates, by falling score and rising id."""
+        """Per query its number, and ids and scores of its best candidates, by falling score and rising id.
+
+        ``own`` are the rows of the queries, which they do not meet.
+        """
         n = len(self.ids)
         open_ = np.arange(len(queries))
         # Doubles hold the bounds exactly as long as all sums stay below 2**53.
@@ -78,7 +82,7 @@ class SortedLists:
             rest_high, rest_low = (~high).astype(float), (~low).astype(float)
             upper = known + rest_high @ (plus * last_high).T + rest_low @ (minus * last_low).T
             lower = known + rest_high @ (plus * self.lowest).T + rest_low @ (minus * self.highest).T
-            own_row = self.ids[:, None] == own[open_]
+            own_row = self.rows[:, None] == own[open_]
             upper[own_row] = lower[own_row] = -np.inf
             kth = np.partition(lower, max(0, n - k), axis=0)[max(0, n - k)]
             outside = (upper >= kth).sum(axis=0)
@@ -94,19 +98,24 @@ class SortedLists:
 def _search(pieces: DataFrame, k: int) -> DataFrame:
     def searched(piece: pd.DataFrame) -> pd.DataFrame:
         asked, others = piece[piece["side"] == 0], piece[piece["side"] == 1]
-        found = {"query_id": [], "vec_id": [], "score": []}
+        found = {"query_row": [], "query_id": [], "vec_id": [], "score": []}
         if len(asked) and len(others):
-            lists = SortedLists(others["vec_id"].to_numpy(), np.stack(others["vector"].to_numpy()))
-            ids, queries = asked["vec_id"].to_numpy(), np.stack(asked["vector"].to_numpy())
+            values = np.stack(others["vector"].to_numpy())
+            lists = SortedLists(others["vec_id"].to_numpy(), values, others["row"].to_numpy())
+            ids, rows = asked["vec_id"].to_numpy(), asked["row"].to_numpy()
+            queries = np.stack(asked["vector"].to_numpy())
             for start in range(0, len(ids), 128):
                 part = slice(start, start + 128)
-                for q, best, scores in lists.top(queries[part], ids[part], k):
+                for q, best, scores in lists.top(queries[part], rows[part], k):
+                    found["query_row"] += [int(rows[start + q])] * len(best)
                     found["query_id"] += [int(ids[start + q])] * len(best)
                     found["vec_id"] += best.tolist()
                     found["score"] += scores.tolist()
         return pd.DataFrame(found)
 
-    return pieces.groupBy("length", *_PIECE).applyInPandas(searched, "query_id long, vec_id long, score long")
+    return pieces.groupBy("length", *_PIECE).applyInPandas(
+        searched, "query_row long, query_id long, vec_id long, score long"
+    )
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding",
@@ -115,9 +124,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
 
     Components are quantised to floor(factor * x). Ties go to the smaller key. Fewer than ``k`` candidates are all
     returned. Vectors that are NULL, empty or hold a NULL or non-finite component take no part, nor
-    do rows with a NULL key; vectors meet only others of their length. The key names a vector: rows
-    that repeat it with the same vector count once, and a query does not meet rows of its own key. An
-    empty table gives an empty result; other columns are not read. Scores beyond a long are
+    do rows with a NULL key; vectors meet only others of their length. Rows that repeat are rows of their own: a query
+    meets all but itself, and of several query rows with one key each has its own result. An empty table gives an empty result; other columns are not read. Scores beyond a long are
     held to its range.
     """
     has(vectors, key=key, vector=vector)
@@ -125,21 +133,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
         F.col(key).cast("long").alias("vec_id"), quantised(F.col(vector), factor).alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("query"),
     )
-    rows = stage(rows.withColumn("length", F.size("vector")).distinct(), "topk-vectors")
+    rows = rows.withColumns({"length": F.size("vector"), "row": F.monotonically_increasing_id()})
+    rows = stage(rows, "topk-vectors")
     n, asked = rows.agg(F.count(F.lit(1)), F.count_if("query")).first()
     # Enough blocks for every task of a shuffle, none larger than BLOCK_ROWS.
     wide = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(-(-n // BLOCK_ROWS), min(wide, -(-n // 256)), 1)
     chunks = max(-(-asked // CHUNK_ROWS), 1)
-    place = F.xxhash64("vec_id")
+    place = F.xxhash64("row")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    columns = ["length", "block", "chunk", "side", "vec_id", "vector"]
+    columns = ["length", "block", "chunk", "side", "row", "vec_id", "vector"]
     candidates = rows.withColumn("block", F.pmod(place, F.lit(blocks)).cast("int")).withColumn("chunk", every(chunks))
     queries = rows.where("query").withColumn("chunk", F.pmod(place, F.lit(chunks)).cast("int"))
     queries = queries.withColumn("block", every(blocks))
     pieces = candidates.withColumn("side", F.lit(1)).select(*columns).unionByName(
         queries.withColumn("side", F.lit(0)).select(*columns)
     )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     ranked = _search(pieces, k).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("vec_id").alias(key), "score")
