@@ -68,9 +68,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that no later plan reads, in whatever store it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    remove_folder(spark, path)
     _staged.remove(path)
 
 
