@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clearwell.llm import decontamination, language, mixing, near_duplicates, training_order
 from clearwell.llm.common import let_workers_import
-from clearwell.session import new_folder
+from clearwell.session import new_folder, remove_folder, staging
 
 #: No SQL: the model, the sketches and the permutation are not expressible in it.
 ORACLE_SQL = None
@@ -60,10 +60,18 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the table ``documents``.
+
+    What a stage has staged goes when it is written, its own result when the next one is; the last result and the shards,
+    whose folder it names, stay.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = new_folder(spark, name.lower().replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with staging(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
