@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 from __spark_entry__ import queries
+from clearwell.session import shared_folder
 
 
 def test_registered():
@@ -54,6 +56,10 @@ def test_stages(llm, tmp_path):
     assert len({r["path"] for r in docs.select("path").collect()}) == 1
 
 
-def test_run(llm):
+def test_run_leaves_its_result_and_the_shards(llm):
+    shared = Path(shared_folder(llm))
+    before = {p.name for p in shared.iterdir()}
     result = corpus_pipeline.run(llm, "/root/testdata/sf0.001")
-    assert result.count() > 0
+    assert result.count() > 0 and Path(result.first()["path"]).is_dir()
+    left = sorted(p.name.rsplit("-", 1)[0] for p in shared.iterdir() if p.name not in before)
+    assert left == ["token-id-output", "training-order"]
