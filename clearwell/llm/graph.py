@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearwell.session import stage
+from clearwell.session import discard, stage
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -13,14 +13,14 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), mark).first())
 
 
-def _smallest(pairs: DataFrame) -> DataFrame:
-    """Every pair ``(a, b)`` with ``m``, the smallest of ``a`` and all that it is paired with.
+def _smallest(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every pair ``(a, b)`` with ``m``, the smallest of ``a`` and all that it is paired with; and the table of ``m``.
 
     The minima are written first, so that the join is one of plain tables and a node with very
     many pairs can be split among tasks.
     """
     least = stage(pairs.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "component-minima")
-    return pairs.join(least, "a")
+    return pairs.join(least, "a"), least
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,13 +36,18 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(pairs)
     while state[0]:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _smallest(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        near, minima = _smallest(both)
+        large = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stage(large.where("a <> b").distinct(), "component-edges")
-        small = _smallest(large)
+        discard(minima)
+        discard(pairs)
+        small, minima = _smallest(large)
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             small.select("a", F.col("m").alias("b"))
         )
         pairs = stage(small.where("a <> b").distinct(), "component-edges")
+        discard(minima)
+        discard(large)
         before, state = state, _state(pairs)
         if state == before:
             break

@@ -4,7 +4,8 @@
    sets are merged, so each set is one node of the graph, named by its smallest document id.
 2. Inverted lists of the retained values generate overlaps. Two sets at the threshold share, but for a chance of
    ``MISS``, a known number of retained values; so only the rarest values of a sketch have to be
-   indexed for them to meet (prefix filter), and very common shingles make no lists.
+   indexed for them to meet (prefix filter), and very common shingles make no lists. How rare a value is
+   tells an array of counts of fixed size.
 3. Every set has a home, its longest list. Homes are compared inside, very long ones by one
    member first, which joins most of a group of near copies at linear cost. What is left are lists
    whose members are still in different components: members outside the most frequent component are
@@ -19,7 +20,7 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -29,14 +30,17 @@ from pyspark.sql import functions as F
 
 from clearwell.llm.common import has
 from clearwell.llm.graph import components
-from clearwell.llm.membership import members, without
+from clearwell.llm.membership import likely_members, members, without
 from clearwell.llm.shingles import set_digest, shingle_set
 from clearwell.session import discard, stage
 
 #: Chance that one linked pair is lost by the sketches.
 MISS = 1e-9
-#: Bits of the map of shared values.
-VALUE_BITS = 26
+#: Cells in which retained values are counted, and how many of them go in one row.
+CELL_BITS = 26
+CHUNK_BITS = 16
+#: Values that a task counts at a time.
+CELLS_HELD = 4_000_000
 #: Rows of either side that are compared in one piece.
 BLOCK_ROWS = 1024
 
@@ -80,65 +84,92 @@ def sketches(documents: DataFrame, key: str, text: str, width: int, k: int) -> D
     )
 
 
-def _likely_shared(nodes: DataFrame, frequency: DataFrame, k: int, percent: int) -> DataFrame:
-    """``node, n_shingles, value`` of the values that more than one sketch has, and a few others.
+def _level(counts: np.ndarray) -> np.ndarray:
+    """Counts in four bits: 0 to 3 as they are, then in steps of 2 and, from 16 on, of 4."""
+    exponent = np.frexp(np.maximum(counts, 1).astype(float))[1] - 1
+    steps = np.where(counts < 16, exponent + 2, 4 + exponent // 2)
+    return np.where(counts < 4, counts, np.minimum(steps, 15)).astype(np.uint8)
 
-    Sets that share fewer values than a partner at the threshold would need are left out before anything is
-    shuffled. The values are known by a bitmap of fixed size (8 MB), one bit for many values.
-    """
-    place = F.col("value").bitwiseAND(F.lit((1 << VALUE_BITS) - 1))
-    maps = frequency.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("place") % (1 << 15)).alias("bits")
-    )
-    bitmap = np.zeros(1 << (VALUE_BITS - 3), dtype=np.uint8)
-    for row in maps.collect():  # 2**VALUE_BITS bits at most
-        bitmap[row["bucket"] << 12 : (row["bucket"] + 1) << 12] = np.frombuffer(row["bits"], dtype=np.uint8)
-    shared = nodes.sparkSession.sparkContext.broadcast(bitmap)
-    least = least_overlap(k, percent)
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, sketches_ = batch.column(1).to_numpy(), batch.column(2)
-            values, ends = sketches_.flatten().to_numpy(), np.asarray(sketches_.offsets)
-            bits = values & ((1 << VALUE_BITS) - 1)
-            hit = (shared.value[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1
-            total = np.concatenate([[0], np.cumsum(hit, dtype=np.int64)])
-            ends = ends - ends[0]
-            hits = total[ends[1:]] - total[ends[:-1]]
-            needed = np.where(sizes * 100 <= k * percent, -(-sizes * percent // 100), least)
-            row = np.repeat(np.arange(len(sizes)), np.diff(ends))
-            wanted = np.flatnonzero(hit.astype(bool) & (hits >= needed)[row])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row[wanted])), pa.array(sizes[row[wanted]]), pa.array(values[wanted])],
-                names=["node", "n_shingles", "value"],
-            )
+def _cells(values: np.ndarray) -> np.ndarray:
+    return values & ((1 << CELL_BITS) - 1)
 
-    return nodes.select("node", "n_shingles", "sketch").mapInArrow(kept, "node long, n_shingles long, value long")
+
+def count_levels(nodes: DataFrame) -> np.ndarray:
+    """How often values of each cell are retained, as levels, two cells a byte.
+
+    A value shares its cell with others, so its level is never too low. The array has a fixed size (32 MB): on
+    large tables rare values look more frequent than they are, which makes more lists and loses none.
+    Tasks send the cells they have met, about two bytes a value.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for last, batch in chain(((False, b) for b in batches), [(True, None)]):
+            if not last:
+                held.append(_cells(batch.column(0).flatten().to_numpy()).astype(np.uint32))
+            size = sum(map(len, held))
+            if size and (last or size >= CELLS_HELD):
+                cells, counts = np.unique(np.concatenate(held), return_counts=True)
+                held = []
+                parts = cells >> CHUNK_BITS
+                chunks, starts = np.unique(parts, return_index=True)
+                places = (cells & ((1 << CHUNK_BITS) - 1)).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(chunks, pa.int32()),
+                        pa.array([x.tobytes() for x in np.split(places, starts[1:])], pa.binary()),
+                        pa.array([x.tobytes() for x in np.split(counts.astype(np.uint32), starts[1:])], pa.binary()),
+                    ],
+                    names=["chunk", "places", "counts"],
+                )
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (row for batch in batches for row in batch.itertuples(index=False, name=None))
+        for chunk, parts in groupby(rows, key=lambda row: row[0]):
+            total = np.zeros(1 << CHUNK_BITS, dtype=np.int64)
+            for _, places, counts in parts:
+                total[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, np.uint32)
+            levels = _level(total)
+            yield pd.DataFrame({"chunk": [chunk], "levels": [(levels[::2] | levels[1::2] << 4).tobytes()]})
+
+    met = nodes.select("sketch").mapInArrow(counted, "chunk int, places binary, counts binary")
+    by_chunk = met.repartition("chunk").sortWithinPartitions("chunk")
+    levels = np.zeros((1 << (CELL_BITS - CHUNK_BITS), 1 << (CHUNK_BITS - 1)), dtype=np.uint8)
+    rows = by_chunk.mapInPandas(summed, "chunk int, levels binary").collect()  # 2**CELL_BITS cells of four bits at most
+    for row in rows:
+        levels[row["chunk"]] = np.frombuffer(row["levels"], dtype=np.uint8)
+    return levels.ravel()
 
 
 def index_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
     """``value, node, n_shingles`` of the inverted lists.
 
-    A sketch's values are ordered by how many sketches retain them. Of ``kept`` values, any partner at the
-    threshold shares at least ``needed``, so it shares one of the first ``kept - needed + 1``. Values of a
-    single sketch take their places in that order but make no list.
+    A sketch's values are ordered by the level of their cell, then by themselves. Of ``kept`` values, any partner
+    at the threshold shares at least ``needed``, so in that or any other common order it shares one of the
+    first ``kept - needed + 1``. Values that no other sketch has take their places in that order but make no list.
     """
-    values = nodes.select(F.explode("sketch").alias("value"))
-    frequency = stage(
-        values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-frequencies"
-    )
-    shared = _likely_shared(nodes, frequency, k, percent).join(frequency, "value")
-    whole = F.col("n_shingles") * 100 <= k * percent
-    needed = F.when(whole, F.ceil(F.col("n_shingles") * percent / 100)).otherwise(least_overlap(k, percent))
-    # At most k values are gathered for a node.
-    ordered = shared.groupBy("node", "n_shingles").agg(
-        F.sort_array(F.collect_list(F.struct("df", "value"))).alias("ordered")
-    )
-    # kept - needed + 1 places, of which values of a single sketch take kept - size(ordered).
-    listed = F.size("ordered") - needed + 1
-    ordered = ordered.withColumn("listed", listed.cast("int")).where("listed > 0")
-    ordered = ordered.withColumn("ordered", F.slice("ordered", 1, F.col("listed")))
-    return ordered.select("node", "n_shingles", F.explode("ordered.value").alias("value"))
+    shared = nodes.sparkSession.sparkContext.broadcast(count_levels(nodes))
+    least = least_overlap(k, percent)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, values = batch.column(1).to_numpy(), batch.column(2).flatten().to_numpy()
+            ends = np.asarray(batch.column(2).offsets).astype(np.int64)
+            kept, starts = np.diff(ends), ends[:-1] - ends[0]
+            cells = _cells(values)
+            level = (shared.value[cells >> 1] >> (4 * (cells & 1)).astype(np.uint8)) & 15
+            row = np.repeat(np.arange(len(sizes)), kept)
+            order = np.argsort(row * 16 + level, kind="stable")  # values of a sketch are sorted
+            needed = np.where(sizes * 100 <= k * percent, -(-sizes * percent // 100), least)
+            first = np.arange(len(values)) - starts[row] < (kept - needed + 1)[row]
+            wanted, owner = (order[first & (level[order] > 1)], row[first & (level[order] > 1)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[wanted]), batch.column(0).take(pa.array(owner)), pa.array(sizes[owner])],
+                names=["value", "node", "n_shingles"],
+            )
+
+    return nodes.select("node", "n_shingles", "sketch").mapInArrow(listed, "value long, node long, n_shingles long")
 
 
 @dataclass
@@ -280,13 +311,18 @@ def _compare(pieces: DataFrame, nodes: DataFrame, documents: DataFrame, width: i
             if (sides := _sides(rows, from_texts)) and (links := _linked(*sides, percent)):
                 yield pd.DataFrame(links, columns=["a", "b"])
 
-    sketched = stage(pieces, "near-pieces").join(nodes.select("node", "n_shingles", "sketch"), "node")
+    pieces = stage(pieces, "near-pieces")
+    met, _ = likely_members(nodes.select("node", "n_shingles", "sketch"), "node", pieces.select("node").distinct())
+    sketched = pieces.join(met, "node")
     likely = stage(
         _dealt(sketched.select(*ROW, "n_shingles", "sketch")).mapInPandas(screened, ROW_SCHEMA), "near-likely"
     )
-    texts = members(documents, "node", likely.select("node").distinct())
+    texts, _ = likely_members(documents, "node", likely.select("node").distinct())
     read = likely.join(texts, "node").select(*ROW, "text")
-    return stage(_dealt(read).mapInPandas(confirmed, "a long, b long"), "near-links")
+    links = stage(_dealt(read).mapInPandas(confirmed, "a long, b long"), "near-links")
+    discard(pieces)
+    discard(likely)
+    return links
 
 
 def _blocks(count: Column) -> Column:
@@ -316,6 +352,22 @@ def _pieces(asked: DataFrame, others: DataFrame) -> DataFrame:
     return one.select(*ROW).unionByName(two.select(*ROW))
 
 
+def _nodes(sketched: DataFrame) -> DataFrame:
+    """``node, n_shingles, digest, sketch``: one row per digest, named by the smallest key.
+
+    Only sketches of digests that occur more than once are shuffled.
+    """
+    marked = sketched.withColumn("place", F.xxhash64("digest"))
+    counted = marked.groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+    repeated = stage(counted.where("n > 1").select("place"), "near-repeated")
+    columns = ["node", "n_shingles", "digest", "sketch"]
+    some, single = likely_members(marked, "place", repeated)
+    merged = some.groupBy("digest").agg(
+        F.min("key").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
+    )
+    return single.withColumnRenamed("key", "node").select(columns).unionByName(merged.select(columns))
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
                     percent: int = 80, k: int = 128) -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row of ``documents``.
@@ -329,18 +381,17 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     has(documents, key=key, text=text)
     sketched = stage(sketches(documents, key, text, width, k), "near-sketches")
     found = stage(sketched.drop("sketch"), "near-documents")
-    nodes = stage(
-        sketched.where("n_shingles > 0 AND key IS NOT NULL").groupBy("digest").agg(
-            F.min("key").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
-        ),
-        "near-nodes",
-    )
+    nodes = stage(_nodes(sketched.where("n_shingles > 0 AND key IS NOT NULL")), "near-nodes")
     discard(sketched)
     listed = stage(index_entries(nodes, k, percent), "near-entries")
     sizes = listed.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    entries = stage(listed.join(stage(sizes, "near-lists"), "value"), "near-entries")
+    sizes = stage(sizes, "near-lists")
+    entries = stage(listed.join(sizes, "value"), "near-entries")
+    discard(listed)
+    discard(sizes)
     by_set = stage(nodes.select("digest", "node"), "near-sets")
-    listed_nodes = stage(members(nodes.drop("digest"), "node", entries.select("node").distinct()), "near-nodes")
+    some, _ = likely_members(nodes.drop("digest"), "node", entries.select("node").distinct())
+    listed_nodes = stage(some, "near-nodes")
     discard(nodes)
     nodes = listed_nodes
     texts = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
@@ -372,11 +423,13 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     )
     labels = stage(labels, "near-labels")
     labelled = stage(entries.join(labels, "node"), "near-labelled")
+    discard(entries)
     per_list = labelled.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_list.groupBy("value").agg(
         F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component"))["component"].alias("main")
     ).where("parts > 1")
     mixed = stage(labelled.join(stage(mixed, "near-mixed"), "value"), "near-mixed")
+    discard(labelled)
     reached = mixed.groupBy("value", F.col("home").alias("to"), "size").agg(
         F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
     )
