@@ -9,7 +9,7 @@
 3. Every set has a home, its longest list. Homes are compared inside, very long ones by one
    member first, which joins most of a group of near copies at linear cost. What is left are lists
    whose members are still in different components: members outside the most frequent component are
-   compared with all others, in blocks of bounded size.
+   compared with all others that they meet in several lists, in blocks of bounded size.
 4. A comparison estimates the similarity from the union of the sketches and drops what cannot
    reach the threshold; the texts of the rest are fetched and confirmed on full sets.
 """
@@ -41,6 +41,8 @@ CELL_BITS = 26
 CHUNK_BITS = 16
 #: Values that a task counts at a time.
 CELLS_HELD = 4_000_000
+#: Listed values that two sets at the threshold share, if they have so many; an odd number.
+SHARED = 5
 #: Rows of either side that are compared in one piece.
 BLOCK_ROWS = 1024
 
@@ -143,11 +145,12 @@ def count_levels(nodes: DataFrame) -> np.ndarray:
 
 
 def index_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``value, node, n_shingles`` of the inverted lists.
+    """``value, node, n_shingles, core`` of the inverted lists.
 
     A sketch's values are ordered by the level of their cell, then by themselves. Of ``kept`` values, any partner
     at the threshold shares at least ``needed``, so in that or any other common order it shares one of the
-    first ``kept - needed + 1``. Values that no other sketch has take their places in that order but make no list.
+    first ``kept - needed + 1``, the core, and ``SHARED`` (or ``needed``, if less) of the first
+    ``kept - needed + SHARED``. Values that no other sketch has take their places in that order but make no list.
     """
     shared = nodes.sparkSession.sparkContext.broadcast(count_levels(nodes))
     least = least_overlap(k, percent)
@@ -162,14 +165,32 @@ def index_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
             row = np.repeat(np.arange(len(sizes)), kept)
             order = np.argsort(row * 16 + level, kind="stable")  # values of a sketch are sorted
             needed = np.where(sizes * 100 <= k * percent, -(-sizes * percent // 100), least)
-            first = np.arange(len(values)) - starts[row] < (kept - needed + 1)[row]
-            wanted, owner = (order[first & (level[order] > 1)], row[first & (level[order] > 1)])
+            beyond = np.arange(len(values)) - starts[row] - (kept - needed)[row]
+            places = np.flatnonzero((beyond < SHARED) & (level[order] > 1))
+            wanted, owner = order[places], row[places]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values[wanted]), batch.column(0).take(pa.array(owner)), pa.array(sizes[owner])],
-                names=["value", "node", "n_shingles"],
+                [
+                    pa.array(values[wanted]), batch.column(0).take(pa.array(owner)), pa.array(sizes[owner]),
+                    pa.array(beyond[places] < 1),
+                ],
+                names=["value", "node", "n_shingles", "core"],
             )
 
-    return nodes.select("node", "n_shingles", "sketch").mapInArrow(listed, "value long, node long, n_shingles long")
+    return nodes.select("node", "n_shingles", "sketch").mapInArrow(
+        listed, "value long, node long, n_shingles long, core boolean"
+    )
+
+
+def _meetings(n_shingles: Column, k: int, percent: int) -> Column:
+    """In how many lists one of two linked sets is asked to meet the home of the other.
+
+    They share ``SHARED`` listed values if both need so many. A list asks all but the members of its most frequent
+    component, hence at least one of the two; so one of them is asked in more than half of those lists.
+    """
+    if least_overlap(k, percent) < SHARED:
+        return F.lit(1)
+    # A partner has at least percent of the shingles and needs percent of those.
+    return F.when(n_shingles * percent**2 >= SHARED * 100**2, (SHARED + 1) // 2).otherwise(1)
 
 
 @dataclass
@@ -399,7 +420,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     # The longest list of a node is its home. Homes of up to a block are compared in full, the members
     # of larger ones with one of them.
     longest = F.max(F.struct("members", "value"))["value"]
-    homes = entries.groupBy("node", "n_shingles").agg(longest.alias("home"))
+    homes = entries.where("core").groupBy("node", "n_shingles").agg(longest.alias("home"))
     homes = stage(homes.withColumn("component", F.col("node")), "near-homes")
     sizes = stage(homes.groupBy("home").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre")),
                   "near-sizes")
@@ -438,7 +459,10 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         ["value"],
     ).where(f"(to <> home OR size > {BLOCK_ROWS}) AND n_shingles * 100 >= least * {percent}"
             f" AND most * 100 >= n_shingles * {percent}")
-    asked = stage(asked.select(F.col("to").alias("home"), "node", "component").distinct(), "near-asked")
+    asked = asked.groupBy(F.col("to").alias("home"), "node", "n_shingles", "component").agg(
+        F.count(F.lit(1)).alias("lists")
+    ).where(F.col("lists") >= _meetings(F.col("n_shingles"), k, percent))
+    asked = stage(asked.select("home", "node", "component"), "near-asked")
     links = _compare(_pieces(asked, labels.select("home", "node", "component")), nodes, texts, width, k, percent)
     second = stage(components(links), "near-second")
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 
+from clearwell.llm import membership
 from clearwell.llm import near_duplicates as nd
 from clearwell.llm.graph import components
 from clearwell.llm.queries import QUERIES
@@ -103,3 +105,22 @@ def test_query_equals_all_pairs(llm):
     rows = [tuple(r) for r in llm.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in QUERIES["op10_near_duplicates"](llm, folder).collect()]
     assert sorted(got, key=repr) == by_all_pairs(rows, 2, 80)
+
+
+def test_levels_keep_the_order_of_counts():
+    counts = np.concatenate([np.arange(1 << 12), 1 << np.arange(12, 40)])
+    levels = nd._level(counts).astype(int)
+    assert levels[:4].tolist() == [0, 1, 2, 3] and levels.max() == 15
+    assert (np.diff(levels) >= 0).all()
+
+
+def test_bitmaps_grow_with_the_keys_up_to_a_bound():
+    assert [membership._bits(n) for n in (0, 1000, 1 << 20, 10**12)] == [18, 18, 25, 28]
+
+
+def test_likely_members_have_all_members_and_lose_no_row(documents):
+    df = documents([(i, f"t{i}") for i in range(2000)] + [(None, "none")])
+    likely, others = membership.likely_members(df, "doc_id", df.where("doc_id % 7 = 0").select("doc_id"))
+    found = {r["doc_id"] for r in likely.collect()}
+    assert {i for i in range(2000) if i % 7 == 0} <= found and None not in found
+    assert likely.count() + others.count() == 2001
