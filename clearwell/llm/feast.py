@@ -11,6 +11,8 @@ import numpy as np
 
 #: Eigenvalues wanted in one interval, nodes on half a circle, and rounds of filtering.
 FEW, NODES, ROUNDS = 8, 8, 60
+#: Rounds without a result after which directions and nodes are doubled, and the most nodes.
+SLOW, MOST_NODES = 6, 32
 _EPS = float(np.finfo(float).eps)
 
 
@@ -85,17 +87,22 @@ def intervals(matrix: np.ndarray, wanted: int) -> list[tuple[float, float, int]]
 
 
 def eigenpairs(matrix: np.ndarray, low: float, high: float, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``count`` eigenvalues between ``low`` and ``high`` and their unit vectors, as columns."""
+    """The ``count`` eigenvalues between ``low`` and ``high`` and their unit vectors, as columns.
+
+    Of the subspace's values inside, those with the smallest residuals count: a direction that mixes eigenvectors from
+    below and above the interval may have a value inside as well, but a large residual. While pairs are missing, more
+    directions, up to all, and more nodes separate eigenvalues that are close to the ends.
+    """
     n = len(matrix)
-    size = min(n, max(2 * count, count + 8))
-    nodes, weights = np.polynomial.legendre.leggauss(NODES)
+    size, points = min(n, max(2 * count, count + 8)), NODES
     centre, radius = (low + high) / 2, max((high - low) / 2, 1e-9 * abs(high))
-    turns = np.exp(0.5j * np.pi * (1 - nodes))
-    basis = np.random.default_rng(0).standard_normal((n, size))
+    random = np.random.default_rng(0)
+    basis = random.standard_normal((n, size))
     scale, best = np.abs(matrix).sum(axis=1).max(), None
-    for _ in range(ROUNDS):
+    for done in range(1, ROUNDS + 1):
+        nodes, weights = np.polynomial.legendre.leggauss(points)
         filtered = np.zeros((n, size))
-        for turn, weight in zip(turns, weights, strict=True):
+        for turn, weight in zip(np.exp(0.5j * np.pi * (1 - nodes)), weights, strict=True):
             solved = np.linalg.solve((centre + radius * turn) * np.eye(n) - matrix, basis.astype(complex))
             filtered += weight / 2 * (radius * turn * solved).real
         basis, _ = np.linalg.qr(filtered)
@@ -103,7 +110,8 @@ def eigenpairs(matrix: np.ndarray, low: float, high: float, count: int) -> tuple
         basis = basis @ small
         off = np.linalg.norm(matrix @ basis - basis * values, axis=0) / scale
         inside = np.flatnonzero((values > low) & (values <= high))
-        if len(inside) == count:
+        if len(inside) >= count:
+            inside = np.sort(inside[np.argsort(off[inside], kind="stable")[:count]])
             worst = off[inside].max()
             if best is None or worst < best[0] / 2:
                 best = (worst, values[inside], basis[:, inside])
@@ -111,6 +119,9 @@ def eigenpairs(matrix: np.ndarray, low: float, high: float, count: int) -> tuple
         if best and best[0] < 1e-12:
             # No better than the last time: rounding error is reached.
             return best[1], best[2]
+        if done % SLOW == 0:
+            size, points = min(n, 2 * size), min(2 * points, MOST_NODES)
+            basis = np.hstack([basis, random.standard_normal((n, size - basis.shape[1]))])
     raise RuntimeError(f"{count} eigenvalues between {low} and {high} were not all found")
 
 

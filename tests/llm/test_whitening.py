@@ -49,6 +49,23 @@ def test_all_wanted_eigenpairs_are_found(name):
     assert np.abs(a @ vectors - vectors * found).max() < 1e-12 * values[0]
 
 
+def test_directions_mixed_from_both_sides_do_not_count():
+    # Eigenvalues as far below the interval as above it are filtered alike, so their mean inside is a value of a mixed direction.
+    inside, sides = np.array([69.5, 69.9, 70.2, 70.6]), 1.15 + 0.1 * np.arange(12)
+    for seed in range(8):
+        a = symmetric(np.concatenate([inside, 70 - sides, 70 + sides, [71.1]]), seed)
+        values, vectors = feast.eigenpairs(a, 69.0, 71.0, 4)
+        assert np.allclose(np.sort(values), inside, atol=1e-11)
+        assert np.abs(a @ vectors - vectors * values).max() < 1e-10
+
+
+def test_eigenvalues_beside_a_crowded_end():
+    a = symmetric(np.concatenate([[64.0, 32 + 1e-6], 32 - 1e-6 * np.arange(1, 80)]))
+    values, vectors = feast.eigenpairs(a, 32.0, 64.1, 2)
+    assert np.allclose(np.sort(values), [32 + 1e-6, 64], atol=1e-11)
+    assert np.abs(a @ vectors - vectors * values).max() < 1e-10
+
+
 def test_inertia_counts():
     for name, values in SPECTRA.items():
         inertia = feast.Inertia(symmetric(values, 5))
