@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_MOST_WORDS = 400_000
+_MOST_WORDS = 100_000
 
 
 class _WordHashes(dict):

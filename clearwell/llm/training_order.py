@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 from clearwell.llm.common import has
 from clearwell.llm.tokenizing import encoder, vocabulary
-from clearwell.session import discard, new_folder, stage
+from clearwell.session import discard, new_folder, small_batches, stage
 
 ROUNDS = 6
 #: Sequences that are packed together, and how hard; sequences that a task sends on together.
 BLOCK, LEVEL, TOGETHER = 256, 3, 1 << 15
+#: Texts, and blocks or packs of sequences, that a Python worker is sent at a time.
+TEXTS, PACKS = 512, 32
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -181,13 +183,15 @@ def training_order(documents: DataFrame, path: str | None = None, seed: int = 42
     ids, end = vocabulary(file)
     width = 2 if ids <= 1 << 16 else 4
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    sequences = stage(_encode(rows, file, length, width, end), "training-sequences")
+    with small_batches(rows.sparkSession, TEXTS):
+        sequences = stage(_encode(rows, file, length, width, end), "training-sequences")
     offsets, total = {}, 0
     for row in sorted(sequences.groupBy("slice").agg(F.sum("n").alias("n")).collect()):  # one row per task
         offsets[row["slice"]] = total
         total += row["n"]
     if total:
-        _write(sequences, path, offsets, length, width, end, per_shard, total, seed)
+        with small_batches(rows.sparkSession, PACKS):
+            _write(sequences, path, offsets, length, width, end, per_shard, total, seed)
     pieces = sequences.select("slice", F.explode("pieces").alias("piece")).select("slice", "piece.*")
     stride = width * (length + 2)
     placed = _with_slots(pieces, offsets, total, seed).withColumn("shard", F.floor(F.col("slot") / per_shard))

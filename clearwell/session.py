@@ -84,6 +84,21 @@ def discard(df: DataFrame) -> None:
     _remove(df.sparkSession, df.staged_path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run inside send Python at most ``rows`` rows at a time, for rows that hold whole texts or more.
+
+    A batch is in memory several times, in the JVM and in each worker.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what was staged inside; results must have been written or collected by then."""

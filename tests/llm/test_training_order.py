@@ -91,6 +91,16 @@ def test_tokens_are_encoded_once_and_the_staged_table_goes(documents, llm):
     assert manifest.count() >= 50 and manifest.select("path").distinct().count() == 1
 
 
+def test_workers_get_few_texts_and_blocks_at_a_time(documents, llm, monkeypatch):
+    name, met = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = llm.conf.get(name)
+    for step in ("_encode", "_write"):
+        whole = getattr(to, step)
+        monkeypatch.setattr(to, step, lambda *of, whole=whole: met.append(int(llm.conf.get(name))) or whole(*of))
+    assert to.training_order(documents([(i, f"some words {i}") for i in range(50)]), length=16).count() >= 50
+    assert met == [to.TEXTS, to.PACKS] and llm.conf.get(name) == before
+
+
 def test_empty_table(documents, llm):
     assert to.training_order(documents([]), new_folder(llm, "none")).collect() == []
     assert to.training_order(documents([(1, None), (2, "")])).collect() == []
