@@ -6,7 +6,7 @@
    ``MISS``, a known number of retained values; so only the rarest values of a sketch have to be
    indexed for them to meet (prefix filter), and very common shingles make no lists. How rare a value is
    tells an array of counts of fixed size.
-3. Every set has a home, its longest list. Homes are compared inside, very long ones by one
+3. Every set has a home, its longest list by those counts. Homes are compared inside, very long ones by one
    member first, which joins most of a group of near copies at linear cost. What is left are lists
    whose members are still in different components: members outside the most frequent component are
    compared with all others that they meet in several lists, in blocks of bounded size.
@@ -32,7 +32,7 @@ from clearwell.llm.common import has
 from clearwell.llm.graph import components
 from clearwell.llm.membership import likely_members, members, without
 from clearwell.llm.shingles import set_digest, shingle_set
-from clearwell.session import discard, stage
+from clearwell.session import discard, small_batches, stage
 
 #: Chance that one linked pair is lost by the sketches.
 MISS = 1e-9
@@ -45,6 +45,10 @@ CELLS_HELD = 4_000_000
 SHARED = 5
 #: Rows of either side that are compared in one piece.
 BLOCK_ROWS = 1024
+#: Members of a list that are gathered in one place.
+GATHERED = 64
+#: Texts that a Python worker is sent at a time.
+TEXTS = 1024
 
 
 @lru_cache(maxsize=4096)
@@ -145,12 +149,14 @@ def count_levels(nodes: DataFrame) -> np.ndarray:
 
 
 def index_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``value, node, n_shingles, core`` of the inverted lists.
+    """``value, node, n_shingles, home`` of the inverted lists.
 
     A sketch's values are ordered by the level of their cell, then by themselves. Of ``kept`` values, any partner
     at the threshold shares at least ``needed``, so in that or any other common order it shares one of the
     first ``kept - needed + 1``, the core, and ``SHARED`` (or ``needed``, if less) of the first
     ``kept - needed + SHARED``. Values that no other sketch has take their places in that order but make no list.
+    The home is the value of the core with the highest level, hence of about the longest list; its row has
+    ``value = home``. Sets without one are linked with nothing and have no rows.
     """
     shared = nodes.sparkSession.sparkContext.broadcast(count_levels(nodes))
     least = least_overlap(k, percent)
@@ -168,16 +174,24 @@ def index_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
             beyond = np.arange(len(values)) - starts[row] - (kept - needed)[row]
             places = np.flatnonzero((beyond < SHARED) & (level[order] > 1))
             wanted, owner = order[places], row[places]
+            core = beyond[places] < 1
+            own, of = wanted[core], owner[core]
+            ranked = np.lexsort((values[own], level[own], of))
+            own, of = own[ranked], of[ranked]
+            last = np.flatnonzero(np.append(of[1:] != of[:-1], True)) if len(of) else np.zeros(0, np.int64)
+            home, settled = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), bool)
+            home[of[last]], settled[of[last]] = values[own[last]], True
+            wanted, owner = wanted[settled[owner]], owner[settled[owner]]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(values[wanted]), batch.column(0).take(pa.array(owner)), pa.array(sizes[owner]),
-                    pa.array(beyond[places] < 1),
+                    pa.array(home[owner]),
                 ],
-                names=["value", "node", "n_shingles", "core"],
+                names=["value", "node", "n_shingles", "home"],
             )
 
     return nodes.select("node", "n_shingles", "sketch").mapInArrow(
-        listed, "value long, node long, n_shingles long, core boolean"
+        listed, "value long, node long, n_shingles long, home long"
     )
 
 
@@ -389,6 +403,35 @@ def _nodes(sketched: DataFrame) -> DataFrame:
     return single.withColumnRenamed("key", "node").select(columns).unionByName(merged.select(columns))
 
 
+def _asked_in_short(entries: DataFrame, percent: int) -> DataFrame:
+    """``to, node, n_shingles, component``, once for every list of ``GATHERED`` members at most, whose rows are shuffled once."""
+    parts, whole = Window.partitionBy("value", "component"), Window.partitionBy("value")
+    member = F.struct("n_shingles", "component", "home")
+    gathered = entries.repartition("value").withColumn("n", F.count(F.lit(1)).over(parts)).withColumns(
+        {"main": F.max(F.struct("n", "component")).over(whole)["component"], "members": F.collect_set(member).over(whole)}
+    )
+    reached = F.expr(f"""array_distinct(transform(filter(members, m -> m.component <> component
+        AND (m.home <> home OR large) AND n_shingles * 100 >= m.n_shingles * {percent}
+        AND m.n_shingles * 100 >= n_shingles * {percent}), m -> m.home))""")
+    return gathered.where("component <> main").select(F.explode(reached).alias("to"), "node", "n_shingles", "component")
+
+
+def _asked_in_long(entries: DataFrame, percent: int) -> DataFrame:
+    """The same for lists of any length; none is gathered."""
+    per_list = entries.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = per_list.groupBy("value").agg(
+        F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component"))["component"].alias("main")
+    ).where("parts > 1")
+    mixed = stage(entries.join(stage(mixed, "near-mixed"), "value"), "near-mixed")
+    reached = mixed.groupBy("value", F.col("home").alias("to")).agg(
+        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
+    )
+    asked = mixed.where("component <> main").select("value", "node", "n_shingles", "component", "home", "large").join(
+        stage(reached, "near-reached"), "value"
+    ).where(f"(to <> home OR large) AND n_shingles * 100 >= least * {percent} AND most * 100 >= n_shingles * {percent}")
+    return asked.select("to", "node", "n_shingles", "component")
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
                     percent: int = 80, k: int = 128) -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row of ``documents``.
@@ -400,28 +443,27 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     are not read. The chance to miss one linked pair is ``MISS``.
     """
     has(documents, key=key, text=text)
+    with small_batches(documents.sparkSession, TEXTS):
+        return _near_duplicates(documents, key, text, width, percent, k)
+
+
+def _near_duplicates(documents: DataFrame, key: str, text: str, width: int, percent: int, k: int) -> DataFrame:
     sketched = stage(sketches(documents, key, text, width, k), "near-sketches")
     found = stage(sketched.drop("sketch"), "near-documents")
     nodes = stage(_nodes(sketched.where("n_shingles > 0 AND key IS NOT NULL")), "near-nodes")
     discard(sketched)
-    listed = stage(index_entries(nodes, k, percent), "near-entries")
-    sizes = listed.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    sizes = stage(sizes, "near-lists")
-    entries = stage(listed.join(sizes, "value"), "near-entries")
-    discard(listed)
-    discard(sizes)
+    entries = stage(index_entries(nodes, k, percent), "near-entries")
+    lists = entries.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    lists = stage(lists, "near-lists")
     by_set = stage(nodes.select("digest", "node"), "near-sets")
-    some, _ = likely_members(nodes.drop("digest"), "node", entries.select("node").distinct())
+    some, _ = likely_members(nodes.drop("digest"), "node", entries.where("value = home").select("node"))
     listed_nodes = stage(some, "near-nodes")
     discard(nodes)
     nodes = listed_nodes
     texts = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
 
-    # The longest list of a node is its home. Homes of up to a block are compared in full, the members
-    # of larger ones with one of them.
-    longest = F.max(F.struct("members", "value"))["value"]
-    homes = entries.where("core").groupBy("node", "n_shingles").agg(longest.alias("home"))
-    homes = stage(homes.withColumn("component", F.col("node")), "near-homes")
+    # Homes of up to a block are compared in full, the members of larger ones with one of them.
+    homes = entries.where("value = home").select("node", "n_shingles", "home", F.col("node").alias("component"))
     sizes = stage(homes.groupBy("home").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre")),
                   "near-sizes")
     homes = stage(homes.join(sizes, "home"), "near-homes")
@@ -438,31 +480,29 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     first = stage(components(links), "near-first")
 
     # Lists that still have several components: members outside the most frequent one against all
-    # members of the homes that the list reaches.
+    # members of the homes that the list reaches. Most lists are short and have no member that the first round joined.
     labels = homes.select("node", "home", "size").join(first, "node", "left").select(
         "node", "home", "size", F.coalesce("component", "node").alias("component")
     )
     labels = stage(labels, "near-labels")
-    labelled = stage(entries.join(labels, "node"), "near-labelled")
+    shared, _ = likely_members(entries, "value", lists)
+    moved, single = likely_members(shared, "node", first)
+    single = single.withColumn("component", F.col("node"))
+    moved = moved.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    large = sizes.where(f"size > {BLOCK_ROWS}").select("home", F.lit(True).alias("large"))
+    labelled = single.unionByName(moved.select(single.columns)).join(
+        F.broadcast(large), "home", "left"  # one row for every block of nodes at most
+    ).withColumn("large", F.coalesce("large", F.lit(False)))
+    labelled = stage(labelled, "near-labelled")
     discard(entries)
-    per_list = labelled.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per_list.groupBy("value").agg(
-        F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component"))["component"].alias("main")
-    ).where("parts > 1")
-    mixed = stage(labelled.join(stage(mixed, "near-mixed"), "value"), "near-mixed")
-    discard(labelled)
-    reached = mixed.groupBy("value", F.col("home").alias("to"), "size").agg(
-        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
-    )
-    asked = mixed.where("component <> main").select("value", "node", "n_shingles", "component", "home").join(
-        stage(reached, "near-reached"),
-        ["value"],
-    ).where(f"(to <> home OR size > {BLOCK_ROWS}) AND n_shingles * 100 >= least * {percent}"
-            f" AND most * 100 >= n_shingles * {percent}")
+    long, short = likely_members(labelled, "value", lists.where(f"members > {GATHERED}"))
+    asked = _asked_in_short(short, percent).unionByName(_asked_in_long(long, percent))
     asked = asked.groupBy(F.col("to").alias("home"), "node", "n_shingles", "component").agg(
         F.count(F.lit(1)).alias("lists")
     ).where(F.col("lists") >= _meetings(F.col("n_shingles"), k, percent))
     asked = stage(asked.select("home", "node", "component"), "near-asked")
+    discard(labelled)
+    discard(lists)
     links = _compare(_pieces(asked, labels.select("home", "node", "component")), nodes, texts, width, k, percent)
     second = stage(components(links), "near-second")
 

@@ -66,6 +66,44 @@ def test_groups_equal_all_pairs(documents, width):
     assert found(documents(rows), width=width) == by_all_pairs(rows, width, 80)
 
 
+@pytest.mark.parametrize(("gathered", "block"), [(1, 16), (4, 16), (4, 1024), (64, 8)])
+def test_lists_of_any_length_ask_the_same(documents, monkeypatch, gathered, block):
+    monkeypatch.setattr(nd, "GATHERED", gathered)
+    monkeypatch.setattr(nd, "BLOCK_ROWS", block)
+    r = random.Random(6)
+    rows = []
+    for group in range(6):
+        base = [f"w{r.randrange(300)}" for _ in range(120)]
+        rows += [(100 * group + i, " ".join(edited(r, base, r.randrange(12)))) for i in range(20)]
+    assert found(documents(rows), width=2) == by_all_pairs(rows, 2, 80)
+
+
+def test_every_set_with_entries_has_one_home_among_them(documents):
+    r = random.Random(7)
+    bases = [[f"w{r.randrange(300)}" for _ in range(150)] for _ in range(10)]
+    docs = documents([(i, " ".join(edited(r, bases[i % 10], i % 7))) for i in range(80)])
+    nodes = nd._nodes(nd.sketches(docs, "doc_id", "text", 2, 128)).cache()
+    entries = nd.index_entries(nodes, 128, 80).collect()
+    homes = [(e["node"], e["home"]) for e in entries if e["value"] == e["home"]]
+    assert sorted(n for n, _ in homes) == sorted({e["node"] for e in entries}) and len(homes) > 60
+    assert set(homes) == {(e["node"], e["home"]) for e in entries}
+
+
+def test_short_lists_are_shuffled_once(llm):
+    entries = llm.createDataFrame([], "value long, node long, n_shingles long, home long, component long, large boolean")
+    plan = nd._asked_in_short(entries, 80)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 1
+
+
+def test_texts_go_to_python_in_small_batches(documents, monkeypatch):
+    name, met, whole = "spark.sql.execution.arrow.maxRecordsPerBatch", [], nd.sketches
+    docs = documents([(1, "a b c"), (2, "a b c d")])
+    before = docs.sparkSession.conf.get(name)
+    monkeypatch.setattr(nd, "sketches", lambda df, *of: met.append(int(df.sparkSession.conf.get(name))) or whole(df, *of))
+    assert len(found(docs)) == 2
+    assert met == [nd.TEXTS] and docs.sparkSession.conf.get(name) == before
+
+
 def test_homes_larger_than_a_block(documents, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK_ROWS", 16)
     r = random.Random(4)
