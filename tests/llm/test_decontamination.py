@@ -182,3 +182,20 @@ def test_items_in_scripts_without_blanks_and_without_an_id(documents, llm):
     got = sorted((r["doc_id"], r["item_id"], r["distance"], r["first_word"]) for r in found)
     assert got == [(1, 7, 0, 2), (2, None, 0, 1)]
     assert [r["doc_id"] for r in dc.remove(df, benchmark, similarity=0.8, recall=0.95).collect()] == [3]
+
+
+def test_remove_sends_python_few_texts_in_one_worker_a_task(documents, benchmark, monkeypatch):
+    name, met, whole = "spark.sql.execution.arrow.maxRecordsPerBatch", [], dc.stage
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(dc, "ITEMS_PER_PASS", 1)
+    monkeypatch.setattr(dc, "stage", lambda df, label: met.append((int(df.sparkSession.conf.get(name)), plan(df))) or whole(df, label))
+    items = [(1, "one two three four five six"), (2, "seven eight nine ten eleven twelve")]
+    rows = [(1, f"a {items[0][1]} b"), (2, "other words that are here"), (3, f"c {items[1][1]}"), (3, None), (None, "x"), (None, items[1][1])]
+    df = documents(rows + rows)
+    before = df.sparkSession.conf.get(name)
+    kept = dc.remove(df, benchmark(items))
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(2, rows[1][1]), (3, None), (None, "x")] * 2, key=str)
+    assert [size for size, p in met if "MapInArrow" in p] == [dc.TEXTS] * 2 and df.sparkSession.conf.get(name) == before
+    assert all(p.count("MapInArrow") <= 1 for _, p in met) and "MapInArrow" not in plan(kept)
