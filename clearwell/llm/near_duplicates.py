@@ -6,7 +6,7 @@
    ``MISS``, a known number of retained values; so only the rarest values of a sketch have to be
    indexed for them to meet (prefix filter), and very common shingles make no lists. How rare a value is
    tells an array of counts of fixed size.
-3. Every set has a home, its longest list by those counts. Homes are compared inside, very long ones by one
+3. Every set has a home, its longest list by those counts; of equal ones the same for all. Homes are compared inside, very long ones by one
    member first, which joins most of a group of near copies at linear cost. What is left are lists
    whose members are still in different components: members outside the most frequent component are
    compared with all others that they meet in several lists, in blocks of bounded size.
@@ -156,7 +156,8 @@ def index_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
     first ``kept - needed + 1``, the core, and ``SHARED`` (or ``needed``, if less) of the first
     ``kept - needed + SHARED``. Values that no other sketch has take their places in that order but make no list.
     The home is the value of the core with the highest level, hence of about the longest list; its row has
-    ``value = home``. Sets without one are linked with nothing and have no rows.
+    ``value = home``. Of values at that level it is the smallest: a core ends at the largest ones, sooner in a set with more
+    rare values of its own, so near copies differ in the largest value of their cores but seldom in the smallest. Sets without one are linked with nothing and have no rows.
     """
     shared = nodes.sparkSession.sparkContext.broadcast(count_levels(nodes))
     least = least_overlap(k, percent)
@@ -176,7 +177,7 @@ def index_entries(nodes: DataFrame, k: int, percent: int) -> DataFrame:
             wanted, owner = order[places], row[places]
             core = beyond[places] < 1
             own, of = wanted[core], owner[core]
-            ranked = np.lexsort((values[own], level[own], of))
+            ranked = np.lexsort((~values[own], level[own], of))
             own, of = own[ranked], of[ranked]
             last = np.flatnonzero(np.append(of[1:] != of[:-1], True)) if len(of) else np.zeros(0, np.int64)
             home, settled = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), bool)
@@ -411,7 +412,7 @@ def _asked_in_short(entries: DataFrame, percent: int) -> DataFrame:
         {"main": F.max(F.struct("n", "component")).over(whole)["component"], "members": F.collect_set(member).over(whole)}
     )
     reached = F.expr(f"""array_distinct(transform(filter(members, m -> m.component <> component
-        AND (m.home <> home OR large) AND n_shingles * 100 >= m.n_shingles * {percent}
+        AND m.home <> home AND n_shingles * 100 >= m.n_shingles * {percent}
         AND m.n_shingles * 100 >= n_shingles * {percent}), m -> m.home))""")
     return gathered.where("component <> main").select(F.explode(reached).alias("to"), "node", "n_shingles", "component")
 
@@ -426,12 +427,22 @@ def _asked_in_long(entries: DataFrame, percent: int) -> DataFrame:
     reached = mixed.groupBy("value", F.col("home").alias("to")).agg(
         F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most")
     )
-    asked = mixed.where("component <> main").select("value", "node", "n_shingles", "component", "home", "large").join(
+    asked = mixed.where("component <> main").select("value", "node", "n_shingles", "component", "home").join(
         stage(reached, "near-reached"), "value"
-    ).where(f"(to <> home OR large) AND n_shingles * 100 >= least * {percent} AND most * 100 >= n_shingles * {percent}")
+    ).where(f"to <> home AND n_shingles * 100 >= least * {percent} AND most * 100 >= n_shingles * {percent}")
     return asked.select("to", "node", "n_shingles", "component")
 
 
+def _asked_at_home(members: DataFrame) -> DataFrame:
+    """``home, node, component`` of the members of homes outside the most frequent component of their home.
+
+    Of two members in different components one is asked at least, once for all lists that they share.
+    """
+    parts = members.groupBy("home", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("home").agg(F.max(F.struct("n", "component"))["component"].alias("main"))
+    return members.join(stage(main, "near-mains"), "home").where("component <> main").select("home", "node", "component")
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
                     percent: int = 80, k: int = 128) -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row of ``documents``.
@@ -480,7 +491,7 @@ def _near_duplicates(documents: DataFrame, key: str, text: str, width: int, perc
     first = stage(components(links), "near-first")
 
     # Lists that still have several components: members outside the most frequent one against all
-    # members of the homes that the list reaches. Most lists are short and have no member that the first round joined.
+    # members of the other homes that the list reaches, and of their own if that is larger than a block. Most lists are short and have no member that the first round joined.
     labels = homes.select("node", "home", "size").join(first, "node", "left").select(
         "node", "home", "size", F.coalesce("component", "node").alias("component")
     )
@@ -500,7 +511,8 @@ def _near_duplicates(documents: DataFrame, key: str, text: str, width: int, perc
     asked = asked.groupBy(F.col("to").alias("home"), "node", "n_shingles", "component").agg(
         F.count(F.lit(1)).alias("lists")
     ).where(F.col("lists") >= _meetings(F.col("n_shingles"), k, percent))
-    asked = stage(asked.select("home", "node", "component"), "near-asked")
+    asked = asked.select("home", "node", "component").unionByName(_asked_at_home(labelled.where("large AND value = home")))
+    asked = stage(asked, "near-asked")
     discard(labelled)
     discard(lists)
     links = _compare(_pieces(asked, labels.select("home", "node", "component")), nodes, texts, width, k, percent)

@@ -89,6 +89,19 @@ def test_every_set_with_entries_has_one_home_among_them(documents):
     assert set(homes) == {(e["node"], e["home"]) for e in entries}
 
 
+def test_near_copies_share_few_homes_whatever_their_edits(documents, monkeypatch):
+    r, asked, whole = random.Random(8), [], nd._asked_in_long
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(r, base, r.randrange(12)))) for i in range(400)]
+    nodes = nd._nodes(nd.sketches(documents(rows), "doc_id", "text", 2, 128)).cache()
+    homes = nd.index_entries(nodes, 128, 80).where("value = home").groupBy("home").count().collect()
+    assert max(h["count"] for h in homes) > sum(h["count"] for h in homes) / 2
+    monkeypatch.setattr(nd, "_asked_in_long", lambda *of: asked.append(nd.stage(whole(*of), "asked")) or asked[0])
+    assert found(documents(rows), width=2) == by_all_pairs(rows, 2, 80)
+    # Homes times lists times members asked; about as many homes as edits gave more than a million rows for 2500 copies.
+    assert asked[0].count() < 40 * len(rows)
+
+
 def test_short_lists_are_shuffled_once(llm):
     entries = llm.createDataFrame([], "value long, node long, n_shingles long, home long, component long, large boolean")
     plan = nd._asked_in_short(entries, 80)._jdf.queryExecution().executedPlan().toString()
